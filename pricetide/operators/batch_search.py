@@ -77,7 +77,7 @@ def _matches_inline(rows, text, conditions):
     return met.where((F.col("condition") == "") | (F.size(F.array_except("words", "_found")) == 0))
 
 
-def _matches_joined(rows, text, conditions, key):
+def _matches_joined(rows, text, conditions, key, carry):
     """Many conditions: rows meet them word by word and have to meet every word."""
     per_word = conditions.where(F.size("words") > 0).select(
         "condition", F.size("words").alias("needed"), F.explode("words").alias("word")
@@ -87,32 +87,34 @@ def _matches_joined(rows, text, conditions, key):
     row_words, per_word = split_hot_keys(row_words, per_word, ["word"], [key])
     with_text = (
         row_words.join(per_word, ["word", "split"])
-        .groupBy(key, "price", "condition", "needed")
+        .groupBy(key, "price", "condition", "needed", *carry)
         .agg(F.count("*").alias("found"))
         .where("found = needed")
-        .select(key, "price", "condition")
+        .select(key, "price", "condition", *carry)
     )
     everything = conditions.where(F.size("words") == 0).select("condition").limit(1)
-    plain = rows.select(key, "price", F.explode(F.array(F.lit(""))).alias("condition")).join(
+    plain = rows.select(key, "price", F.explode(F.array(F.lit(""))).alias("condition"), *carry).join(
         F.broadcast(everything), "condition", "left_semi"
     )
     return with_text.unionByName(plain)
 
 
-def _matches(items, searches, key, price, text, inline_conditions):
-    """(condition, price, key) for every row that meets a text condition."""
+def _matches(items, searches, key, price, text, carry, inline_conditions):
+    """Condition, price, key and carried columns of every row that meets a text condition."""
     conditions = searches.select("condition", "words").distinct()
-    rows = items.select(key, F.col(price).cast("double").alias("price"), *([text] if text else []))
+    found_in = F.col(text).alias("_text") if text else F.lit(None).cast("string").alias("_text")
+    rows = items.select(key, F.col(price).cast("double").alias("price"), found_in, *carry)
     rows = rows.where(F.col("price").isNotNull())
     if text is None:
-        return rows.withColumn("condition", F.lit(""))
+        return rows.drop("_text").withColumn("condition", F.lit(""))
+    text = "_text"
     few = conditions.limit(inline_conditions + 1).count() <= inline_conditions
     matched = (
         _matches_inline(rows, text, conditions)
         if few
-        else _matches_joined(rows, text, conditions, key)
+        else _matches_joined(rows, text, conditions, key, carry)
     )
-    return matched.select("condition", "price", key)
+    return matched.select("condition", "price", key, *carry)
 
 
 def batch_search(
@@ -122,16 +124,18 @@ def batch_search(
     price="price",
     text="long_name",
     size=100,
+    carry=(),
     inline_conditions=INLINE_CONDITIONS,
 ):
     """Hit totals and cheapest hits of every query.
 
     Returns two frames: totals (query_id, total_hits, total_hits_capped,
-    total_is_lower_bound, returned_hits) and hits (query_id, rank, key, price).
+    total_is_lower_bound, returned_hits) and hits (query_id, rank, key, price and the
+    columns named in `carry`). With `text=None` all searches have to be price ranges.
     """
     asked = _searches(check_query_types(queries))
     searches = asked.select("words", *SEARCH).distinct()
-    matched = _matches(items, searches, key, price, text, inline_conditions)
+    matched = _matches(items, searches, key, price, text, carry, inline_conditions)
 
     # Rows per price, with the bounds of the searches as marks of weight 0 between them.
     ladder = matched.groupBy("condition", "price").agg(F.count("*").alias("n"))
@@ -197,5 +201,7 @@ def batch_search(
         .where(F.col("position") <= F.col("last"))
         .withColumn("rank", (F.col("position") - F.col("below")).cast("int"))
     )
-    hits = asked.select("query_id", *SEARCH).join(hits, SEARCH).select("query_id", "rank", key, "price")
+    hits = asked.select("query_id", *SEARCH).join(hits, SEARCH).select(
+        "query_id", "rank", key, "price", *carry
+    )
     return totals, hits

@@ -71,14 +71,18 @@ def hit_summary(df, condition, size=100, sample=3, price="price", key="isin", te
 
 
 def price_stats(df, price="price"):
-    """Smallest, largest and average price; fixed stand-ins for an empty table."""
+    """Smallest, largest and average price; fixed stand-ins for an empty table.
+
+    The average is rounded far below a cent, so that bounds derived from it do not
+    depend on the order in which tasks add up.
+    """
     # The statistics assumed when there are none.
     smallest, largest, average = 1.0, 5000.0, 250.0
     value = F.col(price).cast("double")
     return df.agg(
         F.coalesce(F.min(value), F.lit(smallest)).alias("min_price"),
         F.coalesce(F.max(value), F.lit(largest)).alias("max_price"),
-        F.coalesce(F.avg(value), F.lit(average)).alias("avg_price"),
+        F.round(F.coalesce(F.avg(value), F.lit(average)), 6).alias("avg_price"),
     )
 
 

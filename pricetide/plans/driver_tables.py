@@ -29,7 +29,11 @@ def docs(spark, folder):
 
 def price_changes(spark, folder):
     """Line items as price changes; the last two columns break ties of the date."""
-    return read(spark, folder, "lineitem").select(
+    return price_changes_of(read(spark, folder, "lineitem"))
+
+
+def price_changes_of(line_items):
+    return line_items.select(
         key_of(F.col("l_partkey")).alias("isin"),
         F.col("l_extendedprice").alias("price"),
         F.col("l_shipdate").cast("timestamp").alias("updated_at"),
