@@ -67,7 +67,10 @@ def order_bins(value, per_unit):
     """Whole numbers that grow with `value`, about `per_unit` to each factor e.
 
     Equal values share a bin and bins keep the order of the values, so counts per
-    bin locate a rank without sorting the values themselves.
+    bin locate a rank without sorting the values themselves. Never NULL, so that a join
+    on bins adds no filter that would keep Spark from sharing a shuffle.
     """
     value = value.cast("double")
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * per_unit)
+    return F.coalesce(
+        F.floor(F.signum(value) * F.log1p(F.abs(value)) * per_unit), F.lit(0).cast("long")
+    )

@@ -13,6 +13,7 @@ from pricetide.functions.text import tokens
 from pricetide.operators.ranking import first_per_group, running_total
 from pricetide.operators.skew import BROADCAST_ROWS, split_hot_keys
 from pricetide.schemas import QUERY_TYPES
+from pricetide.workspace import stage
 
 # Most text conditions that are matched inside the scan; more are matched by a join.
 INLINE_CONDITIONS = 2_000
@@ -84,7 +85,9 @@ def _matches_joined(rows, text, conditions, key, carry):
     )
     row_words = rows.withColumn("word", F.explode(F.array_distinct(tokens(F.col(text))))).drop(text)
     row_words = row_words.join(per_word.select("word").distinct(), "word", "left_semi")
-    row_words, per_word = split_hot_keys(row_words, per_word, ["word"], [key])
+    # Read twice below, to find hot words and to join; the texts are split up once.
+    row_words = stage(row_words, "row-words")
+    row_words, per_word = split_hot_keys(row_words, per_word, ["word"], [key], ["condition"])
     with_text = (
         row_words.join(per_word, ["word", "split"])
         .groupBy(key, "price", "condition", "needed", *carry)
@@ -117,55 +120,43 @@ def _matches(items, searches, key, price, text, carry, inline_conditions):
     return matched.select("condition", "price", key, *carry)
 
 
-def batch_search(
-    items,
-    queries,
-    key="isin",
-    price="price",
-    text="long_name",
-    size=100,
-    carry=(),
-    inline_conditions=INLINE_CONDITIONS,
-):
-    """Hit totals and cheapest hits of every query.
+def _steps(matched, searches):
+    """Running row counts by price, per condition, with the searches' bounds among them.
 
-    Returns two frames: totals (query_id, total_hits, total_hits_capped,
-    total_is_lower_bound, returned_hits) and hits (query_id, rank, key, price and the
-    columns named in `carry`). With `text=None` all searches have to be price ranges.
+    `side` is 0 for a lower bound, which counts the rows below it, 1 for a price with its
+    rows, and 2 for an upper bound, which counts the rows up to it.
     """
-    asked = _searches(check_query_types(queries))
-    searches = asked.select("words", *SEARCH).distinct()
-    matched = _matches(items, searches, key, price, text, carry, inline_conditions)
-
-    # Rows per price, with the bounds of the searches as marks of weight 0 between them.
     ladder = matched.groupBy("condition", "price").agg(F.count("*").alias("n"))
     marks = searches.select(
         *SEARCH,
-        F.explode(
+        F.inline(
             F.array(
                 F.struct(F.col("low").alias("price"), F.lit(0).alias("side")),
                 F.struct(F.col("high").alias("price"), F.lit(2).alias("side")),
             )
-        ).alias("mark"),
-    ).select(*SEARCH, "mark.*", F.lit(0).cast("long").alias("n"))
+        ),
+        F.lit(0).cast("long").alias("n"),
+    )
     steps = ladder.withColumn("side", F.lit(1)).unionByName(marks, allowMissingColumns=True)
-    steps = running_total(steps, ["condition"], "price", ["side"], "n", "upto")
+    return running_total(steps, ["condition"], "price", ["side"], "n", "upto")
+
 
-    found = (
+def _found(steps):
+    """Per distinct search: rows below its range and rows in it."""
+    below = F.max(F.when(F.col("side") == 0, F.col("upto")))
+    upto = F.max(F.when(F.col("side") == 2, F.col("upto")))
+    return (
         steps.where("side != 1")
         .groupBy(*SEARCH)
-        .agg(
-            F.max(F.when(F.col("side") == 0, F.col("upto"))).alias("below"),
-            F.max(F.when(F.col("side") == 2, F.col("upto"))).alias("within"),
-        )
-        .select(*SEARCH, "below", F.greatest(F.col("within") - F.col("below"), F.lit(0)).alias("total_hits"))
+        .agg(below.alias("below"), F.greatest(upto - below, F.lit(0)).alias("total_hits"))
     )
-    total = F.col("total_hits")
-    answered = asked.select("query_id", *SEARCH).join(found, SEARCH)
+
+
+def _totals(queries, asked, found, size):
+    answered = asked.select("query_id", *SEARCH).join(found, SEARCH).select("query_id", "total_hits")
     no_words = queries.select("query_id").join(asked.select("query_id"), "query_id", "left_anti")
-    totals = answered.select("query_id", "total_hits").unionByName(
-        no_words.withColumn("total_hits", F.lit(0).cast("long"))
-    ).select(
+    total = F.col("total_hits")
+    return answered.unionByName(no_words.withColumn("total_hits", F.lit(0).cast("long"))).select(
         "query_id",
         "total_hits",
         capped_hits(total).alias("total_hits_capped"),
@@ -173,14 +164,60 @@ def batch_search(
         F.least(total, F.lit(size)).alias("returned_hits"),
     )
 
-    # Prices that start within the first `size` places after a lower bound.
+
+def batch_totals(
+    items,
+    queries,
+    key="isin",
+    price="price",
+    text="long_name",
+    size=100,
+    inline_conditions=INLINE_CONDITIONS,
+):
+    """Hits of every query: total_hits, the same as a capped counter shows it
+    (total_hits_capped, total_is_lower_bound) and returned_hits. One scan of the items.
+    """
+    asked = _searches(check_query_types(queries))
+    searches = asked.select("words", *SEARCH).distinct()
+    matched = _matches(items, searches, key, price, text, (), inline_conditions)
+    return _totals(queries, asked, _found(_steps(matched, searches)), size)
+
+
+def batch_search(
+    items,
+    queries,
+    key="isin",
+    price="price",
+    text="long_name",
+    size=100,
+    carry=(),
+    inline_conditions=INLINE_CONDITIONS,
+):
+    """Hit totals and cheapest hits of every query.
+
+    Returns two frames: totals as `batch_totals` has them, and hits (query_id, rank, key,
+    price and the columns named in `carry`). With `text=None` all searches have to be
+    price ranges. The running counts, and for texts the matches, are written to the
+    shared folder, so that texts are split up once.
+    """
+    asked = _searches(check_query_types(queries))
+    searches = asked.select("words", *SEARCH).distinct()
+    matched = _matches(items, searches, key, price, text, carry, inline_conditions)
+    if text is not None:
+        matched = stage(matched, "matches")
+    steps = stage(_steps(matched, searches), "steps")
+    found = _found(steps)
+    totals = _totals(queries, asked, found, size)
+
+    # Prices that start within the first `size` places after a lower bound. A search's
+    # places lie in at most two blocks of `size`.
     before = F.col("upto") - F.col("n")
     prices = steps.where("side = 1").select(
         "condition", "price", before.alias("before"), F.floor(before / size).alias("block")
     )
-    last = F.col("below") + F.least(total, F.lit(size))
+    last = F.col("below") + F.least(F.col("total_hits"), F.lit(size))
     needed = (
-        found.where(total > 0)
+        found.where("total_hits > 0")
         .withColumn("last", last)
         .withColumn(
             "block",
@@ -190,10 +227,11 @@ def batch_search(
         .where((F.col("before") >= F.col("below")) & (F.col("before") < F.col("last")))
         .select(*SEARCH, "below", "last", "price", "before")
     )
-    # No price needs more than its first `size` rows, and no search more than `size` prices.
+    # A search needs at most `size` prices, so few searches need few of them.
     few = searches.limit(BROADCAST_ROWS // size + 1).count() <= BROADCAST_ROWS // size
     wanted = needed.select("condition", "price").distinct()
     rows = matched.join(F.broadcast(wanted) if few else wanted, ["condition", "price"], "left_semi")
+    # No price needs more than its first `size` rows, however many it has.
     rows = first_per_group(rows, ["condition", "price"], [key], size, "place")
     hits = (
         needed.join(rows, ["condition", "price"])

@@ -38,7 +38,7 @@ def interval_join(
     window). Both sides meet on time buckets. With buckets of the mean window
     length the windows grow about threefold whatever their lengths, points are
     never copied, and most compared pairs are results. Buckets with too many
-    points are split by `point_id`.
+    points are split by `point_id`, for pairs also those with too many windows.
     """
     windows = windows.withColumn("_from", micros(F.col("window_start"))).withColumn(
         "_to", micros(F.col("window_end"))
@@ -58,7 +58,18 @@ def interval_join(
     points = points.withColumn("_at", micros(F.col(ts))).withColumn(
         "_bucket", F.floor(F.col("_at") / width)
     )
-    points, windows = split_hot_keys(points, windows, ["_bucket"], point_id, rows_per_task)
+    if how == "left_anti":
+        # Only what a window covers of the bucket matters. Cut to the bucket (a little
+        # beyond, for rounding), windows that cover it whole or start alike are one.
+        start = F.greatest("_from", F.floor(F.col("_bucket") * width) - 1)
+        end = F.least("_to", F.ceil((F.col("_bucket") + 1) * width) + 1)
+        windows = windows.groupBy("_bucket", start.alias("_from")).agg(F.max(end).alias("_to"))
+        window_id = None
+    else:
+        window_id = windows.columns
+    points, windows = split_hot_keys(
+        points, windows, ["_bucket"], point_id, window_id, rows_per_task
+    )
     p, w = points.alias("p"), windows.alias("w")
     inside = (
         (F.col("p._bucket") == F.col("w._bucket"))

@@ -9,13 +9,21 @@ from pricetide.functions.measures import order_bins
 PASSES = (4096, 4096 * 4096)
 
 
-def value_counts(df, by, value):
-    """Rows per group and distinct value. Repeats combine before the shuffle."""
-    known = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
+def value_counts(df, by, value, attributes=()):
+    """Rows per group and distinct value. Repeats combine before the shuffle.
+
+    Rows without a group or a value do not count. That is said here for every column,
+    so that later joins have no null tests to push down and all readers of the counts
+    share one shuffle. `attributes` are columns that are the same within a group.
+    """
+    number = F.col(value).cast("double")
+    df = df.where(number.isNotNull() & ~F.isnan(number))
+    for column in by:
+        df = df.where(F.col(column).isNotNull())
     return (
-        df.where(known)
-        .groupBy(*by, F.col(value).cast("double").alias("value"))
-        .agg(F.count("*").alias("n"))
+        df.select(*by, *attributes, number.alias("value"))
+        .groupBy(*by, "value")
+        .agg(F.count("*").alias("n"), *[F.max(a).alias(a) for a in attributes])
     )
 
 

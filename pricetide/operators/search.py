@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pricetide.functions.measures import capped_hits
 from pricetide.functions.text import has_all_terms, has_any_term, preview, query_terms, tokens
+from pricetide.workspace import stage
 
 
 def in_range(price, low, high):
@@ -47,17 +48,16 @@ def first_rows(df, n, key="isin"):
 
 
 def hit_summary(df, condition, size=100, sample=3, price="price", key="isin", text="long_name"):
-    """Hits in all, hits a capped counter shows, hits returned, and the first few."""
-    hits = df.where(condition)
-    # The whole table is counted; only the few sample rows are ever collected.
+    """Hits in all, hits a capped counter shows, hits returned, and the first few.
+
+    The hits are written out in their narrow form, so that texts are searched once.
+    """
+    hits = df.where(condition).select(price, key, preview(F.col(text)).alias(text))
+    hits = stage(hits, "hits")
     few = (
         cheapest(hits, sample, price, key)
-        .agg(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct(price, key, text))),
-                lambda r: F.struct(r[key].alias(key), r[price].alias(price), preview(r[text]).alias(text)),
-            ).alias("sample_data")
-        )
+        .agg(F.array_sort(F.collect_list(F.struct(price, key, text))).alias("few"))
+        .select(F.transform("few", lambda r: F.struct(*[r[c].alias(c) for c in (key, price, text)])))
         .scalar()
     )
     total = F.col("total_hits")
@@ -108,41 +108,51 @@ def table_profile(df, key="isin", price="price"):
     )
 
 
-def by_relevance(df, text, query, n=3, key="isin", where=None, k1=1.2, b=0.75):
+def _with_term_counts(df, text, terms):
+    """Add the words of a row and how often each term occurs among them."""
+    words = F.col("_words")
+    return df.withColumn("_words", tokens(F.col(text))).withColumns(
+        {f"_tf{i}": F.size(words) - F.size(F.array_remove(words, t)) for i, t in enumerate(terms)}
+    )
+
+
+def text_statistics(df, text, query):
+    """Rows, mean words per row, and rows with each word of `query`: one row.
+
+    Needs the words of every row; write it out to search the same table again.
+    """
+    terms = query_terms(query)
+    rows = _with_term_counts(df.where(F.col(text).isNotNull()).select(text), text, terms)
+    return rows.agg(
+        F.count("*").alias("docs"),
+        F.avg(F.size("_words")).alias("avg_words"),
+        *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"with_term{i}") for i in range(len(terms))],
+    )
+
+
+def by_relevance(
+    df, text, query, n=3, key="isin", where=None, statistics=None, k1=1.2, b=0.75
+):
     """First n rows by BM25 over rows with any word of `query`, ties by key.
 
-    Two scans of the key and text columns: one sums up the table (rows, words, rows
-    per query word) into a single row, one scores the rows that match. Rows never
-    move before the final top n. `where` narrows the rows, not the statistics.
+    One scan sums up the table into a single row, unless its `text_statistics` are
+    given; one scores the rows that match. Rows never move before the final top n.
+    `where` narrows the rows, not the statistics.
     """
     terms = query_terms(query)
     if not terms:
-        return df.limit(0).select(key, F.lit(0.0).alias("score"))
-    words = F.col("_words")
-
-    def with_counts(rows):
-        rows = rows.withColumn("_words", tokens(F.col(text)))
-        return rows.withColumns(
-            {f"_tf{i}": F.size(words) - F.size(F.array_remove(words, t)) for i, t in enumerate(terms)}
-        )
-
-    df_of = [F.count_if(F.col(f"_tf{i}") > 0).alias(f"d{i}") for i in range(len(terms))]
-    stats = (
-        with_counts(df.where(F.col(text).isNotNull()).select(text))
-        .agg(F.count("*").alias("docs"), F.avg(F.size(words)).alias("avg_words"), *df_of)
-        .select(F.struct("*"))
-        .scalar()
-    )
+        return df.limit(0).withColumn("score", F.lit(0.0))
+    if statistics is None:
+        statistics = text_statistics(df, text, query)
     wanted = has_any_term(F.col(text), query)
-    scored = with_counts(df.where(wanted if where is None else wanted & where))
-    scored = scored.withColumn("_stats", stats)
+    rows = _with_term_counts(df.where(wanted if where is None else wanted & where), text, terms)
+    rows = rows.withColumn("_stats", statistics.select(F.struct("*")).scalar())
+    length = 1 - b + b * F.size("_words") / F.col("_stats.avg_words")
     score = F.lit(0.0)
     for i in range(len(terms)):
-        docs, with_term = F.col("_stats.docs"), F.col(f"_stats.d{i}")
+        docs, with_term = F.col("_stats.docs"), F.col(f"_stats.with_term{i}")
         idf = F.log(1 + (docs - with_term + 0.5) / (with_term + 0.5))
         tf = F.col(f"_tf{i}")
-        length = 1 - b + b * F.size(words) / F.col("_stats.avg_words")
         score = score + idf * tf / (tf + k1 * length)
-    return (
-        scored.select(*df.columns, score.alias("score")).orderBy(F.desc("score"), key).limit(n)
-    )
+    best = rows.select(*df.columns, score.alias("score"))
+    return best.orderBy(F.desc("score"), key).limit(n)

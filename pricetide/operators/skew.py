@@ -16,25 +16,50 @@ def broadcast_if_small(df, max_rows=BROADCAST_ROWS):
     return F.broadcast(df) if small else df
 
 
-def split_hot_keys(big, small, keys, row_id, rows_per_task=ROWS_PER_TASK):
-    """Spread the rows of hot keys of `big` over several splits.
+def split_hot_keys(left, right, keys, left_id, right_id=None, rows_per_task=ROWS_PER_TASK):
+    """Spread the rows of hot join keys over several splits.
 
-    Adds a `split` column to both sides: in `big` by hash of `row_id`, in `small`
-    one copy per split of its key. Joining on `keys + ["split"]` gives what joining
-    on `keys` gave. The table of hot keys has at most rows / rows_per_task rows,
-    which is what makes it fit for broadcast.
+    Adds a `split` column to both sides; joining on `keys + ["split"]` gives what joining
+    on `keys` gave. A hot key's rows are divided by a hash of their id columns and meet a
+    copy of the other side's rows in each split. Without `right_id` only the left side is
+    divided, so that left rows have no copies and outer or anti joins stay right.
+
+    The table of hot keys has at most rows / rows_per_task rows, which is what makes it
+    fit for broadcast.
     """
-    hot = (
-        big.groupBy(*keys)
-        .agg(F.count("*").alias("rows"))
-        .where(F.col("rows") > rows_per_task)
-        .select(*keys, F.ceil(F.col("rows") / rows_per_task).alias("splits"))
-    )
-    splits = F.coalesce("splits", F.lit(1).cast("long"))
-    spread = big.join(F.broadcast(hot), keys, "left").withColumn(
-        "split", F.pmod(F.xxhash64(*row_id), splits)
-    )
-    copies = small.join(F.broadcast(hot), keys, "left").withColumn(
-        "split", F.explode(F.sequence(F.lit(0).cast("long"), splits - 1))
+
+    def hot(df, name, other):
+        rows = df.groupBy(*keys).agg(F.count("*").alias("rows")).where(F.col("rows") > rows_per_task)
+        return rows.select(
+            *keys,
+            F.ceil(F.col("rows") / rows_per_task).alias(name),
+            F.lit(1).cast("long").alias(other),
+        )
+
+    table = hot(left, "left_splits", "right_splits")
+    if right_id is not None:
+        table = table.unionByName(hot(right, "right_splits", "left_splits"))
+        table = table.groupBy(*keys).agg(
+            F.max("left_splits").alias("left_splits"), F.max("right_splits").alias("right_splits")
+        )
+    one = F.lit(1).cast("long")
+    lefts, rights = F.coalesce("left_splits", one), F.coalesce("right_splits", one)
+
+    def all_of(splits):
+        return F.explode(F.sequence(F.lit(0).cast("long"), splits - 1))
+
+    left = left.join(F.broadcast(table), keys, "left")
+    right = right.join(F.broadcast(table), keys, "left")
+    left = left.withColumn("_left_split", F.pmod(F.xxhash64(*left_id), lefts))
+    right = right.withColumn("_left_split", all_of(lefts))
+    if right_id is not None:
+        right = right.withColumn("_right_split", F.pmod(F.xxhash64(*right_id), rights))
+        left = left.withColumn("_right_split", all_of(rights))
+        split = F.col("_left_split") * rights + F.col("_right_split")
+    else:
+        split = F.col("_left_split")
+    helpers = ["_left_split", "_right_split", "left_splits", "right_splits"]
+    return (
+        left.withColumn("split", split).drop(*helpers),
+        right.withColumn("split", split).drop(*helpers),
     )
-    return spread.drop("splits"), copies.drop("splits")

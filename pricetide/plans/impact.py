@@ -10,6 +10,7 @@ from pricetide.operators.quantiles import value_counts
 from pricetide.plans.search_report import successful, summary_of_counts
 
 WINDOW = ["update_timestamp", "iteration"]
+ABOUT = ["update_duration", "updates_per_second"]
 POINT_ID = ["search_id", "timestamp"]
 
 
@@ -48,9 +49,10 @@ def searches_outside(updates, searches, stamp="start", **options):
 def window_stats(updates, searches, stamp="start", **options):
     """Search count and mean, median and longest duration of each window with searches."""
     pairs = searches_during(updates, searches, stamp, **options)
-    by = [*WINDOW, "update_duration", "updates_per_second"]
-    return summary_of_counts(value_counts(pairs, by, "duration_ms"), by).select(
-        *by,
+    counts = value_counts(pairs, WINDOW, "duration_ms", ABOUT)
+    return summary_of_counts(counts, WINDOW, ABOUT).select(
+        *WINDOW,
+        *ABOUT,
         F.col("count").alias("search_count"),
         F.col("mean").alias("avg_search_duration"),
         F.col("median").alias("median_search_duration"),
@@ -61,8 +63,10 @@ def window_stats(updates, searches, stamp="start", **options):
 def window_means(updates, searches, stamp="start", **options):
     """As `window_stats` without the median: one aggregation after the join."""
     pairs = searches_during(updates, searches, stamp, **options)
-    return pairs.groupBy(*WINDOW, "update_duration", "updates_per_second").agg(
-        F.count("*").alias("search_count"), F.avg("duration_ms").alias("avg_search_duration")
+    return pairs.groupBy(*WINDOW).agg(
+        *[F.max(a).alias(a) for a in ABOUT],
+        F.count("*").alias("search_count"),
+        F.avg("duration_ms").alias("avg_search_duration"),
     )
 
 

@@ -170,14 +170,14 @@ def batch_combined_search(spark, folder):
 @query
 def batch_search_totals(spark, folder):
     requests = tables.requests(spark, folder)
-    totals, _ = batch.batch_search(tables.docs(spark, folder), requests, "doc_id", "n_chars", "text")
+    totals = batch.batch_totals(tables.docs(spark, folder), requests, "doc_id", "n_chars", "text")
     return totals.withColumn("returned_hits", F.col("returned_hits").cast("long"))
 
 
 @query
 def catalogue_totals(spark, folder):
     instruments = tables.instruments(spark, folder)
-    totals, _ = batch.batch_search(instruments, catalogue.search_catalogue(instruments))
+    totals = batch.batch_totals(instruments, catalogue.search_catalogue(instruments))
     return totals.select("query_id", "total_hits")
 
 

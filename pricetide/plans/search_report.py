@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from pricetide.operators.quantiles import exact_quantiles, value_counts
 
-SEARCH_SCHEMA_KEY = ["timestamp", "search_id"]
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
@@ -49,7 +48,7 @@ def duration_by(searches, group):
     return summary_of_counts(value_counts(successful(searches), [group], "duration_ms"), [group])
 
 
-def summary_of_counts(counts, by):
+def summary_of_counts(counts, by, attributes=()):
     """Mean, median, greatest value and number of rows per group, from value counts.
 
     Both halves read the same shuffled counts, so the source is scanned once.
@@ -59,6 +58,7 @@ def summary_of_counts(counts, by):
         (F.sum(value * n) / F.sum(n)).alias("mean"),
         F.max(value).alias("max"),
         F.sum(n).alias("count"),
+        *[F.max(a).alias(a) for a in attributes],
     )
     return basics.join(exact_quantiles(counts, by, {"median": 0.5}), by)
 

@@ -26,14 +26,37 @@ def update_rate_summary(updates):
 def run_ids(updates, host=None):
     """Number the runs in a log whose iteration restarts with each run.
 
-    One log is written by one process at a time and holds a row per pass; give the
-    column that tells logs apart as `host` where several were read together.
+    Restarts are counted within hours and then over hours, so no task holds more than
+    an hour of a log. `host` tells logs apart where several were read together.
     """
-    order = Window.partitionBy(host if host else F.lit(1)).orderBy("timestamp")
-    restarted = F.coalesce(F.lag("iteration").over(order) > F.col("iteration"), F.lit(False))
-    return updates.withColumn("_restarted", restarted.cast("long")).withColumn(
-        "run_id", F.sum("_restarted").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ).drop("_restarted")
+    log = ["_host", "_hour"]
+    rows = updates.withColumns(
+        {
+            "_host": F.col(host) if host else F.lit(""),
+            "_hour": F.date_trunc("hour", "timestamp"),
+        }
+    )
+    inside = Window.partitionBy(*log).orderBy("timestamp")
+    restarted = F.coalesce(F.lag("iteration").over(inside) > F.col("iteration"), F.lit(False))
+    rows = rows.withColumn("_restarted", restarted.cast("long"))
+    hours = rows.groupBy(*log).agg(
+        F.min_by("iteration", "timestamp").alias("first"),
+        F.max_by("iteration", "timestamp").alias("last"),
+        F.sum("_restarted").alias("restarts"),
+    )
+    over = Window.partitionBy("_host").orderBy("_hour")
+    opens = F.coalesce(F.lag("last").over(over) > F.col("first"), F.lit(False)).cast("long")
+    upto = F.sum(F.col("restarts") + F.col("opens")).over(
+        over.rowsBetween(Window.unboundedPreceding, 0)
+    )
+    hours = hours.withColumn("opens", opens).select(*log, (upto - F.col("restarts")).alias("_start"))
+    upto = F.sum("_restarted").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    return (
+        rows.withColumn("_upto", upto)
+        .join(hours, log)
+        .withColumn("run_id", F.col("_start") + F.col("_upto"))
+        .drop(*log, "_restarted", "_upto", "_start")
+    )
 
 
 def flag_partial(updates):
