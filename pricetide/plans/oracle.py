@@ -1,4 +1,8 @@
-"""The same queries as SQL for DuckDB over the given tables."""
+"""The same queries as SQL for DuckDB over the given tables.
+
+Doubles are compared rounded to 6 places. A nudge of 1e-9 on both sides keeps values that
+lie half-way, to the last bit, from being rounded apart.
+"""
 
 from pricetide.plans.catalogue import SEARCHES
 from pricetide.plans.driver_tables import WORDS
@@ -88,7 +92,7 @@ VIEWS = {
     "fenced": """select g.query_type, g.duration_ms, q1, median, q3,
             g.duration_ms between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1) as inside
         from good g join fences f on g.query_type = f.query_type""",
-    "stats": "select min(price) as min_price, max(price) as max_price, round(avg(price), 6) as avg_price from instruments",
+    "stats": "select min(price) as min_price, max(price) as max_price, round(avg(price) + 1e-9, 6) as avg_price from instruments",
 }
 
 
@@ -144,7 +148,7 @@ REPLACED = """select isin, name, long_name, price, cast(null as timestamp) as up
     select isin, name, long_name, price, timestamp '2024-01-01 00:00:00', null from replacements"""
 
 PATCHED = """select t.isin, t.name, t.long_name,
-        round(case when c.isin is not null then c.price else t.price end, 6) as price,
+        round(case when c.isin is not null then c.price else t.price end + 1e-9, 6) as price,
         c.updated_at, c.update_iteration
     from target t left join latest c on t.isin = c.isin"""
 
@@ -158,7 +162,7 @@ def relevance(where, columns):
         f"ln(1 + (n - d{i} + 0.5) / (d{i} + 0.5)) * tf{i} / (tf{i} + 1.2 * (0.25 + 0.75 * dl / avgdl))"
         for i in range(2)
     )
-    return f"""select {columns}, round({score}, 6) as score
+    return f"""select {columns}, round({score} + 1e-9, 6) as score
         from (select doc_id, n_chars, len(words) as dl, {tf[0]} as tf0, {tf[1]} as tf1 from docs),
             (select count(*) as n, avg(len(words)) as avgdl, count_if({tf[0]} > 0) as d0,
                 count_if({tf[1]} > 0) as d1 from docs)
@@ -198,22 +202,22 @@ LABEL = """case when abs(correlation) > 0.7 then 'Strong correlation'
 
 
 def summary(column, table, deviation=False):
-    extra = f", round(stddev_samp({column}), 6) as stddev" if deviation else ""
-    return f"""select round(avg({column}), 6) as mean, round(min({column}), 6) as min,
-        round(max({column}), 6) as max{extra}, round(median({column}), 6) as median from {table}"""
+    extra = f", round(stddev_samp({column}) + 1e-9, 6) as stddev" if deviation else ""
+    return f"""select round(avg({column}) + 1e-9, 6) as mean, round(min({column}) + 1e-9, 6) as min,
+        round(max({column}) + 1e-9, 6) as max{extra}, round(median({column}) + 1e-9, 6) as median from {table}"""
 
 
 def grouped(column):
-    return f"""select {column}, round(avg(duration_ms), 6) as mean, count(*) as count,
-        round(median(duration_ms), 6) as median from good group by {column}"""
+    return f"""select {column}, round(avg(duration_ms) + 1e-9, 6) as mean, count(*) as count,
+        round(median(duration_ms) + 1e-9, 6) as median from good group by {column}"""
 
 
 def window_summary(pairs):
-    return f"""select update_timestamp, iteration, round(update_duration, 6) as update_duration,
-        round(updates_per_second, 6) as updates_per_second, count(*) as search_count,
-        round(avg(duration_ms), 6) as avg_search_duration,
-        round(median(duration_ms), 6) as median_search_duration,
-        round(max(duration_ms), 6) as max_search_duration
+    return f"""select update_timestamp, iteration, round(update_duration + 1e-9, 6) as update_duration,
+        round(updates_per_second + 1e-9, 6) as updates_per_second, count(*) as search_count,
+        round(avg(duration_ms) + 1e-9, 6) as avg_search_duration,
+        round(median(duration_ms) + 1e-9, 6) as median_search_duration,
+        round(max(duration_ms) + 1e-9, 6) as max_search_duration
     from {pairs} group by all"""
 
 
@@ -306,8 +310,8 @@ def synthetic_sql(table, column):
 def synthetic_profile(table, column):
     sql, views = synthetic(table, column)
     return with_views(
-        """select count(*) as rows, round(min(price), 6) as min_price, round(max(price), 6) as max_price,
-            round(avg(price), 6) as avg_price, count(distinct substr(isin, 1, 2)) as countries from made""",
+        """select count(*) as rows, round(min(price) + 1e-9, 6) as min_price, round(max(price) + 1e-9, 6) as max_price,
+            round(avg(price) + 1e-9, 6) as avg_price, count(distinct substr(isin, 1, 2)) as countries from made""",
         made=sql,
         **views,
     )
@@ -328,7 +332,7 @@ def oracle_sql():
     )
     twins = {
         "price_range_top100": "select * from instruments where price between 910 and 960 order by price, isin limit 100",
-        "price_stats": "select round(min_price, 6) as min_price, round(max_price, 6) as max_price, round(avg_price, 6) as avg_price from stats",
+        "price_stats": "select round(min_price + 1e-9, 6) as min_price, round(max_price + 1e-9, 6) as max_price, round(avg_price + 1e-9, 6) as avg_price from stats",
         "text_all_terms": f"select doc_id, n_chars from docs where {all_words(['the', 'and'])} order by n_chars, doc_id limit 100",
         "text_any_term": f"select doc_id, n_chars from docs where list_has_any(words, {quoted(ANY_WORDS)}) order by n_chars, doc_id limit 100",
         "text_bm25_top3": relevance("", "doc_id"),
@@ -336,7 +340,7 @@ def oracle_sql():
         "combined_bm25_top3": relevance("and n_chars between 100 and 500", "doc_id, n_chars"),
         "long_text_filter": "select doc_id, n_chars from docs where length(text) > 150 order by doc_id limit 3",
         "long_text_count": "select count(*) as rows from docs where length(text) > 150",
-        "length_stats": "select round(avg(length(text)), 6) as avg_length, min(length(text)) as min_length, max(length(text)) as max_length from documents",
+        "length_stats": "select round(avg(length(text)) + 1e-9, 6) as avg_length, min(length(text)) as min_length, max(length(text)) as max_length from documents",
         "row_count": "select count(*) as rows from instruments",
         "key_projection": "select isin from instruments",
         "row_sample": f"select row_number() over (order by doc_id) as number, doc_id, {shortened('text')} as text from (select * from docs order by doc_id limit 5)",
@@ -350,9 +354,9 @@ def oracle_sql():
                 when 0 then printf('$%.2f - $%.2f', low, low + total_hits % 100)
                 when 1 then '''' || query_type || ''''
                 else '''' || query_type || ''' + ' || printf('$%.2f - $%.2f', low, low + total_hits % 100) end as label,
-            round(case when low is null then 0.0 else low + total_hits % 100 - low end, 6) as price_range_width,
-            round(duration_ms, 6) as duration_ms,
-            round(case when duration_ms = 0 then 0.0 else total_hits / (duration_ms / 1000 * 1000) end, 6) as hits_per_ms
+            round(case when low is null then 0.0 else low + total_hits % 100 - low end + 1e-9, 6) as price_range_width,
+            round(duration_ms + 1e-9, 6) as duration_ms,
+            round(case when duration_ms = 0 then 0.0 else total_hits / (duration_ms / 1000 * 1000) end + 1e-9, 6) as hits_per_ms
             from (select *, case when search_id % 3 <> 1 then search_id / 4 end as low from searches)""",
         "dup_count": "select count(*) - count(distinct isin) as duplicates from dirty",
         "dedup_keep_first": """select isin, coalesce(name, 'NA') as name, long_name,
@@ -362,18 +366,18 @@ def oracle_sql():
             union all select 'price', count_if(price is null) from dirty
             union all select 'isin', count_if(isin is null) from dirty
             union all select 'long_name', count_if(long_name is null) from dirty) where missing > 0""",
-        "clean_load": "select isin, name, long_name, round(price, 6) as price, timestamp '2024-01-01 00:00:00' as updated_at from cleaned",
-        "csv_import": "select isin, name, long_name, round(price, 6) as price, timestamp '2024-01-01 00:00:00' as updated_at from cleaned",
+        "clean_load": "select isin, name, long_name, round(price + 1e-9, 6) as price, timestamp '2024-01-01 00:00:00' as updated_at from cleaned",
+        "csv_import": "select isin, name, long_name, round(price + 1e-9, 6) as price, timestamp '2024-01-01 00:00:00' as updated_at from cleaned",
         "load_report": """select 'read' as step, count(*) as rows from dirty
             union all select 'after_dedup', count(*) from first_copies
             union all select 'after_dropping_incomplete', count(*) from cleaned""",
-        "upsert_replace": f"select isin, name, long_name, round(price, 6) as price, updated_at, update_iteration from ({REPLACED})",
+        "upsert_replace": f"select isin, name, long_name, round(price + 1e-9, 6) as price, updated_at, update_iteration from ({REPLACED})",
         "patch_prices": PATCHED,
         "stream_patch_prices": PATCHED,
-        "unmatched_changes": """select isin, round(price, 6) as price, updated_at, update_iteration, changes
+        "unmatched_changes": """select isin, round(price + 1e-9, 6) as price, updated_at, update_iteration, changes
             from latest where isin not in (select isin from target)""",
         "merge_tally": """select count(*) as total, count(t.isin) as success_count,
-            count(*) - count(t.isin) as error_count, round(count(t.isin) / 2.5, 6) as updates_per_second
+            count(*) - count(t.isin) as error_count, round(count(t.isin) / 2.5 + 1e-9, 6) as updates_per_second
             from changes c left join target t on c.isin = t.isin""",
         "stream_update_log": """select count(*) as total, count(t.isin) as success_count,
             count(*) - count(t.isin) as error_count, cast(0 as bigint) as odd_rates
@@ -389,18 +393,18 @@ def oracle_sql():
             timestamp '2024-02-01 00:00:00' as updated_at, cast(3 as bigint) as update_iteration
             from (select *, {KEY_NUMBER} + 3 * 7919 as k from instruments)""",
         "search_totals": """select count(*) as total, count_if(success) as successful,
-            count_if(not success) as failed, round(100 * avg(cast(success as integer)), 6) as success_rate from searches""",
+            count_if(not success) as failed, round(100 * avg(cast(success as integer)) + 1e-9, 6) as success_rate from searches""",
         "failed_searches": 'select search_id, "timestamp" from searches where not success',
         "search_duration_stats": summary("duration_ms", "good", True),
         "by_search_type": grouped("search_type"),
         "by_query_type": grouped("query_type"),
         "stream_summary": grouped("query_type"),
         "query_types": "select distinct query_type from searches",
-        "box_stats": """select query_type, round(max(q1), 6) as q1, round(max(median), 6) as median,
-            round(max(q3), 6) as q3, round(min(case when inside then duration_ms end), 6) as low_whisker,
-            round(max(case when inside then duration_ms end), 6) as high_whisker,
+        "box_stats": """select query_type, round(max(q1) + 1e-9, 6) as q1, round(max(median) + 1e-9, 6) as median,
+            round(max(q3) + 1e-9, 6) as q3, round(min(case when inside then duration_ms end) + 1e-9, 6) as low_whisker,
+            round(max(case when inside then duration_ms end) + 1e-9, 6) as high_whisker,
             count_if(not inside) as outliers from fenced group by query_type""",
-        "box_outliers": """select query_type, round(duration_ms, 6) as value, count(*) as n from fenced
+        "box_outliers": """select query_type, round(duration_ms + 1e-9, 6) as value, count(*) as n from fenced
             where not inside group by query_type, duration_ms""",
         "update_totals": "select count(*) as iterations, cast(sum(success_count) as bigint) as updated, cast(sum(error_count) as bigint) as errors from updates",
         "update_duration_stats": summary("duration_seconds", "updates"),
@@ -414,26 +418,26 @@ def oracle_sql():
             count_if(success_count + error_count < total_instruments) as partial_passes,
             count_if(success_count + error_count > total_instruments) as overcounted,
             cast(0 as bigint) as odd_rates from updates""",
-        "window_join": "select iteration, search_id, round(duration_ms, 6) as duration_ms from pairs",
+        "window_join": "select iteration, search_id, round(duration_ms + 1e-9, 6) as duration_ms from pairs",
         "window_stats": window_summary("pairs"),
         "window_stats_end_stamp": window_summary("end_pairs"),
         "window_count": "select count(*) as windows from per_window",
-        "outside_windows": 'select search_id, "timestamp", round(duration_ms, 6) as duration_ms from outside',
+        "outside_windows": 'select search_id, "timestamp", round(duration_ms + 1e-9, 6) as duration_ms from outside',
         "window_join_bucketed": """select w.iteration, s.search_id from ten_minutes w
             join searches s on s."timestamp" between w.window_start and w.window_end""",
         "outside_windows_bucketed": """select s.search_id from searches s where not exists (select 1 from ten_minutes w
             where s."timestamp" between w.window_start and w.window_end)""",
-        "correlations": f"""select pair, round(correlation, 6) as correlation, {LABEL} as label from (
+        "correlations": f"""select pair, round(correlation + 1e-9, 6) as correlation, {LABEL} as label from (
             select 'update_duration_vs_search_time' as pair, {correlation('update_duration')} as correlation from per_window
             union all select 'update_rate_vs_search_time', {correlation('updates_per_second')} from per_window)""",
-        "update_impact": """select round(during, 6) as during, round(during_by_search, 6) as during_by_search,
-            round(outside_mean, 6) as outside, round((during - outside_mean) / outside_mean * 100, 6) as impact_percent
+        "update_impact": """select round(during + 1e-9, 6) as during, round(during_by_search + 1e-9, 6) as during_by_search,
+            round(outside_mean + 1e-9, 6) as outside, round((during - outside_mean) / outside_mean * 100 + 1e-9, 6) as impact_percent
             from (select avg(avg_search_duration) as during,
                 sum(avg_search_duration * search_count) / sum(search_count) as during_by_search,
                 (select avg(duration_ms) from outside) as outside_mean from per_window)""",
-        "series_search": 'select "timestamp", round(duration_ms, 6) as duration_ms from good',
-        "series_update": 'select "timestamp", round(updates_per_second, 6) as updates_per_second from updates',
-        "overlay": """select "timestamp", 'search' as kind, round(duration_ms, 6) as duration_ms from good
+        "series_search": 'select "timestamp", round(duration_ms + 1e-9, 6) as duration_ms from good',
+        "series_update": 'select "timestamp", round(updates_per_second + 1e-9, 6) as updates_per_second from updates',
+        "overlay": """select "timestamp", 'search' as kind, round(duration_ms + 1e-9, 6) as duration_ms from good
             union all select "timestamp", 'update_start', null from updates""",
         "window_seconds": """select iteration, cast(floor(duration_seconds) as bigint) + 1 as steps,
             window_start + to_seconds(cast(floor(duration_seconds) as bigint)) as last_step from windows""",
