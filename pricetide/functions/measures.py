@@ -50,6 +50,15 @@ def impact_percent(during, without):
     return F.try_divide(during - without, without) * 100
 
 
+def fixed(column, places=2):
+    """A number as text with a fixed number of decimals."""
+    return F.format_string(f"%.{places}f", column.cast("double"))
+
+
+def signed_percent(column):
+    return F.format_string("%+.1f%%", column.cast("double"))
+
+
 def search_label(search_type, query_type, low, high, terms):
     """One-line description of a search, by its query type."""
     bounds = F.format_string("$%.2f - $%.2f", low.cast("double"), high.cast("double"))

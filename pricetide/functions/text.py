@@ -56,9 +56,13 @@ def shorten(column, limit, keep, mark="..."):
     ).otherwise(column)
 
 
+def or_missing(column, default="N/A"):
+    return F.coalesce(column, F.lit(default))
+
+
 def preview(column):
     """First 50 characters of a text, `N/A` where there is none."""
-    return F.coalesce(shorten(column, 50, 50), F.lit("N/A"))
+    return or_missing(shorten(column, 50, 50))
 
 
 def pad_with_phrases(column, phrases, at_least):
@@ -70,7 +74,3 @@ def pad_with_phrases(column, phrases, at_least):
             F.length(text) < at_least, F.concat_ws(" ", text, phrase)
         ).otherwise(text),
     )
-
-
-def or_missing(column, default="N/A"):
-    return F.coalesce(column, F.lit(default))

@@ -16,7 +16,7 @@ from pricetide.schemas import QUERY_TYPES
 from pricetide.workspace import stage
 
 # Most text conditions that are matched inside the scan; more are matched by a join.
-INLINE_CONDITIONS = 2_000
+INLINE_CONDITIONS = 500
 
 LOWEST, HIGHEST = -1.7976931348623157e308, 1.7976931348623157e308
 SEARCH = ["condition", "low", "high"]

@@ -4,7 +4,13 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from pricetide.functions.measures import correlation, correlation_label, impact_percent
+from pricetide.functions.measures import (
+    correlation,
+    correlation_label,
+    fixed,
+    impact_percent,
+    signed_percent,
+)
 from pricetide.operators.intervals import interval_join, windows_of
 from pricetide.operators.quantiles import value_counts
 from pricetide.plans.search_report import successful, summary_of_counts
@@ -113,6 +119,16 @@ def update_impact(updates, searches, stamp="start", **options):
     )
 
 
+def impact_lines(updates, searches, stamp="start", **options):
+    """The impact as lines of a report."""
+    row = update_impact(updates, searches, stamp, **options).select(
+        F.concat(fixed(F.col("during")), F.lit("ms")).alias("Search time during updates"),
+        F.concat(fixed(F.col("outside")), F.lit("ms")).alias("Search time without updates"),
+        signed_percent(F.col("impact_percent")).alias("Performance impact"),
+    )
+    return row.unpivot([], row.columns, "measure", "text")
+
+
 def overlay(updates, searches):
     """Search points and update starts on one time line."""
     points = successful(searches).select("timestamp", F.lit("search").alias("kind"), "duration_ms")

@@ -343,6 +343,10 @@ def oracle_sql():
         "length_stats": "select round(avg(length(text)) + 1e-9, 6) as avg_length, min(length(text)) as min_length, max(length(text)) as max_length from documents",
         "row_count": "select count(*) as rows from instruments",
         "key_projection": "select isin from instruments",
+        "preview_rows": "select isin, name, long_name, round(price + 1e-9, 6) as price from instruments order by isin limit 10",
+        "table_profile": """select count(*) as rows, round(min(price) + 1e-9, 6) as min_price,
+            round(max(price) + 1e-9, 6) as max_price, round(avg(price) + 1e-9, 6) as avg_price,
+            count(distinct substr(isin, 1, 2)) as countries from instruments""",
         "row_sample": f"select row_number() over (order by doc_id) as number, doc_id, {shortened('text')} as text from (select * from docs order by doc_id limit 5)",
         "search_result_summary": f"""select count(*) as total_hits, least(count(*), 10000) as total_hits_capped,
             count(*) > 10000 as total_is_lower_bound, least(count(*), 100) as returned_hits,
@@ -399,6 +403,9 @@ def oracle_sql():
         "by_search_type": grouped("search_type"),
         "by_query_type": grouped("query_type"),
         "stream_summary": grouped("query_type"),
+        "stream_update_summary": """select round(avg(duration_seconds) + 1e-9, 6) as mean,
+            round(max(duration_seconds) + 1e-9, 6) as max, count(*) as count,
+            round(median(duration_seconds) + 1e-9, 6) as median from updates""",
         "query_types": "select distinct query_type from searches",
         "box_stats": """select query_type, round(max(q1) + 1e-9, 6) as q1, round(max(median) + 1e-9, 6) as median,
             round(max(q3) + 1e-9, 6) as q3, round(min(case when inside then duration_ms end) + 1e-9, 6) as low_whisker,
@@ -435,6 +442,11 @@ def oracle_sql():
             from (select avg(avg_search_duration) as during,
                 sum(avg_search_duration * search_count) / sum(search_count) as during_by_search,
                 (select avg(duration_ms) from outside) as outside_mean from per_window)""",
+        "impact_lines": """select unnest(['Search time during updates', 'Search time without updates', 'Performance impact']) as measure,
+            unnest([printf('%.2f', during) || 'ms', printf('%.2f', outside_mean) || 'ms',
+                printf('%+.1f', (during - outside_mean) / outside_mean * 100) || '%']) as text
+            from (select avg(avg_search_duration) as during,
+                (select avg(duration_ms) from outside) as outside_mean from per_window)""",
         "series_search": 'select "timestamp", round(duration_ms + 1e-9, 6) as duration_ms from good',
         "series_update": 'select "timestamp", round(updates_per_second + 1e-9, 6) as updates_per_second from updates',
         "overlay": """select "timestamp", 'search' as kind, round(duration_ms + 1e-9, 6) as duration_ms from good
@@ -452,6 +464,8 @@ def oracle_sql():
             case when success then duration_ms end as first_price from searches""",
     }
     sql = {name: with_views(text) for name, text in twins.items()}
+    sql["stream_search_totals"] = sql["search_totals"]
+    sql["stream_update_totals"] = sql["update_totals"]
     sql["batch_combined_search"] = with_views(RANKED.format(key="doc_id"), **doc_match)
     sql["batch_search_totals"] = with_views(COUNTED, **doc_match)
     sql["batch_text_search"] = with_views(RANKED.format(key="doc_id"), **text_match)

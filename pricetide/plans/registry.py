@@ -110,6 +110,16 @@ def key_projection(spark, folder):
     return readers.keys_of(tables.instruments(spark, folder))
 
 
+@query
+def preview_rows(spark, folder):
+    return plain(search.first_rows(tables.instruments(spark, folder), 10))
+
+
+@query
+def table_profile(spark, folder):
+    return plain(search.table_profile(tables.instruments(spark, folder)))
+
+
 @query
 def row_sample(spark, folder):
     few = search.first_rows(tables.docs(spark, folder), 5, "doc_id")
@@ -219,8 +229,10 @@ def dedup_keep_first(spark, folder):
 
 @query
 def dedup_documents(spark, folder):
-    docs = tables.docs(spark, folder)
-    return cleaning.keep_first(docs, "text", "doc_id").select("doc_id", "n_chars")
+    # A long key moves as its digest.
+    digest = F.unhex(F.sha2("text", 256)).alias("digest")
+    docs = tables.docs(spark, folder).select("doc_id", "n_chars", digest)
+    return cleaning.keep_first(docs, "digest", "doc_id").select("doc_id", "n_chars")
 
 
 @query
@@ -365,6 +377,7 @@ report(
 )
 report("correlations", impact.correlations)
 report("update_impact", impact.update_impact)
+report("impact_lines", impact.impact_lines)
 report("series_search", lambda u, s: impact.search_series(s))
 report("series_update", lambda u, s: impact.update_series(u))
 report("overlay", lambda u, s: impact.overlay(u, s))
@@ -540,10 +553,41 @@ def stream_search_log(spark, folder):
 def stream_summary(spark, folder):
     work = shared_folder(spark, "summary-stream")
     searches = tables.search_metrics_of(read_stream(spark, folder, "events"))
+    searches = search_report.successful(searches)
     log_stream.start_summary(searches, f"{work}/out", f"{work}/checkpoint").awaitTermination()
     return plain(log_stream.latest_summary(spark, f"{work}/out").drop("max"))
 
 
+@query
+def stream_update_summary(spark, folder):
+    work = shared_folder(spark, "update-summary-stream")
+    updates = tables.update_metrics_of(read_stream(spark, folder, "events"))
+    log_stream.start_summary(
+        updates, f"{work}/out", f"{work}/checkpoint", by=(), value="duration_seconds"
+    ).awaitTermination()
+    return plain(log_stream.latest_summary(spark, f"{work}/out").drop("everything"))
+
+
+@query
+def stream_search_totals(spark, folder):
+    work = shared_folder(spark, "totals-stream")
+    searches = tables.search_metrics_of(read_stream(spark, folder, "events"))
+    log_stream.start_totals(
+        search_report.search_totals(searches), f"{work}/out", f"{work}/checkpoint"
+    ).awaitTermination()
+    return plain(log_stream.latest_summary(spark, f"{work}/out"))
+
+
+@query
+def stream_update_totals(spark, folder):
+    work = shared_folder(spark, "totals-stream")
+    updates = tables.update_metrics_of(read_stream(spark, folder, "events"))
+    log_stream.start_totals(
+        update_report.update_totals(updates), f"{work}/out", f"{work}/checkpoint"
+    ).awaitTermination()
+    return plain(log_stream.latest_summary(spark, f"{work}/out"))
+
+
 # Synthetic tables
 
 

@@ -112,26 +112,16 @@ def keys(row_id):
     return F.concat(pick(row_id, 3, COUNTRIES), middle, digit)
 
 
-def _filled(pattern, row_id, words, salt):
-    """A pattern as a column: its text with a word for each list it names."""
-    parts = []
-    for piece in pattern.replace("{", "\0{").replace("}", "}\0").split("\0"):
-        if piece.startswith("{"):
-            name = piece[1:-1]
-            values = getattr(words, name.rstrip("2"))
-            place = list(Vocabulary.__dataclass_fields__).index(name.rstrip("2"))
-            parts.append(pick(row_id, salt + place + (10 if name.endswith("2") else 0), values))
-        elif piece:
-            parts.append(F.lit(piece))
-    return F.concat(*parts)
-
-
-def _one_of(patterns, row_id, words, salt):
-    choice = scramble(row_id, salt) % len(patterns)
-    column = F.lit(None).cast("string")
-    for i, pattern in enumerate(patterns):
-        column = F.when(choice == i, _filled(pattern, row_id, words, salt)).otherwise(column)
-    return column
+def _filled(patterns, row_id, words, salt):
+    """One of the patterns, with a word for each list it names. A list named with a 2
+    gives a second word."""
+    text = pick(row_id, salt, patterns)
+    for place, name in enumerate(Vocabulary.__dataclass_fields__):
+        for slot, shift in ((f"{{{name}}}", 0), (f"{{{name}2}}", 10)):
+            if any(slot in pattern for pattern in patterns):
+                word = pick(row_id, salt + place + shift, getattr(words, name))
+                text = F.replace(text, F.lit(slot), word)
+    return text
 
 
 def prices(row_id, salt=60):
@@ -148,16 +138,15 @@ def synthetic_instruments(df, row_id="id", words=Vocabulary()):
     """One instrument per row id of `df`."""
     i = F.col(row_id)
     start = scramble(i, 59) % len(words.closings)
-    turned = F.transform(
-        F.sequence(F.lit(0), F.lit(len(words.closings) - 1)),
-        lambda k: F.element_at(
-            F.array(*map(F.lit, words.closings)), ((start + k) % len(words.closings) + 1).cast("int")
-        ),
+    closings = F.array(*map(F.lit, words.closings))
+    turned = F.concat(
+        F.slice(closings, start.cast("int") + 1, len(words.closings)),
+        F.slice(closings, F.lit(1), start.cast("int")),
     )
-    long_name = pad_with_phrases(_one_of(words.long_patterns, i, words, 40), turned, LONG_NAME_MIN)
+    long_name = pad_with_phrases(_filled(words.long_patterns, i, words, 40), turned, LONG_NAME_MIN)
     return df.select(
         keys(i).alias("isin"),
-        _one_of(words.name_patterns, i, words, 20).alias("name"),
+        _filled(words.name_patterns, i, words, 20).alias("name"),
         shorten(long_name, LONG_NAME_MAX, LONG_NAME_CUT).alias("long_name"),
         prices(i).alias("price"),
     )

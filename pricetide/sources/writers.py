@@ -17,11 +17,34 @@ def conform(df, schema):
     )
 
 
-def create_table(spark, name, rows=None, schema=INSTRUMENTS):
-    """Create the table with the declared columns, dropping one that exists."""
+def create_table(spark, name, rows=None, schema=INSTRUMENTS, buckets=None, key="isin"):
+    """Create the table with the declared columns, dropping one that exists.
+
+    With `buckets` the rows lie in that many hash buckets of the key, each sorted, so
+    that merges by key move only the changes and leave the table where it is. Spark
+    keeps to buckets best when they are as many as `spark.sql.shuffle.partitions`.
+    """
     empty = spark.createDataFrame([], schema)
     df = empty if rows is None else conform(rows, schema)
-    df.write.mode("overwrite").saveAsTable(name)
+    if buckets:
+        # One file per bucket: rows meet in their bucket before they are written.
+        writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    else:
+        writer = df.write
+    writer.mode("overwrite").saveAsTable(name)
+
+
+def swap_table(spark, name, rows, **options):
+    """Put `rows`, which may be read from the table, in its place.
+
+    They are written beside it first, so readers have the old rows until the end.
+    """
+    create_table(spark, f"{name}_next", rows, **options)
+    spark.sql(f"drop table if exists {name}_last")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"alter table {name} rename to {name}_last")
+    spark.sql(f"alter table {name}_next rename to {name}")
+    spark.sql(f"drop table if exists {name}_last")
 
 
 def export_csv(df, path, single_file=False):
@@ -68,6 +91,7 @@ def export_log_csv(df, path):
     columns = {"timestamp": iso_text(F.col("timestamp"))}
     if "sample_data" in df.columns:
         columns["sample_data"] = F.to_json("sample_data")
-        for c in ("min_price", "max_price", "price_range_width"):
+        for c in ("min_price", "max_price"):
             columns[c] = F.nullif(F.col(c), F.lit(0.0))
+        columns["price_range_width"] = F.when(F.col("price_range_width") > 0, F.col("price_range_width"))
     export_csv(df.withColumns(columns), path)

@@ -6,7 +6,7 @@ Each trigger turns the counts into exact means and medians.
 
 from pyspark.sql import functions as F
 
-from pricetide.plans.search_report import successful, summary_of_counts
+from pricetide.plans.search_report import summary_of_counts
 
 
 def _counted(logs, by, value):
@@ -15,8 +15,14 @@ def _counted(logs, by, value):
     ).agg(F.count("*").alias("n"))
 
 
-def start_summary(searches, out, checkpoint, by=("query_type",), value="duration_ms", trigger=None):
-    """Keep a summary per group; each trigger writes it whole to its own folder."""
+def start_summary(logs, out, checkpoint, by=("query_type",), value="duration_ms", trigger=None):
+    """Keep mean, median, greatest value and rows per group.
+
+    Each trigger writes the summary whole to its own folder. Without groups the log is
+    one group, `everything`.
+    """
+    if not by:
+        by, logs = ["everything"], logs.withColumn("everything", F.lit("all"))
     by = list(by)
 
     def write(counts, batch_id):
@@ -27,7 +33,7 @@ def start_summary(searches, out, checkpoint, by=("query_type",), value="duration
         summary_of_counts(counts, by).write.mode("overwrite").parquet(f"{out}/summary/batch={batch_id}")
 
     return (
-        _counted(successful(searches), by, value)
+        _counted(logs, by, value)
         .writeStream.outputMode("complete")
         .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
@@ -36,6 +42,21 @@ def start_summary(searches, out, checkpoint, by=("query_type",), value="duration
     )
 
 
+def start_totals(totals, out, checkpoint, trigger=None):
+    """Keep the totals of a log: any one-row aggregation of a stream."""
+
+    def write(row, batch_id):
+        row.write.mode("overwrite").parquet(f"{out}/summary/batch={batch_id}")
+
+    return (
+        totals.writeStream.outputMode("complete")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def latest_summary(spark, out):
     """The summary of the last finished trigger."""
     all_summaries = spark.read.parquet(f"{out}/summary")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricetide.functions.times import add_seconds, iso_text, second_grid
+from pricetide.operators import merge
 from pricetide.schemas import INSTRUMENTS, PRICE, SEARCH_METRICS, UPDATE_METRICS
 from pricetide.sources import readers, synthetic, writers
 from pricetide.workspace import shared_folder, stage
@@ -78,6 +79,27 @@ def test_create_table_replaces(spark):
     spark.sql("drop table instruments_made")
 
 
+def test_merges_leave_a_bucketed_table_in_place(spark):
+    made = synthetic.generate(spark, 300)
+    writers.create_table(spark, "bucketed", made, buckets=8)
+    changes = synthetic.price_pass(made.select("isin"), 1, "2024-01-01 00:00:00")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        patched = merge.patch_rows(spark.table("bucketed"), changes)
+        plan = patched._jdf.queryExecution().executedPlan().toString()
+        scan = [line for line in plan.splitlines() if "FileScan" in line]
+        assert len(scan) == 1 and "Bucketed: true" in scan[0]
+        # The only shuffle is that of the changes, none lies above the table's scan.
+        assert plan.count("Exchange") == 1
+        writers.swap_table(spark, "bucketed", patched, buckets=8)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert spark.table("bucketed").where("update_iteration = 1").count() == 300
+    assert not readers.table_exists(spark, "bucketed_next")
+    assert not readers.table_exists(spark, "bucketed_last")
+    spark.sql("drop table bucketed")
+
+
 def test_export_and_import_give_the_same_rows(spark, tmp_path, rows):
     made = synthetic.generate(spark, 200)
     path = str(tmp_path / "csv")
