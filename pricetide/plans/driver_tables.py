@@ -7,34 +7,41 @@ def read(spark, folder, table):
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def key_of(number):
-    return F.concat(
-        F.lit("US"), F.lpad(number.cast("string"), 9, "0"), (number % 10).cast("string")
-    )
+def key_of(number, country="US"):
+    country = F.lit(country) if isinstance(country, str) else country
+    return F.concat(country, F.lpad(number.cast("string"), 9, "0"), (number % 10).cast("string"))
 
 
-def instruments(spark, folder):
-    return read(spark, folder, "part").select(
-        key_of(F.col("p_partkey")).alias("isin"),
+def instruments_of(parts, country="US"):
+    return parts.select(
+        key_of(F.col("p_partkey"), country).alias("isin"),
         F.col("p_name").alias("name"),
         F.concat_ws(" ", "p_brand", "p_type", "p_name").alias("long_name"),
         F.col("p_retailprice").alias("price"),
     )
 
 
+def instruments(spark, folder):
+    return instruments_of(read(spark, folder, "part"))
+
+
 def docs(spark, folder):
     """Documents as a table to search: text by words, length as the number."""
     return read(spark, folder, "documents").select("doc_id", "text", "n_chars")
 
 
 def price_changes(spark, folder):
-    """Line items as price changes; the last two columns break ties of the date."""
     return price_changes_of(read(spark, folder, "lineitem"))
 
 
 def price_changes_of(line_items):
+    """Line items as price changes; the last two columns break ties of the date.
+
+    Returned items change the listing in another country, which the table lacks.
+    """
+    country = F.when(F.col("l_returnflag") == "R", "GB").otherwise("US")
     return line_items.select(
-        key_of(F.col("l_partkey")).alias("isin"),
+        key_of(F.col("l_partkey"), country).alias("isin"),
         F.col("l_extendedprice").alias("price"),
         F.col("l_shipdate").cast("timestamp").alias("updated_at"),
         F.col("l_orderkey").alias("update_iteration"),
@@ -46,43 +53,45 @@ CHANGE_ORDER = ["updated_at", "update_iteration", "line"]
 
 
 def merge_target(spark, folder):
-    """Instruments without every tenth key, so that some changes match nothing."""
-    return (
-        instruments(spark, folder)
-        .where(F.substring("isin", 12, 1) != "0")
-        .withColumn("updated_at", F.lit(None).cast("timestamp"))
-        .withColumn("update_iteration", F.lit(None).cast("long"))
+    return instruments(spark, folder).withColumns(
+        {
+            "updated_at": F.lit(None).cast("timestamp"),
+            "update_iteration": F.lit(None).cast("long"),
+        }
     )
 
 
 def replacements(spark, folder):
-    """Source of a replacing merge: every third instrument at twice its price."""
+    """Source of a replacing merge: every part at twice its price, promotions as new listings."""
+    country = F.when(F.col("p_type") == "PROMO", "GB").otherwise("US")
     return (
-        instruments(spark, folder)
-        .where(F.substring("isin", 3, 9).cast("long") % 3 == 0)
+        instruments_of(read(spark, folder, "part"), country)
         .withColumn("price", F.col("price") * 2)
         .withColumn("updated_at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
     )
 
 
 def dirty_instruments(spark, folder):
-    """Instruments with second copies and missing values, as text and in a known order."""
-    base = instruments(spark, folder)
-    number = F.substring("isin", 3, 9).cast("long")
-    text_price = F.col("price").cast("decimal(10,2)")
-    first = base.select(
-        "isin",
-        F.when(number % 14 == 0, F.lit("NA")).otherwise(F.col("name")).alias("name"),
-        "long_name",
-        F.when(number % 35 == 0, F.lit("")).otherwise(text_price.cast("string")).alias("price"),
-        (number * 2).alias("row_order"),
+    """Every instrument twice, as text and in a known order, first copies with gaps.
+
+    Small parts lack their name in the first copy, large ones their price.
+    """
+    parts = read(spark, folder, "part")
+    cents = F.col("p_retailprice").cast("decimal(10,2)")
+    long_name = F.concat_ws(" ", "p_brand", "p_type", "p_name")
+    first = parts.select(
+        key_of(F.col("p_partkey")).alias("isin"),
+        F.when(F.col("p_type") == "SMALL", "NA").otherwise(F.col("p_name")).alias("name"),
+        long_name.alias("long_name"),
+        F.when(F.col("p_type") == "LARGE", "").otherwise(cents.cast("string")).alias("price"),
+        (F.col("p_partkey") * 2).alias("row_order"),
     )
-    second = base.where(number % 7 == 0).select(
-        "isin",
-        "name",
-        "long_name",
-        (text_price + 1).cast("decimal(10,2)").cast("string").alias("price"),
-        (number * 2 + 1).alias("row_order"),
+    second = parts.select(
+        key_of(F.col("p_partkey")).alias("isin"),
+        F.col("p_name").alias("name"),
+        long_name.alias("long_name"),
+        (cents + 1).cast("decimal(10,2)").cast("string").alias("price"),
+        (F.col("p_partkey") * 2 + 1).alias("row_order"),
     )
     return first.unionByName(second)
 

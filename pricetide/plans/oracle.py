@@ -17,8 +17,8 @@ from pricetide.sources.synthetic import (
 )
 
 
-def key_of(number):
-    return f"'US' || lpad(cast({number} as varchar), 9, '0') || cast({number} % 10 as varchar)"
+def key_of(number, country="'US'"):
+    return f"{country} || lpad(cast({number} as varchar), 9, '0') || cast({number} % 10 as varchar)"
 
 
 def words_of(text):
@@ -36,21 +36,20 @@ VIEWS = {
     "instruments": f"""select {key_of('p_partkey')} as isin, p_name as name,
         concat_ws(' ', p_brand, p_type, p_name) as long_name, p_retailprice as price from part""",
     "docs": f"""select doc_id, text, n_chars, {words_of('text')} as words from documents""",
-    "changes": f"""select {key_of('l_partkey')} as isin, l_extendedprice as price,
+    "changes": f"""select {key_of('l_partkey', "case when l_returnflag = 'R' then 'GB' else 'US' end")} as isin, l_extendedprice as price,
         l_shipdate as updated_at, l_orderkey as update_iteration, l_linenumber as line from lineitem""",
-    "target": """select isin, name, long_name, price from instruments
-        where substr(isin, 12, 1) <> '0'""",
+    "target": "select isin, name, long_name, price from instruments",
     "latest": """select * from (select *, row_number() over (partition by isin
             order by updated_at desc, update_iteration desc, line desc) as rn,
             count(*) over (partition by isin) as changes from changes) where rn = 1""",
-    "replacements": """select isin, name, long_name, price * 2 as price from instruments
-        where cast(substr(isin, 3, 9) as bigint) % 3 = 0""",
-    "dirty": """select isin, case when n % 14 = 0 then null else name end as name, long_name,
-            case when n % 35 = 0 then null else price end as price, n * 2 as row_order
-        from (select *, cast(substr(isin, 3, 9) as bigint) as n from instruments)
+    "replacements": f"""select {key_of('p_partkey', "case when p_type = 'PROMO' then 'GB' else 'US' end")} as isin,
+        p_name as name, concat_ws(' ', p_brand, p_type, p_name) as long_name, p_retailprice * 2 as price from part""",
+    "dirty": f"""select {key_of('p_partkey')} as isin, case when p_type <> 'SMALL' then p_name end as name,
+            concat_ws(' ', p_brand, p_type, p_name) as long_name,
+            case when p_type <> 'LARGE' then p_retailprice end as price, p_partkey * 2 as row_order from part
         union all
-        select isin, name, long_name, price + 1, n * 2 + 1
-        from (select *, cast(substr(isin, 3, 9) as bigint) as n from instruments) where n % 7 = 0""",
+        select {key_of('p_partkey')}, p_name, concat_ws(' ', p_brand, p_type, p_name),
+            p_retailprice + 1, p_partkey * 2 + 1 from part""",
     "first_copies": """select * from (select *, row_number() over (partition by isin
             order by row_order) as rn from dirty) where rn = 1""",
     "cleaned": """select isin, name, long_name, price from first_copies

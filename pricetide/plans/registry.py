@@ -479,9 +479,9 @@ def search_log_csv(spark, folder):
 
 def read_stream(spark, folder, table):
     schema = tables.read(spark, folder, table).schema
-    # The file source watches folders; the filter picks the table's file in it.
-    one = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
-    return one.parquet(folder)
+    # A pattern, because the file source takes a plain path for a folder, and a table may
+    # be a folder or a single file.
+    return spark.readStream.schema(schema).parquet(f"{folder}/{table}.parque[t]")
 
 
 def run_price_stream(spark, folder):

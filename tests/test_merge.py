@@ -3,6 +3,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from pricetide.operators import merge as M
+from pricetide.plans import driver_tables as tables
 from pricetide.schemas import INSTRUMENTS
 from pricetide.sources import synthetic
 
@@ -80,3 +81,14 @@ def test_a_pass_sets_every_price(spark):
     assert patched.where("update_iteration = 4").count() == 500
     assert patched.schema["price"].dataType == INSTRUMENTS["price"].dataType
     assert changes.where("price between 1 and 5000").count() == 500
+
+
+def test_golden_numbers_of_the_latest_changes(spark):
+    folder = "/root/testdata/sf0.01"
+    in_one_country = F.concat(F.lit("US"), F.substring("isin", 3, 10))
+    changes = tables.price_changes(spark, folder).withColumn("isin", in_one_country)
+    listed = tables.merge_target(spark, folder).where("isin not like '%0'")
+    patched = M.patch_rows(listed, changes, order=tables.CHANGE_ORDER).where("updated_at is not null")
+    row = patched.agg(F.count("*").alias("n"), F.sum("price").alias("s")).first()
+    assert row.n == 1800 and abs(row.s - 95_335_140.44) < 0.01
+    assert M.unmatched_changes(listed, changes, order=tables.CHANGE_ORDER).count() == 200
