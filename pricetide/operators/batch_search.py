@@ -173,11 +173,15 @@ def batch_totals(
     text="long_name",
     size=100,
     inline_conditions=INLINE_CONDITIONS,
+    check_types=True,
 ):
     """Hits of every query: total_hits, the same as a capped counter shows it
     (total_hits_capped, total_is_lower_bound) and returned_hits. One scan of the items.
+
+    An unknown query type fails the job; with `check_types=False` the caller has sorted
+    such queries out.
     """
-    asked = _searches(check_query_types(queries))
+    asked = _searches(check_query_types(queries) if check_types else queries)
     searches = asked.select("words", *SEARCH).distinct()
     matched = _matches(items, searches, key, price, text, (), inline_conditions)
     return _totals(queries, asked, _found(_steps(matched, searches)), size)
@@ -192,6 +196,7 @@ def batch_search(
     size=100,
     carry=(),
     inline_conditions=INLINE_CONDITIONS,
+    check_types=True,
 ):
     """Hit totals and cheapest hits of every query.
 
@@ -200,7 +205,7 @@ def batch_search(
     price ranges. The running counts, and for texts the matches, are written to the
     shared folder, so that texts are split up once.
     """
-    asked = _searches(check_query_types(queries))
+    asked = _searches(check_query_types(queries) if check_types else queries)
     searches = asked.select("words", *SEARCH).distinct()
     matched = _matches(items, searches, key, price, text, carry, inline_conditions)
     if text is not None:

@@ -16,7 +16,7 @@ def answer(items, queries, key="isin", price="price", text="long_name", size=100
     good = valid_type(F.coalesce("query_type", F.lit("")))
     items = items.withColumn("preview", preview(F.col(text)))
     totals, hits = batch_search(
-        items, queries.where(good), key, price, text, size, carry=["preview"]
+        items, queries.where(good), key, price, text, size, carry=["preview"], check_types=False
     )
     samples = hits.where(F.col("rank") <= SAMPLE_SIZE).groupBy("query_id").agg(
         F.transform(
