@@ -35,9 +35,8 @@ def has_all_terms(column, text):
     terms = query_terms(text)
     if not terms:
         return F.lit(False)
-    maybe = [F.contains(F.lower(column), F.lit(t)) for t in terms]
-    found = [F.array_contains(tokens(column), t) for t in terms]
-    return reduce(lambda a, b: a & b, maybe + found)
+    maybe = reduce(lambda a, b: a & b, [F.contains(F.lower(column), F.lit(t)) for t in terms])
+    return maybe & (F.size(F.array_except(F.array(*map(F.lit, terms)), tokens(column))) == 0)
 
 
 def has_any_term(column, text):

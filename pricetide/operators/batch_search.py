@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pricetide.functions.measures import capped_hits
 from pricetide.functions.text import tokens
 from pricetide.operators.ranking import first_per_group, running_total
-from pricetide.operators.skew import BROADCAST_ROWS, split_hot_keys
+from pricetide.operators.skew import BROADCAST_ROWS, is_small, split_hot_keys
 from pricetide.schemas import QUERY_TYPES
 from pricetide.workspace import stage
 
@@ -89,7 +89,7 @@ def _matches_joined(rows, text, conditions, key, carry):
     row_words = stage(row_words, "row-words")
     row_words, per_word = split_hot_keys(row_words, per_word, ["word"], [key], ["condition"])
     with_text = (
-        row_words.join(per_word, ["word", "split"])
+        row_words.join(per_word, ["word", "_split"])
         .groupBy(key, "price", "condition", "needed", *carry)
         .agg(F.count("*").alias("found"))
         .where("found = needed")
@@ -111,10 +111,9 @@ def _matches(items, searches, key, price, text, carry, inline_conditions):
     if text is None:
         return rows.drop("_text").withColumn("condition", F.lit(""))
     text = "_text"
-    few = conditions.limit(inline_conditions + 1).count() <= inline_conditions
     matched = (
         _matches_inline(rows, text, conditions)
-        if few
+        if is_small(conditions, inline_conditions)
         else _matches_joined(rows, text, conditions, key, carry)
     )
     return matched.select("condition", "price", key, *carry)
@@ -233,7 +232,7 @@ def batch_search(
         .select(*SEARCH, "below", "last", "price", "before")
     )
     # A search needs at most `size` prices, so few searches need few of them.
-    few = searches.limit(BROADCAST_ROWS // size + 1).count() <= BROADCAST_ROWS // size
+    few = is_small(searches, BROADCAST_ROWS // size)
     wanted = needed.select("condition", "price").distinct()
     rows = matched.join(F.broadcast(wanted) if few else wanted, ["condition", "price"], "left_semi")
     # No price needs more than its first `size` rows, however many it has.

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from pricetide.functions.times import add_seconds, micros
-from pricetide.operators.skew import ROWS_PER_TASK, split_hot_keys
+from pricetide.operators.skew import BROADCAST_ROWS, ROWS_PER_TASK, is_small, split_hot_keys
 
 # Limit on the buckets one window may cover, so that no row grows without bound.
 MAX_BUCKETS = 100_000
@@ -31,14 +31,16 @@ def interval_join(
     how="inner",
     bucket_seconds=None,
     rows_per_task=ROWS_PER_TASK,
+    broadcast_rows=BROADCAST_ROWS,
 ):
     """Points joined with the windows whose [window_start, window_end] holds them.
 
     `how` is "inner" (a row per point and window) or "left_anti" (points in no
     window). Both sides meet on time buckets. With buckets of the mean window
     length the windows grow about threefold whatever their lengths, points are
-    never copied, and most compared pairs are results. Buckets with too many
-    points are split by `point_id`, for pairs also those with too many windows.
+    never copied, and most compared pairs are results. Few windows go to the points as
+    a broadcast; otherwise buckets with too many points are split by `point_id`, for
+    pairs also those with too many windows.
     """
     windows = windows.withColumn("_from", micros(F.col("window_start"))).withColumn(
         "_to", micros(F.col("window_end"))
@@ -67,16 +69,18 @@ def interval_join(
         window_id = None
     else:
         window_id = windows.columns
-    points, windows = split_hot_keys(
-        points, windows, ["_bucket"], point_id, window_id, rows_per_task
+    inside = (F.col("p._bucket") == F.col("w._bucket")) & F.col("p._at").between(
+        F.col("w._from"), F.col("w._to")
     )
+    if is_small(windows, broadcast_rows):
+        windows = F.broadcast(windows)
+    else:
+        points, windows = split_hot_keys(
+            points, windows, ["_bucket"], point_id, window_id, rows_per_task
+        )
+        inside = inside & (F.col("p._split") == F.col("w._split"))
     p, w = points.alias("p"), windows.alias("w")
-    inside = (
-        (F.col("p._bucket") == F.col("w._bucket"))
-        & (F.col("p.split") == F.col("w.split"))
-        & F.col("p._at").between(F.col("w._from"), F.col("w._to"))
-    )
-    helpers = {"_bucket", "split", "_at", "_from", "_to"}
+    helpers = {"_bucket", "_split", "_at", "_from", "_to"}
     columns = [F.col(f"p.{c}") for c in points.columns if c not in helpers]
     if how == "inner":
         columns = [F.col(f"w.{c}") for c in windows.columns if c not in helpers] + columns

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from pricetide.functions.measures import rate
+from pricetide.operators.skew import broadcast_if_small, is_small
 
 CHANGE_ORDER = ["updated_at", "update_iteration"]
 PATCHED = ["price", "updated_at", "update_iteration"]
@@ -14,7 +15,7 @@ def replace_rows(target, source, key="isin"):
     Columns the source lacks become NULL in replaced rows. Source keys have to be
     unique, as `clean` leaves them.
     """
-    kept = target.join(source.select(key), key, "left_anti")
+    kept = target.join(broadcast_if_small(source.select(key)), key, "left_anti")
     return kept.unionByName(source, allowMissingColumns=True).select(*target.columns)
 
 
@@ -42,6 +43,9 @@ def patch_rows(target, changes, key="isin", order=CHANGE_ORDER, columns=PATCHED)
     new = latest_changes(changes, key, order, columns).select(
         key, *[F.col(c).alias(f"_new_{c}") for c in columns]
     )
+    if is_small(changes):
+        # No more keys than changes: the target stays where it is.
+        new = F.broadcast(new)
     due = F.col("_new_updated_at").isNotNull() & (
         F.col("updated_at").isNull() | (F.col("_new_updated_at") >= F.col("updated_at"))
     )
@@ -54,16 +58,20 @@ def patch_rows(target, changes, key="isin", order=CHANGE_ORDER, columns=PATCHED)
 def unmatched_changes(target, changes, key="isin", order=CHANGE_ORDER, columns=PATCHED):
     """Latest change of each key the target does not have."""
     latest = latest_changes(changes, key, order, columns)
-    return latest.join(target.select(key), key, "left_anti")
+    known = target.select(key)
+    if is_small(changes):
+        known = known.join(F.broadcast(changes.select(key)), key, "left_semi")
+    return latest.join(known, key, "left_anti")
 
 
 def merge_tally(target, changes, key="isin", seconds=None):
     """Changes in all, applied and failed, and the rate of applied ones."""
     per_key = changes.groupBy(key).agg(F.count("*").alias("n"))
-    known = target.select(key).withColumn("known", F.lit(True))
-    tally = per_key.join(known, key, "left").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total"),
-        F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0)).cast("long").alias("success_count"),
+    if is_small(changes):
+        per_key = F.broadcast(per_key)
+    applied = per_key.join(target.select(key), key).agg(F.sum("n").alias("n"))
+    tally = changes.agg(F.count("*").alias("total")).select(
+        "total", F.coalesce(applied.scalar(), F.lit(0)).cast("long").alias("success_count")
     )
     tally = tally.withColumn("error_count", F.col("total") - F.col("success_count"))
     if seconds is None:

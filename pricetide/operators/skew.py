@@ -3,23 +3,31 @@
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 4_000_000
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 50_000
+
+
+def is_small(df, max_rows=BROADCAST_ROWS):
+    """Whether a frame has at most `max_rows` rows.
+
+    Takes that many constants, which Spark reads from a few partitions first, so a large
+    frame is told by its first tasks.
+    """
+    return len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
 
 
 def broadcast_if_small(df, max_rows=BROADCAST_ROWS):
-    """Mark `df` for broadcast when it has at most `max_rows` rows.
+    """Mark a narrow frame for broadcast when it has at most `max_rows` rows.
 
-    Counts no further than the limit. Beyond it the frame is returned as it is
-    and Spark joins by shuffling. Meant for narrow, key-like frames.
+    The other side of a join then stays where it is from the start; without the mark a
+    large side may be shuffled before the small one is known to be small.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def split_hot_keys(left, right, keys, left_id, right_id=None, rows_per_task=ROWS_PER_TASK):
     """Spread the rows of hot join keys over several splits.
 
-    Adds a `split` column to both sides; joining on `keys + ["split"]` gives what joining
+    Adds a `_split` column to both sides; joining on `keys + ["_split"]` gives what joining
     on `keys` gave. A hot key's rows are divided by a hash of their id columns and meet a
     copy of the other side's rows in each split. Without `right_id` only the left side is
     divided, so that left rows have no copies and outer or anti joins stay right.
@@ -36,14 +44,14 @@ def split_hot_keys(left, right, keys, left_id, right_id=None, rows_per_task=ROWS
             F.lit(1).cast("long").alias(other),
         )
 
-    table = hot(left, "left_splits", "right_splits")
+    table = hot(left, "_left_splits", "_right_splits")
     if right_id is not None:
-        table = table.unionByName(hot(right, "right_splits", "left_splits"))
+        table = table.unionByName(hot(right, "_right_splits", "_left_splits"))
         table = table.groupBy(*keys).agg(
-            F.max("left_splits").alias("left_splits"), F.max("right_splits").alias("right_splits")
+            F.max("_left_splits").alias("_left_splits"), F.max("_right_splits").alias("_right_splits")
         )
     one = F.lit(1).cast("long")
-    lefts, rights = F.coalesce("left_splits", one), F.coalesce("right_splits", one)
+    lefts, rights = F.coalesce("_left_splits", one), F.coalesce("_right_splits", one)
 
     def all_of(splits):
         return F.explode(F.sequence(F.lit(0).cast("long"), splits - 1))
@@ -58,8 +66,8 @@ def split_hot_keys(left, right, keys, left_id, right_id=None, rows_per_task=ROWS
         split = F.col("_left_split") * rights + F.col("_right_split")
     else:
         split = F.col("_left_split")
-    helpers = ["_left_split", "_right_split", "left_splits", "right_splits"]
+    helpers = ["_left_split", "_right_split", "_left_splits", "_right_splits"]
     return (
-        left.withColumn("split", split).drop(*helpers),
-        right.withColumn("split", split).drop(*helpers),
+        left.withColumn("_split", split).drop(*helpers),
+        right.withColumn("_split", split).drop(*helpers),
     )

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from pricetide.schemas import REQUIRED_COLUMNS, SAMPLE, SEARCH_METRICS, UPDATE_METRICS
 
 
-def _read_csv(spark, path):
+def _read_csv(spark, path, multiline=False):
     # No schema: Spark would bind one by position and ignore the header.
-    return spark.read.option("header", True).option("escape", '"').csv(path)
+    options = {"header": True, "escape": '"', "multiLine": multiline}
+    return spark.read.options(**options).csv(path)
 
 
 def check_columns(df, required=REQUIRED_COLUMNS):
@@ -17,9 +18,12 @@ def check_columns(df, required=REQUIRED_COLUMNS):
     return df
 
 
-def read_instruments_csv(spark, path):
-    """Raw instruments as text, found by header name, with their place in the files."""
-    raw = check_columns(_read_csv(spark, path))
+def read_instruments_csv(spark, path, multiline=False):
+    """Raw instruments as text, found by header name, with their place in the files.
+
+    `multiline` allows line breaks in quoted texts; a file is then read by one task.
+    """
+    raw = check_columns(_read_csv(spark, path, multiline))
     order = F.struct(
         F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),

@@ -49,9 +49,14 @@ def swap_table(spark, name, rows, **options):
 
 def export_csv(df, path, single_file=False):
     """Write a table as CSV with a header, over what is there."""
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).option(
-        "escape", '"'
-    ).csv(path)
+    options = {
+        "header": True,
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+    rows = df.coalesce(1) if single_file else df
+    rows.write.mode("overwrite").options(**options).csv(path)
 
 
 def update_log_rows(df):

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from pricetide.operators import cleaning as C
 from pricetide.sources.readers import read_instruments_csv
+from pricetide.sources.writers import export_csv
 
 DIRTY = """isin,name,long_name,price
 K1,n,l,
@@ -43,6 +44,16 @@ def test_columns_are_found_by_name(spark, tmp_path):
     assert (row.isin, row.name, row.long_name, row.price) == ("K1", "short", 'the "long" one, really', "1.5")
 
 
+def test_line_breaks_and_spaces_in_texts(spark, tmp_path):
+    path = write(tmp_path, a='isin,name,long_name,price\nK1," s ","two\nlines",1\n')
+    row = read_instruments_csv(spark, path, multiline=True).first()
+    assert (row.name, row.long_name) == (" s ", "two\nlines")
+    out = str(tmp_path / "out")
+    export_csv(read_instruments_csv(spark, path, multiline=True).drop("row_order"), out)
+    again = read_instruments_csv(spark, out, multiline=True).first()
+    assert (again.name, again.long_name, again.price) == (" s ", "two\nlines", "1")
+
+
 def test_missing_column(spark, tmp_path):
     with pytest.raises(ValueError, match="price"):
         read_instruments_csv(spark, write(tmp_path, a="isin,name,long_name\nK1,n,l\n"))

@@ -44,16 +44,16 @@ def test_a_stamp_may_mark_the_end(spark, rows):
         impact.update_windows(updates, stamp="middle")
 
 
-@pytest.mark.parametrize("rows_per_task", [4_000_000, 7])
+@pytest.mark.parametrize("rows_per_task, broadcast_rows", [(4_000_000, 50_000), (4_000_000, 0), (7, 0)])
 @pytest.mark.parametrize("bucket", [None, 0.7, 60])
-def test_equals_nested_loops(spark, rows, rows_per_task, bucket):
+def test_equals_nested_loops(spark, rows, rows_per_task, broadcast_rows, bucket):
     rng = random.Random(3)
     # Short, empty and very long windows; a third of the searches and windows at one moment.
     windows = [(rng.uniform(0, 100), rng.choice([0.0, 0.01, 0.5, 3.0])) for _ in range(60)]
     windows += [(50.0, 0.25)] * 30 + [(20.0, 70.0)]
     searches = [(50.1 if i % 3 == 0 else rng.uniform(-5, 130), True) for i in range(300)]
     updates, points = frames(spark, windows, searches)
-    options = {"bucket_seconds": bucket, "rows_per_task": rows_per_task}
+    options = {"bucket_seconds": bucket, "rows_per_task": rows_per_task, "broadcast_rows": broadcast_rows}
     stamps = [(at(s), at(s) + (at(d) - START)) for s, d in windows]
     expected = [
         (w, p)

@@ -83,6 +83,25 @@ def test_a_pass_sets_every_price(spark):
     assert changes.where("price between 1 and 5000").count() == 500
 
 
+def test_small_and_large_batches_merge_alike(spark, rows, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+    target, changes = tables.merge_target(spark, folder), tables.price_changes(spark, folder)
+    source = tables.replacements(spark, folder)
+
+    def results():
+        return [
+            rows(M.patch_rows(target, changes, order=tables.CHANGE_ORDER)),
+            rows(M.unmatched_changes(target, changes, order=tables.CHANGE_ORDER)),
+            rows(M.merge_tally(target, changes)),
+            rows(M.replace_rows(target, source)),
+        ]
+
+    small = results()
+    monkeypatch.setattr(M, "is_small", lambda df: False)
+    monkeypatch.setattr(M, "broadcast_if_small", lambda df: df)
+    assert results() == small
+
+
 def test_golden_numbers_of_the_latest_changes(spark):
     folder = "/root/testdata/sf0.01"
     in_one_country = F.concat(F.lit("US"), F.substring("isin", 3, 10))

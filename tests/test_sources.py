@@ -79,7 +79,8 @@ def test_create_table_replaces(spark):
     spark.sql("drop table instruments_made")
 
 
-def test_merges_leave_a_bucketed_table_in_place(spark):
+def test_merges_leave_a_bucketed_table_in_place(spark, monkeypatch):
+    monkeypatch.setattr(merge, "is_small", lambda df: False)
     made = synthetic.generate(spark, 300)
     writers.create_table(spark, "bucketed", made, buckets=8)
     changes = synthetic.price_pass(made.select("isin"), 1, "2024-01-01 00:00:00")
