@@ -45,6 +45,7 @@ def interval_join(
     windows = windows.withColumn("_from", micros(F.col("window_start"))).withColumn(
         "_to", micros(F.col("window_end"))
     ).where(F.col("_to") >= F.col("_from"))
+    given = windows
     if bucket_seconds is None:
         length = F.col("_to") - F.col("_from")
         width = windows.agg(
@@ -60,6 +61,12 @@ def interval_join(
     points = points.withColumn("_at", micros(F.col(ts))).withColumn(
         "_bucket", F.floor(F.col("_at") / width)
     )
+    # With buckets of the mean length, windows cover three on average.
+    few = (
+        is_small(given, broadcast_rows // 3)
+        if bucket_seconds is None
+        else is_small(windows, broadcast_rows)
+    )
     if how == "left_anti":
         # Only what a window covers of the bucket matters. Cut to the bucket (a little
         # beyond, for rounding), windows that cover it whole or start alike are one.
@@ -72,7 +79,7 @@ def interval_join(
     inside = (F.col("p._bucket") == F.col("w._bucket")) & F.col("p._at").between(
         F.col("w._from"), F.col("w._to")
     )
-    if is_small(windows, broadcast_rows):
+    if few:
         windows = F.broadcast(windows)
     else:
         points, windows = split_hot_keys(
