@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pricetide.functions.measures import capped_hits
 from pricetide.functions.text import tokens
 from pricetide.operators.ranking import first_per_group, running_total
-from pricetide.operators.skew import BROADCAST_ROWS, is_small, split_hot_keys
+from pricetide.operators.skew import BROADCAST_ROWS, broadcast_if_small, is_small, split_hot_keys
 from pricetide.schemas import QUERY_TYPES
 from pricetide.workspace import stage
 
@@ -26,11 +26,11 @@ def valid_type(query_type):
     return query_type.isin(QUERY_TYPES)
 
 
-def check_query_types(queries):
+def check_query_types(queries, known=QUERY_TYPES):
     """Fail, when the queries are read, on a query type that does not exist."""
     kind = F.col("query_type")
     wrong = F.raise_error(F.concat(F.lit("Unknown query type: "), F.coalesce(kind, F.lit("NULL"))))
-    return queries.withColumn("query_type", F.when(valid_type(kind), kind).otherwise(wrong))
+    return queries.withColumn("query_type", F.when(kind.isin(known), kind).otherwise(wrong))
 
 
 def _searches(queries):
@@ -55,6 +55,14 @@ def _searches(queries):
     )
 
 
+def _asked(queries, text, check_types):
+    if text is None:
+        queries = check_query_types(queries, ["price_range"])
+    elif check_types:
+        queries = check_query_types(queries)
+    return _searches(queries)
+
+
 def _matches_inline(rows, text, conditions):
     """Few conditions: each row meets them as a broadcast, by their longest word."""
     conditions = conditions.withColumn(
@@ -79,27 +87,39 @@ def _matches_inline(rows, text, conditions):
 
 
 def _matches_joined(rows, text, conditions, key, carry):
-    """Many conditions: rows meet them word by word and have to meet every word."""
-    per_word = conditions.where(F.size("words") > 0).select(
-        "condition", F.size("words").alias("needed"), F.explode("words").alias("word")
-    )
+    """Many conditions: rows meet each by its rarest word, then the other words are checked."""
+    words = conditions.where(F.size("words") > 0).select("condition", "words", F.explode("words").alias("word"))
     row_words = rows.withColumn("word", F.explode(F.array_distinct(tokens(F.col(text))))).drop(text)
-    row_words = row_words.join(per_word.select("word").distinct(), "word", "left_semi")
-    # Read twice below, to find hot words and to join; the texts are split up once.
-    row_words = stage(row_words, "row-words")
-    row_words, per_word = split_hot_keys(row_words, per_word, ["word"], [key], ["condition"])
-    with_text = (
-        row_words.join(per_word, ["word", "_split"])
+    asked = broadcast_if_small(words.select("word").distinct())
+    # Read several times below; the texts are split up once.
+    row_words = stage(row_words.join(asked, "word", "left_semi"), "row-words")
+
+    frequency = row_words.groupBy("word").agg(F.count("*").alias("rows"))
+    rarest = F.min_by("word", F.coalesce("rows", F.lit(0))).alias("word")
+    anchors = (
+        words.join(frequency, "word", "left")
+        .groupBy("condition", "words")
+        .agg(rarest)
+        .select("condition", "word", F.array_remove("words", F.col("word")).alias("others"))
+    )
+    left, right = split_hot_keys(row_words, anchors, ["word"], [key], ["condition"])
+    candidates = left.join(right, ["word", "_split"]).select(key, "price", "condition", "others", *carry)
+    single = candidates.where(F.size("others") == 0).select(key, "price", "condition", *carry)
+    several = (
+        candidates.withColumn("needed", F.size("others"))
+        .withColumn("word", F.explode("others"))
+        .join(row_words.select(key, "word"), [key, "word"])
         .groupBy(key, "price", "condition", "needed", *carry)
         .agg(F.count("*").alias("found"))
         .where("found = needed")
         .select(key, "price", "condition", *carry)
     )
+    # A condition without words takes every row.
     everything = conditions.where(F.size("words") == 0).select("condition").limit(1)
     plain = rows.select(key, "price", F.explode(F.array(F.lit(""))).alias("condition"), *carry).join(
         F.broadcast(everything), "condition", "left_semi"
     )
-    return with_text.unionByName(plain)
+    return single.unionByName(several).unionByName(plain)
 
 
 def _matches(items, searches, key, price, text, carry, inline_conditions):
@@ -180,7 +200,7 @@ def batch_totals(
     An unknown query type fails the job; with `check_types=False` the caller has sorted
     such queries out.
     """
-    asked = _searches(check_query_types(queries) if check_types else queries)
+    asked = _asked(queries, text, check_types)
     searches = asked.select("words", *SEARCH).distinct()
     matched = _matches(items, searches, key, price, text, (), inline_conditions)
     return _totals(queries, asked, _found(_steps(matched, searches)), size)
@@ -204,7 +224,7 @@ def batch_search(
     price ranges. The running counts, and for texts the matches, are written to the
     shared folder, so that texts are split up once.
     """
-    asked = _searches(check_query_types(queries) if check_types else queries)
+    asked = _asked(queries, text, check_types)
     searches = asked.select("words", *SEARCH).distinct()
     matched = _matches(items, searches, key, price, text, carry, inline_conditions)
     if text is not None:

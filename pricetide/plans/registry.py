@@ -6,7 +6,7 @@ from pricetide.functions.measures import milliseconds, range_width, rate, search
 from pricetide.functions.text import preview
 from pricetide.functions.times import second_grid
 from pricetide.operators import batch_search as batch
-from pricetide.operators import cleaning, merge, ranking, search
+from pricetide.operators import cleaning, merge, ranking, search, word_table
 from pricetide.operators.intervals import interval_join
 from pricetide.plans import catalogue, impact, search_report, update_report
 from pricetide.plans import driver_tables as tables
@@ -68,6 +68,26 @@ def text_bm25_top3(spark, folder):
     return plain(search.by_relevance(docs, "text", "the hein", 3, "doc_id").select("doc_id", "score"))
 
 
+def written_words(spark, folder):
+    path = shared_folder(spark, "words")
+    word_table.write(word_table.build(tables.docs(spark, folder), "text", "doc_id"), path, "doc_id")
+    return spark.read.parquet(path)
+
+
+@query
+def text_all_terms_by_word_table(spark, folder):
+    """Keys from the word table, their numbers from the documents; the texts stay unread."""
+    keys = word_table.keys_with_all(written_words(spark, folder), "The and", "doc_id")
+    hits = tables.docs(spark, folder).select("doc_id", "n_chars").join(keys, "doc_id", "left_semi")
+    return search.cheapest(hits, 100, "n_chars", "doc_id")
+
+
+@query
+def text_bm25_top3_by_word_table(spark, folder):
+    stats = word_table.statistics(tables.docs(spark, folder), "text")
+    return plain(word_table.by_relevance(written_words(spark, folder), stats, "the hein", 3, "doc_id"))
+
+
 @query
 def combined_search(spark, folder):
     docs = tables.docs(spark, folder)

@@ -17,18 +17,24 @@ def conform(df, schema):
     )
 
 
-def create_table(spark, name, rows=None, schema=INSTRUMENTS, buckets=None, key="isin"):
+def create_table(
+    spark, name, rows=None, schema=INSTRUMENTS, buckets=None, key="isin", sort_by=None
+):
     """Create the table with the declared columns, dropping one that exists.
 
     With `buckets` the rows lie in that many hash buckets of the key, each sorted, so
     that merges by key move only the changes and leave the table where it is. Spark
     keeps to buckets best when they are as many as `spark.sql.shuffle.partitions`.
+    With `sort_by` columns the files follow their order instead, so that searches by a
+    range of them skip the files that cannot hold a hit.
     """
     empty = spark.createDataFrame([], schema)
     df = empty if rows is None else conform(rows, schema)
     if buckets:
         # One file per bucket: rows meet in their bucket before they are written.
         writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    elif sort_by:
+        writer = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by).write
     else:
         writer = df.write
     writer.mode("overwrite").saveAsTable(name)

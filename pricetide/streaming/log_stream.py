@@ -26,8 +26,8 @@ def start_summary(logs, out, checkpoint, by=("query_type",), value="duration_ms"
     by = list(by)
 
     def write(counts, batch_id):
-        # The state is read once: the summary needs its counts more than once.
-        kept = f"{out}/counts/batch={batch_id}"
+        # The state is read once: the summary needs its counts more than once, but only now.
+        kept = f"{out}/counts"
         counts.write.mode("overwrite").parquet(kept)
         counts = counts.sparkSession.read.parquet(kept)
         summary_of_counts(counts, by).write.mode("overwrite").parquet(f"{out}/summary/batch={batch_id}")

@@ -2,7 +2,7 @@
 
 A micro-batch writes only its own changes, one row per key; the table is the base with
 the latest of all written changes. So a batch costs what it brings, not what the
-table holds. Every folder a batch writes is named after the batch and written over, so
+table holds. Every folder a batch leaves is named after the batch and written over, so
 a batch that is run again after a failure leaves the same files.
 """
 
@@ -23,7 +23,8 @@ def apply_batch(batch, batch_id, base_path, state, key="isin", order=CHANGE_ORDE
     spark = batch.sparkSession
     started = time.monotonic()
     columns = list(dict.fromkeys([*PATCHED, *order]))
-    incoming = _folder(state, "incoming", batch_id)
+    # Only this batch reads what came in, so the next may write over it.
+    incoming = f"{state}/incoming"
     latest_changes(batch, key, order, columns).write.mode("overwrite").parquet(incoming)
     latest = spark.read.parquet(incoming)
     # Inner, so that either side can be the small one: a small batch meets the key
@@ -60,12 +61,21 @@ def start(changes, base_path, state, checkpoint, key="isin", order=CHANGE_ORDER,
 
 
 def current_table(spark, base_path, state, key="isin", order=CHANGE_ORDER):
-    """The base with all applied changes. Write it elsewhere to make it the next base."""
+    """The base with all applied changes."""
     return patch_rows(
         spark.read.parquet(base_path), spark.read.parquet(f"{state}/applied"), key, order
     )
 
 
+def write_base(spark, base_path, state, new_base, key="isin", order=CHANGE_ORDER):
+    """Write the current table as a new base.
+
+    Applying a change again alters nothing, so the old changes may stay until they are
+    deleted, and the stream can go on with either base meanwhile.
+    """
+    current_table(spark, base_path, state, key, order).write.parquet(new_base)
+
+
 def update_log(spark, state):
     return spark.read.parquet(f"{state}/log").drop("batch")
 

@@ -66,7 +66,7 @@ def answer_batch(batch, batch_id, items_path, out, **table):
     """Answer one micro-batch and write its log rows. Its searches share the time taken."""
     spark = batch.sparkSession
     started = time.monotonic()
-    answers = f"{out}/answers/batch={batch_id}"
+    answers = f"{out}/answers"
     answer(spark.read.parquet(items_path), batch, **table).write.mode("overwrite").parquet(answers)
     done = spark.read.parquet(answers)
     each = (time.monotonic() - started) / max(done.count(), 1)

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from pricetide.functions.measures import clamp_range, search_label
 from pricetide.functions.text import query_terms
 from pricetide.operators import search as S
+from pricetide.operators import word_table
 from pricetide.operators.batch_search import batch_search, batch_totals
 from pricetide.plans import driver_tables as tables
 from pricetide.plans.catalogue import search_catalogue
+from pricetide.sources.writers import create_table
 
 QUERY = "query_id long, search_type string, query_type string, min_price double, max_price double, terms string"
 ITEM = "isin string, long_name string, price double"
@@ -118,6 +120,43 @@ def test_relevance_equals_brute_force(spark):
     assert [r.isin for r in again] == [k for _, k in expected]
 
 
+def test_word_table(spark, tmp_path):
+    rows = [("A", "Fund of funds fund"), ("B", "Bond Fund"), ("C", None), ("D", ""), ("E", "bond")]
+    df = spark.createDataFrame(rows, "isin string, long_name string")
+    path = str(tmp_path / "words")
+    word_table.write(word_table.build(df, "long_name"), path)
+    words = spark.read.parquet(path)
+    assert words.where("isin = 'A' and word = 'fund'").select("times", "length").first() == (2, 4)
+
+    def keys(df):
+        return sorted(r.isin for r in df.collect())
+
+    assert keys(word_table.keys_with_all(words, "Fund")) == ["A", "B"]
+    assert keys(word_table.keys_with_all(words, "fund bond")) == ["B"]
+    assert keys(word_table.keys_with_all(words, "?")) == []
+    assert keys(word_table.keys_with_any(words, "funds bond")) == ["A", "B", "E"]
+    plan = word_table.keys_with_all(words, "fund")._jdf.queryExecution().executedPlan().toString()
+    assert "In(word, [fund])" in plan or "EqualTo(word,fund)" in plan
+    stats = word_table.statistics(df, "long_name")
+    got = word_table.by_relevance(words, stats, "bond fund").collect()
+    expected = S.by_relevance(df, "long_name", "bond fund").collect()
+    assert [(r.isin, round(r.score, 12)) for r in got] == [(r.isin, round(r.score, 12)) for r in expected]
+
+
+def test_range_searches_skip_files_of_a_sorted_table(spark):
+    items = spark.range(10_000).select(F.col("id").cast("string").alias("isin"), (F.col("id") % 977).alias("price"))
+    # So few rows would be put into one file.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        create_table(spark, "by_price", items, sort_by=["price"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spans = spark.table("by_price").groupBy(F.input_file_name()).agg(F.min("price").alias("low"), F.max("price").alias("high"))
+    spans = sorted((r.low, r.high) for r in spans.collect())
+    assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    spark.sql("drop table by_price")
+
+
 def brute(items, queries, size):
     totals, hits = {}, {}
     for q, _, kind, low, high, terms in queries:
@@ -184,6 +223,13 @@ def test_batch_search_refuses_unknown_types(spark):
         batch_totals(items, queries).collect()
 
 
+def test_range_only_batches_refuse_text_searches(spark):
+    items = spark.createDataFrame([("A", "fund", 1.0)], ITEM)
+    queries = spark.createDataFrame([(1, "s", "text_search", None, None, "x")], QUERY)
+    with pytest.raises(PySparkException, match="Unknown query type: text_search"):
+        batch_totals(items, queries, text=None).collect()
+
+
 def test_batch_search_over_documents(spark):
     docs = tables.docs(spark, "/root/testdata/sf0.01")
     queries = spark.createDataFrame(

@@ -39,6 +39,12 @@ def test_price_stream_equals_one_batch(spark, tmp_path, rows):
     assert rows(price_stream.current_table(spark, base, state, order=ORDER)) == expected
     assert price_stream.update_log(spark, state).count() == 5
 
+    # So does a new base, with or without the changes it holds.
+    new_base = str(tmp_path / "new_base")
+    price_stream.write_base(spark, base, state, new_base, order=ORDER)
+    assert rows(spark.read.parquet(new_base)) == expected
+    assert rows(price_stream.current_table(spark, new_base, state, order=ORDER)) == expected
+
 
 def test_price_stream_goes_on_where_it_stopped(spark, tmp_path):
     base, state, cp = (str(tmp_path / n) for n in ("base", "state", "cp"))
