@@ -1,10 +1,16 @@
 """Joining points in time with the windows they fall into."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pricetide.functions.times import add_seconds, micros
+from pricetide.operators.ranking import running_totals
 from pricetide.operators.skew import BROADCAST_ROWS, ROWS_PER_TASK, is_small, split_hot_keys
 
+# Cells per mean window length, and most bins, of running totals over time.
+CELLS_PER_WINDOW = 16
+MAX_BINS = 100_000
+
 # Limit on the buckets one window may cover, so that no row grows without bound.
 MAX_BUCKETS = 100_000
 
@@ -23,6 +29,43 @@ def windows_of(df, ts, seconds, stamp="start"):
     return df.withColumn("window_start", start).withColumn("window_end", end)
 
 
+def _islands(windows, few):
+    """Overlapping windows merged into separate ones."""
+    if few:
+        # Few enough for one task, which keeps the latest end so far.
+        order = Window.orderBy("_from")
+        reach = F.max("_to").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        opens = F.coalesce(F.col("_from") > reach, F.lit(True)).cast("long")
+        numbered = windows.withColumn("_opens", opens).withColumn("_island", F.sum("_opens").over(order))
+        return numbered.groupBy("_island").agg(F.min("_from").alias("_from"), F.max("_to").alias("_to"))
+    bounds = (
+        windows.select(
+            F.inline(
+                F.array(
+                    F.struct(F.col("_from").alias("at"), F.lit(0).alias("side"), F.lit(1).alias("step")),
+                    F.struct(F.col("_to").alias("at"), F.lit(2).alias("side"), F.lit(-1).alias("step")),
+                )
+            )
+        )
+        .groupBy("at", "side")
+        .agg(F.sum("step").alias("step"))
+    )
+    bin = F.floor(F.col("at") / _bin_width(windows))
+    steps = running_totals(bounds, [], bin, ["at", "side"], {"step": "open"})
+    # An island begins where a first window opens and ends where none is left open.
+    edges = steps.where((F.col("open") == 0) | (F.col("open") == F.col("step"))).select(
+        "at", "side", (F.col("side") == 0).cast("long").alias("begins")
+    )
+    numbered = running_totals(edges, [], bin, ["at", "side"], {"begins": "_island"})
+    return numbered.groupBy("_island").agg(F.min("at").alias("_from"), F.max("at").alias("_to"))
+
+
+def _bin_width(windows):
+    """Width of the bins of running totals over the time the windows span."""
+    span = windows.agg(F.max("_to") - F.min("_from")).scalar()
+    return F.coalesce(F.greatest(span / MAX_BINS, F.lit(4_000_000.0)), F.lit(4e6))
+
+
 def interval_join(
     windows,
     points,
@@ -35,17 +78,24 @@ def interval_join(
 ):
     """Points joined with the windows whose [window_start, window_end] holds them.
 
-    `how` is "inner" (a row per point and window) or "left_anti" (points in no
-    window). Both sides meet on time buckets. With buckets of the mean window
-    length the windows grow about threefold whatever their lengths, points are
-    never copied, and most compared pairs are results. Few windows go to the points as
-    a broadcast; otherwise buckets with too many points are split by `point_id`, for
-    pairs also those with too many windows.
+    `how` is "inner" (a row per point and window) or "left_anti" (points in no window;
+    overlapping windows are merged first, so that a point meets few of them).
+
+    Both sides meet on time buckets. With buckets of the mean window length the windows
+    grow about threefold whatever their lengths, points are never copied, and most
+    compared pairs are results. Few windows go to the points as a broadcast; otherwise
+    buckets with too many points are split by `point_id`, for pairs also those with too
+    many windows.
     """
-    windows = windows.withColumn("_from", micros(F.col("window_start"))).withColumn(
-        "_to", micros(F.col("window_end"))
+    windows = windows.withColumns(
+        {"_from": micros(F.col("window_start")), "_to": micros(F.col("window_end"))}
     ).where(F.col("_to") >= F.col("_from"))
-    given = windows
+    # With buckets of the mean length, windows cover three on average.
+    few = is_small(windows, broadcast_rows // 3)
+    if how == "left_anti":
+        windows, window_id = _islands(windows.select("_from", "_to"), few), None
+    else:
+        window_id = windows.columns
     if bucket_seconds is None:
         length = F.col("_to") - F.col("_from")
         width = windows.agg(
@@ -58,24 +108,11 @@ def interval_join(
         "_bucket",
         F.explode(F.sequence(F.floor(F.col("_from") / width), F.floor(F.col("_to") / width))),
     )
+    if bucket_seconds is not None:
+        few = few and is_small(windows, broadcast_rows)
     points = points.withColumn("_at", micros(F.col(ts))).withColumn(
         "_bucket", F.floor(F.col("_at") / width)
     )
-    # With buckets of the mean length, windows cover three on average.
-    few = (
-        is_small(given, broadcast_rows // 3)
-        if bucket_seconds is None
-        else is_small(windows, broadcast_rows)
-    )
-    if how == "left_anti":
-        # Only what a window covers of the bucket matters. Cut to the bucket (a little
-        # beyond, for rounding), windows that cover it whole or start alike are one.
-        start = F.greatest("_from", F.floor(F.col("_bucket") * width) - 1)
-        end = F.least("_to", F.ceil((F.col("_bucket") + 1) * width) + 1)
-        windows = windows.groupBy("_bucket", start.alias("_from")).agg(F.max(end).alias("_to"))
-        window_id = None
-    else:
-        window_id = windows.columns
     inside = (F.col("p._bucket") == F.col("w._bucket")) & F.col("p._at").between(
         F.col("w._from"), F.col("w._to")
     )
@@ -92,3 +129,58 @@ def interval_join(
     if how == "inner":
         columns = [F.col(f"w.{c}") for c in windows.columns if c not in helpers] + columns
     return p.join(w, inside, how).select(*columns)
+
+
+def interval_totals(windows, points, ts, value, keys, broadcast_rows=BROADCAST_ROWS):
+    """Number and mean of the values inside each window, without making pairs.
+
+    Both are differences of running totals over time, at the end and at the start of a
+    window, so the cost does not depend on how much windows overlap. Points that share a
+    cell of time with no window bound combine before the shuffle; a bin holds at most one
+    row per microsecond. Values are summed to 9 decimals, exactly. `keys` tell windows
+    apart; windows without points are left out.
+    """
+    windows = windows.select(
+        *keys, micros(F.col("window_start")).alias("_from"), micros(F.col("window_end")).alias("_to")
+    ).where(F.col("_to") >= F.col("_from"))
+    length = F.avg(F.col("_to") - F.col("_from"))
+    cell = windows.agg(F.greatest(length / CELLS_PER_WINDOW, F.lit(1000.0))).scalar()
+    cell = F.coalesce(cell, F.lit(1000.0))
+    points = points.select(
+        micros(F.col(ts)).alias("at"), F.col(value).cast("decimal(28,9)").alias("value")
+    ).where(F.col("value").isNotNull())
+    bounds = windows.select(F.explode(F.array("_from", "_to")).alias("at"))
+    if is_small(windows, broadcast_rows // 2):
+        # Elsewhere a point may stand at one moment of its cell, safely inside it.
+        cells = bounds.select(F.floor(F.col("at") / cell).alias("cell")).distinct()
+        points = points.withColumn("cell", F.floor(F.col("at") / cell)).join(
+            F.broadcast(cells.withColumn("bound", F.lit(True))), "cell", "left"
+        )
+        moment = F.floor(F.col("cell") * cell) + 2
+        points = points.withColumn("at", F.when(F.col("bound"), F.col("at")).otherwise(moment))
+    values = points.groupBy("at").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    marks = windows.select(
+        *keys,
+        F.inline(
+            F.array(
+                F.struct(F.col("_from").alias("at"), F.lit(0).alias("side")),
+                F.struct(F.col("_to").alias("at"), F.lit(2).alias("side")),
+            )
+        ),
+        F.lit(0).cast("long").alias("n"),
+        F.lit(0).cast("decimal(38,9)").alias("total"),
+    )
+    steps = values.withColumn("side", F.lit(1)).unionByName(marks, allowMissingColumns=True)
+    bin = F.floor(F.col("at") / _bin_width(windows))
+    totals = {"n": "n_upto", "total": "total_upto"}
+    steps = running_totals(steps, [], bin, ["at", "side"], totals)
+
+    def inside(name):
+        upto = F.max(F.when(F.col("side") == 2, F.col(name)))
+        return upto - F.max(F.when(F.col("side") == 0, F.col(name)))
+
+    found = steps.where("side != 1").groupBy(*keys).agg(
+        inside("n_upto").cast("long").alias("count"), inside("total_upto").alias("total")
+    )
+    mean = F.col("total").cast("double") / F.col("count")
+    return found.where(F.col("count") > 0).select(*keys, "count", mean.alias("mean"))

@@ -7,29 +7,36 @@ from pricetide.functions.measures import order_bins
 from pricetide.workspace import stage
 
 
-def running_total(df, group, value, then, amount, total, bins_per_unit=4096):
-    """Running sum of `amount` within `group`, ordered by `value` and `then`.
+def running_totals(df, group, bin, order, totals):
+    """Running sums within `group` in the given order; `totals` maps amounts to names.
 
-    Sums run inside bins of neighbouring values and start from the total of the
-    bins before, so a group with many values is worked on by many tasks. Rows have
-    to be pre-aggregated: at most a few per distinct value.
+    Sums run inside bins, which have to follow the order, and start from the totals of
+    the bins before: a group with many rows is worked on by many tasks. Rows are best
+    pre-aggregated, to a few per distinct value.
     """
-    binned = df.withColumn("_bin", order_bins(F.col(value), bins_per_unit))
-    bins = binned.groupBy(*group, "_bin").agg(F.sum(amount).alias("_in_bin"))
+    binned = df.withColumn("_bin", bin)
+    bins = binned.groupBy(*group, "_bin").agg(*[F.sum(a).alias(a) for a in totals])
     before = Window.partitionBy(*group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     starts = bins.select(
-        *group, "_bin", F.coalesce(F.sum("_in_bin").over(before), F.lit(0)).alias("_start")
+        *group,
+        "_bin",
+        *[F.coalesce(F.sum(a).over(before), F.lit(0)).alias(f"_from_{a}") for a in totals],
     )
     inside = (
-        Window.partitionBy(*group, "_bin")
-        .orderBy(value, *then)
-        .rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*group, "_bin").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     )
-    return (
-        binned.withColumn("_run", F.sum(amount).over(inside))
-        .join(starts, [*group, "_bin"])
-        .withColumn(total, (F.col("_start") + F.col("_run")).cast("long"))
-        .drop("_bin", "_run", "_start")
+    runs = binned.withColumns({f"_run_{a}": F.sum(a).over(inside) for a in totals})
+    summed = runs.join(starts, [*group, "_bin"]).withColumns(
+        {name: F.col(f"_from_{a}") + F.col(f"_run_{a}") for a, name in totals.items()}
+    )
+    return summed.drop("_bin", *[f"_{part}_{a}" for part in ("from", "run") for a in totals])
+
+
+def running_total(df, group, value, then, amount, total, bins_per_unit=4096):
+    """Running sum of `amount` within `group`, ordered by `value` and `then`."""
+    bin = order_bins(F.col(value), bins_per_unit)
+    return running_totals(df, group, bin, [value, *then], {amount: total}).withColumn(
+        total, F.col(total).cast("long")
     )
 
 

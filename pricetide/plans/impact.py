@@ -11,7 +11,7 @@ from pricetide.functions.measures import (
     impact_percent,
     signed_percent,
 )
-from pricetide.operators.intervals import interval_join, windows_of
+from pricetide.operators.intervals import interval_join, interval_totals, windows_of
 from pricetide.operators.quantiles import value_counts
 from pricetide.plans.search_report import successful, summary_of_counts
 
@@ -67,12 +67,19 @@ def window_stats(updates, searches, stamp="start", **options):
 
 
 def window_means(updates, searches, stamp="start", **options):
-    """As `window_stats` without the median: one aggregation after the join."""
-    pairs = searches_during(updates, searches, stamp, **options)
-    return pairs.groupBy(*WINDOW).agg(
-        *[F.max(a).alias(a) for a in ABOUT],
-        F.count("*").alias("search_count"),
-        F.avg("duration_ms").alias("avg_search_duration"),
+    """Search count and mean search time of each window with searches, made without pairs."""
+    return interval_totals(
+        update_windows(updates, stamp),
+        successful(searches),
+        "timestamp",
+        "duration_ms",
+        [*WINDOW, *ABOUT],
+        **options,
+    ).select(
+        *WINDOW,
+        *ABOUT,
+        F.col("count").alias("search_count"),
+        F.col("mean").alias("avg_search_duration"),
     )
 
 

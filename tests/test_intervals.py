@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from pricetide.operators.intervals import interval_join, windows_of
+from pricetide.operators.intervals import interval_join, interval_totals, windows_of
 from pricetide.plans import impact
 
 UPDATES = "timestamp timestamp, iteration long, duration_seconds double, updates_per_second double"
@@ -63,6 +63,15 @@ def test_equals_nested_loops(spark, rows, rows_per_task, broadcast_rows, bucket)
     ]
     pairs = impact.searches_during(updates, points, **options).select("iteration", "search_id")
     assert rows(pairs) == sorted(expected, key=repr)
+    totals = interval_totals(
+        impact.update_windows(updates), points, "timestamp", "duration_ms", ["iteration"], broadcast_rows
+    )
+    per_window = {}
+    for w, p in expected:
+        per_window.setdefault(w, []).append(float(p))
+    assert {r.iteration: (r["count"], r["mean"]) for r in totals.collect()} == {
+        w: (len(ps), pytest.approx(sum(ps) / len(ps))) for w, ps in per_window.items()
+    }
     inside = {p for _, p in expected}
     outside = impact.searches_outside(updates, points, **options).select("search_id")
     assert rows(outside) == sorted([(p,) for p in range(1, 301) if p not in inside], key=repr)
