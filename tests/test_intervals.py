@@ -44,7 +44,7 @@ def test_a_stamp_may_mark_the_end(spark, rows):
         impact.update_windows(updates, stamp="middle")
 
 
-@pytest.mark.parametrize("rows_per_task, broadcast_rows", [(4_000_000, 50_000), (4_000_000, 0), (7, 0)])
+@pytest.mark.parametrize("rows_per_task, broadcast_rows", [(4_000_000, 100_000), (4_000_000, 0), (7, 0)])
 @pytest.mark.parametrize("bucket", [None, 0.7, 60])
 def test_equals_nested_loops(spark, rows, rows_per_task, broadcast_rows, bucket):
     rng = random.Random(3)
