@@ -26,17 +26,26 @@ def query_terms(text):
     return list(dict.fromkeys(words))
 
 
-def has_all_terms(column, text):
-    """True where every word of `text` is a word of `column`.
+def _contained(column, terms, combine):
+    return reduce(combine, [F.contains(F.lower(column), F.lit(t)) for t in terms])
+
 
-    The substring test is implied by the token test and much cheaper, so it
-    keeps rows that cannot match away from the tokeniser.
+def may_have_any_term(column, terms):
+    """False only where no term can be a word of `column`: none is part of its text.
+
+    Implied by the token tests and much cheaper, so it keeps rows that cannot match away
+    from the tokeniser.
     """
+    return _contained(column, terms, lambda a, b: a | b)
+
+
+def has_all_terms(column, text):
+    """True where every word of `text` is a word of `column`."""
     terms = query_terms(text)
     if not terms:
         return F.lit(False)
-    maybe = reduce(lambda a, b: a & b, [F.contains(F.lower(column), F.lit(t)) for t in terms])
-    return maybe & (F.size(F.array_except(F.array(*map(F.lit, terms)), tokens(column))) == 0)
+    missing = F.array_except(F.array(*map(F.lit, terms)), tokens(column))
+    return _contained(column, terms, lambda a, b: a & b) & (F.size(missing) == 0)
 
 
 def has_any_term(column, text):
@@ -44,8 +53,9 @@ def has_any_term(column, text):
     terms = query_terms(text)
     if not terms:
         return F.lit(False)
-    maybe = reduce(lambda a, b: a | b, [F.contains(F.lower(column), F.lit(t)) for t in terms])
-    return maybe & F.arrays_overlap(tokens(column), F.array(*map(F.lit, terms)))
+    return may_have_any_term(column, terms) & F.arrays_overlap(
+        tokens(column), F.array(*map(F.lit, terms))
+    )
 
 
 def shorten(column, limit, keep, mark="..."):

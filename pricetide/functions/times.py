@@ -8,10 +8,6 @@ def micros(ts):
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def seconds_as_micros(seconds):
-    return F.round(seconds * 1_000_000).cast("long")
-
-
 def add_seconds(ts, seconds):
     span = F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
     return ts.cast("timestamp") + span

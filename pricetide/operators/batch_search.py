@@ -220,8 +220,8 @@ def batch_search(
     """Hit totals and cheapest hits of every query.
 
     Returns two frames: totals as `batch_totals` has them, and hits (query_id, rank, key,
-    price and the columns named in `carry`). With `text=None` all searches have to be
-    price ranges. The running counts, and for texts the matches, are written to the
+    price and the columns named in `carry`). Rows without a price are no hits. With
+    `text=None` all searches have to be price ranges. The running counts, and for texts the matches, are written to the
     shared folder, so that texts are split up once.
     """
     asked = _asked(queries, text, check_types)

@@ -5,7 +5,14 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from pricetide.functions.measures import capped_hits
-from pricetide.functions.text import has_all_terms, has_any_term, preview, query_terms, tokens
+from pricetide.functions.text import (
+    has_all_terms,
+    has_any_term,
+    may_have_any_term,
+    preview,
+    query_terms,
+    tokens,
+)
 from pricetide.workspace import stage
 
 
@@ -145,8 +152,8 @@ def by_relevance(
         return df.limit(0).withColumn("score", F.lit(0.0))
     if statistics is None:
         statistics = text_statistics(df, text, query)
-    wanted = has_any_term(F.col(text), query)
-    rows = _with_term_counts(df.where(wanted if where is None else wanted & where), text, terms)
+    maybe = may_have_any_term(F.col(text), terms)
+    rows = _with_term_counts(df.where(maybe if where is None else maybe & where), text, terms)
     rows = rows.withColumn("_stats", statistics.select(F.struct("*")).scalar())
     length = 1 - b + b * F.size("_words") / F.col("_stats.avg_words")
     score = F.lit(0.0)
@@ -155,5 +162,7 @@ def by_relevance(
         idf = F.log(1 + (docs - with_term + 0.5) / (with_term + 0.5))
         tf = F.col(f"_tf{i}")
         score = score + idf * tf / (tf + k1 * length)
-    best = rows.select(*df.columns, score.alias("score"))
-    return best.orderBy(F.desc("score"), key).limit(n)
+    best = rows.select(*df.columns, score.alias("score")).orderBy(F.desc("score"), key).limit(n)
+    # Rows without any of the words score 0. Tested before the limit, the score would be
+    # worked out twice.
+    return best.where("score > 0")

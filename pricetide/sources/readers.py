@@ -25,7 +25,7 @@ def read_instruments_csv(spark, path, multiline=False):
     """
     raw = check_columns(_read_csv(spark, path, multiline))
     order = F.struct(
-        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )

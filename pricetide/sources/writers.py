@@ -43,7 +43,8 @@ def create_table(
 def swap_table(spark, name, rows, **options):
     """Put `rows`, which may be read from the table, in its place.
 
-    They are written beside it first, so readers have the old rows until the end.
+    They are written beside it first, so readers have the old rows until the end. Should
+    the swap itself be cut short, `<name>_last` and `<name>_next` hold both tables.
     """
     create_table(spark, f"{name}_next", rows, **options)
     spark.sql(f"drop table if exists {name}_last")
