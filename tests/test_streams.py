@@ -101,3 +101,17 @@ def test_summary_stream_follows_the_log(spark, tmp_path, rows):
     stream = pieces(searches.where("search_id % 2 = 1"), log, 2, "search_id")
     log_stream.start_summary(stream, out, cp).awaitTermination()
     assert plain(log_stream.latest_summary(spark, out)) == plain(search_report.duration_by(searches, "query_type"))
+
+
+def test_approximate_summary_of_a_stream(spark, tmp_path):
+    searches = tables.search_metrics(spark, SF).where("success")
+    stream = pieces(searches, str(tmp_path / "log"), 2, "search_id")
+    summary = search_report.approximate_summary(stream, ["query_type"], "duration_ms")
+    out = str(tmp_path / "out")
+    log_stream.start_totals(summary, out, str(tmp_path / "cp")).awaitTermination()
+    got = {r.query_type: r for r in log_stream.latest_summary(spark, out).collect()}
+    exact = {r.query_type: r for r in search_report.duration_by(searches, "query_type").collect()}
+    assert got.keys() == exact.keys()
+    for kind, row in exact.items():
+        assert got[kind]["count"] == row["count"]
+        assert abs(got[kind].median - row.median) < 2
