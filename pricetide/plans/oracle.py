@@ -463,8 +463,8 @@ def oracle_sql():
             case when success then duration_ms end as first_price from searches""",
     }
     sql = {name: with_views(text) for name, text in twins.items()}
-    for name in ("text_all_terms", "text_bm25_top3"):
-        sql[f"{name}_by_word_table"] = sql[name]
+    sql["word_table_all_terms"] = sql["text_all_terms"]
+    sql["word_table_bm25_top3"] = sql["text_bm25_top3"]
     sql["stream_search_totals"] = sql["search_totals"]
     sql["stream_update_totals"] = sql["update_totals"]
     sql["batch_combined_search"] = with_views(RANKED.format(key="doc_id"), **doc_match)

@@ -75,7 +75,7 @@ def written_words(spark, folder):
 
 
 @query
-def text_all_terms_by_word_table(spark, folder):
+def word_table_all_terms(spark, folder):
     """Keys from the word table, their numbers from the documents; the texts stay unread."""
     keys = word_table.keys_with_all(written_words(spark, folder), "The and", "doc_id")
     hits = tables.docs(spark, folder).select("doc_id", "n_chars").join(keys, "doc_id", "left_semi")
@@ -83,7 +83,7 @@ def text_all_terms_by_word_table(spark, folder):
 
 
 @query
-def text_bm25_top3_by_word_table(spark, folder):
+def word_table_bm25_top3(spark, folder):
     stats = word_table.statistics(tables.docs(spark, folder), "text")
     return plain(word_table.by_relevance(written_words(spark, folder), stats, "the hein", 3, "doc_id"))
 
