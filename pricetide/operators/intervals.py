@@ -147,7 +147,7 @@ def interval_totals(windows, points, ts, value, keys, broadcast_rows=BROADCAST_R
     cell = windows.agg(F.greatest(length / CELLS_PER_WINDOW, F.lit(1000.0))).scalar()
     cell = F.coalesce(cell, F.lit(1000.0))
     points = points.select(
-        micros(F.col(ts)).alias("at"), F.col(value).cast("decimal(28,9)").alias("value")
+        micros(F.col(ts)).alias("at"), F.col(value).try_cast("decimal(28,9)").alias("value")
     ).where(F.col("value").isNotNull())
     bounds = windows.select(F.explode(F.array("_from", "_to")).alias("at"))
     if is_small(windows, broadcast_rows // 2):
