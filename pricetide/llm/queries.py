@@ -2,6 +2,8 @@
 
 from pricetide.llm.exact_dedup import exact_duplicates
 from pricetide.llm.near_duplicates import near_duplicates
+from pricetide.llm.quality import quality_scores
+from pricetide.llm.toxicity import toxicity_scores
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -33,3 +35,13 @@ FROM d WINDOW g AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)"""
 @query
 def op9_near_duplicates(spark, folder):
     return near_duplicates(table(spark, folder, "documents"), size=4, percent=80)
+
+
+@query
+def op2_quality(spark, folder):
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op7_toxicity(spark, folder):
+    return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -55,9 +55,13 @@ def pieces(column):
         row = end
 
 
-def word_bounds(data, offsets):
+#: What parts words of letters and digits; all bytes from 128 on count as letters.
+NOT_LETTERS = ~np.isin(np.arange(256), [*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)])
+
+
+def word_bounds(data, offsets, gaps=_SPACE):
     """Starts and ends of the words, and where the words of each text begin."""
-    gap = _SPACE[data]
+    gap = gaps[data]
     word = ~gap
     first = np.empty(len(data), bool)
     last = np.empty(len(data), bool)
@@ -74,21 +78,28 @@ def word_bounds(data, offsets):
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def span_hashes(data, starts, ends, lower=True):
-    """A 64-bit hash of each span of bytes, wherever it stands."""
+def running_hash(data, lower=True):
+    """What `span_hashes` needs to know of a piece."""
     with np.errstate(over="ignore"):
-        powers, inverses = _power_tables(len(data) + 1)
+        powers, _ = _power_tables(len(data) + 1)
         codes = _BYTES[_LOWER[data]] if lower else _BYTES[data]
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(codes * powers[: len(data)], out=sums[1:])
-        spans = (sums[ends] - sums[starts]) * inverses[starts]
+        running = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(codes * powers[: len(data)], out=running[1:])
+        return running
+
+
+def span_hashes(running, starts, ends):
+    """A 64-bit hash of each span of bytes, wherever it stands."""
+    with np.errstate(over="ignore"):
+        _, inverses = _power_tables(len(running))
+        spans = (running[ends] - running[starts]) * inverses[starts]
         return mix(spans + (ends - starts).astype(np.uint64) * _STEP)
 
 
 def word_hashes(data, offsets, lower=True):
     """Hash of each word and where the words of each text begin."""
     starts, ends, firsts = word_bounds(data, offsets)
-    return span_hashes(data, starts, ends, lower), firsts
+    return span_hashes(running_hash(data, lower), starts, ends), firsts
 
 
 def shingles(hashes, firsts, size):
