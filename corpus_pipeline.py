@@ -1,4 +1,79 @@
-STAGES = []
+"""A corpus in five stages: toxicity, line dedup, near duplicates, decontamination, encoding.
+
+Each stage takes (spark, docs, sf_dir) and works on what the one before kept. All but the
+last return the columns of documents.
+"""
+
+from pyspark.sql import functions as F
+
+from pricetide.llm.bpe import encoded
+from pricetide.llm.decontamination import contained_items
+from pricetide.llm.line_dedup import without_repeated_runs
+from pricetide.llm.near_duplicates import near_duplicates
+from pricetide.llm.queries import table, vocabulary_path
+from pricetide.llm.toxicity import toxicity_scores
+from pricetide.operators.skew import broadcast_if_small
+from pricetide.workspace import stage
+
+
+#: Ids sent to all executors at most, 8 bytes each; more meet the documents by shuffling.
+BROADCAST_IDS = 1_000_000
+
+
+def _without(docs, ids):
+    """`docs` without the rows of these ids; rows with a null id stay."""
+    ids = broadcast_if_small(stage(ids.select("doc_id").distinct(), "ids"), BROADCAST_IDS)
+    return docs.join(ids, "doc_id", "left_anti").select(*docs.columns)
+
+
+def toxicity(spark, docs, sf_dir):
+    """Documents that score 0.5 or more go."""
+    scores = toxicity_scores(docs, table(spark, sf_dir, "labels"))
+    return _without(docs, scores.where("predicted = 1"))
+
+
+def line_dedup(spark, docs, sf_dir):
+    """Later copies of runs of lines go; a document of which nothing but white space is left goes too."""
+    columns = docs.columns
+    cut = without_repeated_runs(docs)
+    cut = cut.where((F.col("lines_deleted") == 0) | (F.trim("text", F.lit(" \t\n\r")) != ""))
+    changed = F.col("lines_deleted") > 0
+    cut = cut.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return cut.select(*columns)
+
+
+def near_dedup(spark, docs, sf_dir):
+    """One document of each group of near duplicates (five words, 0.8) stays, the one with the smallest id."""
+    return _without(docs, near_duplicates(docs, size=5, percent=80).where("not kept"))
+
+
+def decontamination(spark, docs, sf_dir):
+    """Documents that contain 80 % of a benchmark item go."""
+    return _without(docs, contained_items(docs, table(spark, sf_dir, "benchmark"), size=5, percent=80))
+
+
+def encoding(spark, docs, sf_dir):
+    """Tokens of each document that is left, as number and digests."""
+    return encoded(docs, vocabulary_path(), digests=True)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("line dedup", line_dedup),
+    ("near duplicates", near_dedup),
+    ("decontamination", decontamination),
+    ("encoding", encoding),
+]
+
+#: SQL expresses neither the learned scores nor the merges; tests hold the stages against brute force.
 ORACLE_SQL = None
+
+
 def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents, each but the last written to the shared folder."""
+    docs = table(spark, sf_dir, "documents")
+    for number, (name, function) in enumerate(STAGES):
+        docs = function(spark, docs, sf_dir)
+        if number < len(STAGES) - 1:
+            docs = stage(docs, name.replace(" ", "-"))
+    return docs

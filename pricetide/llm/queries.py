@@ -1,12 +1,24 @@
 """The queries of this subpackage and their SQL twins."""
 
+import os
+
+from pyspark.sql import functions as F
+
+from pricetide.llm.bpe import encoded
+from pricetide.llm.decontamination import contained_items
 from pricetide.llm.exact_dedup import exact_duplicates
+from pricetide.llm.line_dedup import without_repeated_runs
 from pricetide.llm.near_duplicates import near_duplicates
+from pricetide.llm.pseudonyms import pseudonymised
 from pricetide.llm.quality import quality_scores
 from pricetide.llm.toxicity import toxicity_scores
+from pricetide.llm.warc import derivatives, responses
+from pricetide.llm.wordpiece import piece_counts
 
 QUERIES = {}
 ORACLE_SQL = {}
+#: The key of the pseudonyms; one's own comes from the environment.
+SECRET = os.environ.get("PRICETIDE_SECRET", "pseudonyms of the registered query").encode()
 
 
 def query(function):
@@ -18,6 +30,13 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def vocabulary_path():
+    """Where the byte-level vocabulary of the installed public tokenizers is."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 @query
 def op1_exact_dedup(spark, folder):
     return exact_duplicates(table(spark, folder, "documents"))
@@ -33,15 +52,88 @@ FROM d WINDOW g AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)"""
 
 
 @query
-def op9_near_duplicates(spark, folder):
-    return near_duplicates(table(spark, folder, "documents"), size=4, percent=80)
+def op2_quality(spark, folder):
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 @query
-def op2_quality(spark, folder):
-    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+def op3_warc_derivatives(spark, folder):
+    """Both records of every page; blocks as lengths and digests."""
+    return derivatives(responses(table(spark, folder, "pages"))).select(
+        "record_id",
+        "record_type",
+        "target_uri",
+        "refers_to",
+        "concurrent_to",
+        "payload_digest",
+        "block_digest",
+        F.octet_length("block").alias("content_length"),
+        F.sha2("block", 256).alias("block_sha256"),
+    )
+
+
+@query
+def op4_pseudonyms(spark, folder):
+    """Every document with its values replaced; `n_values` is 0 where there were none."""
+    rows = pseudonymised(table(spark, folder, "documents"), SECRET)
+    return rows.select(
+        "doc_id",
+        F.size("values").alias("n_values"),
+        (F.size("values") > 0).alias("changed"),
+        F.concat_ws(",", F.array_sort(F.array_distinct("values.kind"))).alias("kinds"),
+        "text",
+    )
+
+
+@query
+def op5_decontamination(spark, folder):
+    return contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"), size=5, percent=80)
+
+
+def _shingles(source, key):
+    """SQL for the distinct five-word shingles of a table's texts; shorter texts whole."""
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = rf"list_filter(regexp_split_to_array({lower}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+    return f"""SELECT DISTINCT {key}, unnest(list_transform(range(1, greatest(len(w) - 3, 2)),
+      lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) AS s
+    FROM (SELECT {key}, {words} AS w FROM {source}) WHERE len(w) > 0"""
+
+
+ORACLE_SQL["op5_decontamination"] = f"""
+WITH d AS ({_shingles("documents", "doc_id")}), b AS ({_shingles("benchmark", "item_id")}),
+n AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id),
+p AS (SELECT doc_id, item_id, count(*) AS shared FROM d JOIN b USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, shared, n_item, shared / n_item AS containment
+FROM p JOIN n USING (item_id) WHERE 100 * shared >= 80 * n_item"""
+
+
+@query
+def op6_bpe(spark, folder):
+    return encoded(table(spark, folder, "documents"), vocabulary_path(), digests=True)
 
 
 @query
 def op7_toxicity(spark, folder):
     return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op8_line_dedup(spark, folder):
+    """What is left of every text: lines deleted, code points and SHA-256 of the rest."""
+    rows = without_repeated_runs(table(spark, folder, "documents"))
+    return rows.select(
+        "doc_id",
+        "lines_deleted",
+        F.coalesce(F.length("text"), F.lit(0)).alias("chars_left"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+    )
+
+
+@query
+def op9_near_duplicates(spark, folder):
+    return near_duplicates(table(spark, folder, "documents"), size=4, percent=80)
+
+
+@query
+def op10_piece_counts(spark, folder):
+    return piece_counts(table(spark, folder, "documents"), vocabulary_path())
