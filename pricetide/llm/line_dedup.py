@@ -3,127 +3,159 @@
 A line here ends at a line break or at a sentence's end, so a passage is found in whatever
 paragraph it stands. Blank lines do not count.
 
-Each line starts a gram: the fewest lines from it on that have `GRAM_WORDS` words. In each
-stretch of `GRAM_WORDS` words from a line on, the gram with the smallest hash is a
-fingerprint. A run of twice as many words therefore has a fingerprint wherever it occurs,
-and the same one each time. Fingerprints are joined with the first place of their hash, the
-match is extended both ways while lines agree, and of runs of `RUN_WORDS` words or more the
-later ones go.
+Each line starts a gram: the fewest lines from it on that have `GRAM_BYTES` bytes, some
+fifteen words. In each stretch of as many bytes from a line on, the gram with the smallest
+hash is a fingerprint. A run of twice that length, some thirty words, therefore has a
+fingerprint wherever it occurs, and the same one each time. Fingerprints are joined with the
+first place of their hash, the match is extended both ways while lines agree, and of runs
+of `RUN_BYTES` bytes or more the later ones go. White space at the ends of lines is in no
+count.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pricetide.llm.scratch import Scratch
-from pricetide.operators.skew import broadcast_if_small
+from pricetide.llm.scratch import Scratch, send_if_small
 
-GRAM_WORDS = 15
-RUN_WORDS = 2 * GRAM_WORDS
-#: Documents with runs to delete that are sent to all executors at most; more are joined by shuffling.
-BROADCAST_RUNS = 200_000
+GRAM_BYTES = 90
+RUN_BYTES = 2 * GRAM_BYTES
+#: Rows of hashes or of documents with runs that are sent to all executors at most; more are joined by shuffling.
+BROADCAST_ROWS = 500_000
+#: Lines that a match is extended over at most. Fingerprints of a run start at most `GRAM_BYTES` bytes apart, so what
+#: lies further off has a fingerprint of its own unless lines are of one or two letters.
+AHEAD = 45
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 #: Splits behind a line break and behind the space after a full stop, question or exclamation mark.
 LINE_ENDS = r"(?<=\n)|(?<=[.!?] )"
+_MARK = "\x1e"
 
 
 def text_lines(text):
-    """The lines of a text with what ends them; together they are the text."""
-    return F.split(text, LINE_ENDS)
+    """The lines of a text with what ends them; together they are the text.
 
-
-def numbered_lines(text):
-    """pos, hash and number of words of the lines that are not blank.
-
-    A line is compared without white space at its ends; words are counted by spaces.
+    Ends are marked by a sign to split at, which is much faster than a pattern; a text that
+    has the sign itself is split by the pattern.
     """
+    marked = text
+    for end in ("\n", ". ", "! ", "? "):
+        marked = F.replace(marked, F.lit(end), F.lit(end + _MARK))
+    return F.when(F.contains(text, F.lit(_MARK)), F.split(text, LINE_ENDS)).otherwise(F.split(marked, _MARK))
 
-    def line(x, i):
-        bare = F.trim(x, F.lit(WHITE_SPACE))
-        words = F.length(bare) - F.length(F.replace(bare, F.lit(" "), F.lit(""))) + 1
-        return F.struct(
-            i.alias("pos"),
-            F.when(bare != "", F.xxhash64(bare)).alias("hash"),
-            words.cast("long").alias("words"),
-        )
 
-    return F.filter(F.transform(text_lines(text), line), lambda x: x["hash"].isNotNull())
+def numbered_lines(text):
+    """pos, hash and size of the lines that are not blank, without white space at their ends."""
+    bare = F.transform(text_lines(text), lambda x: F.trim(x, F.lit(WHITE_SPACE)))
+    lines = F.transform(
+        bare, lambda x, i: F.struct(i.alias("pos"), F.xxhash64(x).alias("hash"), F.octet_length(x).alias("size"))
+    )
+    return F.filter(lines, lambda x: x["size"] > 0)
 
 
 def fingerprints(lines):
     """(id, text_hash, at, gram): the selected grams of each document's lines."""
     document = Window.partitionBy("id", "text_hash")
-    before = F.sum("words").over(document.orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum("size").over(document.orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
     lines = lines.withColumn("start", F.coalesce(before, F.lit(0).cast("long")))
-    ahead = document.orderBy("start").rangeBetween(0, GRAM_WORDS - 1)
+    ahead = document.orderBy("start").rangeBetween(0, GRAM_BYTES - 1)
     grams = lines.select(
         "id",
         "text_hash",
         "at",
         "start",
         F.xxhash64(F.collect_list("hash").over(ahead)).alias("gram"),
-        (F.sum("words").over(ahead) >= GRAM_WORDS).alias("whole"),
+        (F.sum("size").over(ahead) >= GRAM_BYTES).alias("whole"),
     )
     best = F.min(F.when(F.col("whole"), F.struct("gram", (-F.col("at")).alias("back")))).over(ahead)
     picked = grams.select("id", "text_hash", best.alias("best")).where("best is not null")
     return picked.select("id", "text_hash", (-F.col("best.back")).alias("at"), "best.gram").distinct()
 
 
-def later_runs(documents, scratch):
-    """(id, text_hash, runs): the stretches of line positions to delete in each document."""
+def matches(documents, scratch):
+    """Stretches of lines to compare: (id, text_hash, id_0, text_hash_0, shift, low, high).
+
+    Fingerprints of a document that have the same distance from their first places in the
+    same text make one stretch while they are near each other, extended on both sides.
+    """
     lines = documents.select("id", "text_hash", F.posexplode("lines").alias("at", "line"))
-    lines = lines.select("id", "text_hash", "at", "line.hash", "line.words")
+    lines = lines.select("id", "text_hash", "at", "line.hash", "line.size")
     prints = scratch.write(fingerprints(lines), "fingerprints")
     again = prints.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1").select("gram")
-    again = broadcast_if_small(scratch.write(again, "grams"), BROADCAST_RUNS)
+    again = send_if_small(scratch.write(again, "grams"), BROADCAST_ROWS)
     prints = scratch.write(prints.join(again, "gram", "left_semi"), "fingerprints")
     first = prints.groupBy("gram").agg(F.min(F.struct("id", "text_hash", "at")).alias("first"))
-    pairs = prints.join(first, "gram").where(F.struct("id", "text_hash", "at") != F.col("first"))
-    pairs = pairs.select(
+    found = prints.join(first, "gram").where(F.struct("id", "text_hash", "at") != F.col("first"))
+    found = found.select(
         "id",
         "text_hash",
+        "at",
         F.col("first.id").alias("id_0"),
         F.col("first.text_hash").alias("text_hash_0"),
         (F.col("at") - F.col("first.at")).alias("shift"),
-    ).distinct()
-    pairs = scratch.write(pairs, "pairs")
-    own = documents.select("id", "text_hash", "lines")
-    sources = documents.select(
-        F.col("id").alias("id_0"), F.col("text_hash").alias("text_hash_0"), F.col("lines.hash").alias("source")
-    )
-    both = pairs.join(own, ["id", "text_hash"]).join(sources, ["id_0", "text_hash_0"])
-    equal = both.select(
-        "id",
-        "text_hash",
-        "id_0",
-        "text_hash_0",
-        "shift",
-        F.posexplode("lines").alias("at", "line"),
-        "source",
-    ).where(
-        (F.col("at") >= F.col("shift"))
-        & (F.col("line.hash") == F.get("source", F.col("at") - F.col("shift")))
     )
     diagonal = ["id", "text_hash", "id_0", "text_hash_0", "shift"]
-    order = F.row_number().over(Window.partitionBy(*diagonal).orderBy("at"))
+    order = Window.partitionBy(*diagonal).orderBy("at")
+    gap = F.col("at") - F.lag("at").over(order) > AHEAD
+    found = found.withColumn("new", F.coalesce(gap, F.lit(True)).cast("int"))
+    found = found.withColumn("stretch", F.sum("new").over(order))
+    found = found.groupBy(*diagonal, "stretch").agg(F.min("at").alias("low"), F.max("at").alias("high"))
+    low = F.greatest(F.col("low") - AHEAD, F.col("shift"), F.lit(0))
+    return found.select(*diagonal, low.alias("low"), (F.col("high") + AHEAD).alias("high"))
+
+
+def later_runs(documents, scratch):
+    """(id, text_hash, runs): the stretches of line positions to delete in each document."""
+    found = scratch.write(matches(documents, scratch), "matches")
+    ids = found.select("id", "text_hash").unionByName(
+        found.select(F.col("id_0").alias("id"), F.col("text_hash_0").alias("text_hash"))
+    )
+    ids = send_if_small(scratch.write(ids.distinct(), "ids"), BROADCAST_ROWS)
+    documents = documents.join(ids, ["id", "text_hash"], "left_semi")
+
+    def cut(hashes, low, high):
+        return F.slice(hashes, low + 1, F.greatest(high - low + 1, F.lit(0)))
+
+    own = found.join(documents, ["id", "text_hash"]).select(
+        *found.columns,
+        cut(F.col("lines.hash"), F.col("low"), F.col("high")).alias("hashes"),
+        cut(F.col("lines.size"), F.col("low"), F.col("high")).alias("sizes"),
+        cut(F.col("lines.pos"), F.col("low"), F.col("high")).alias("places"),
+    )
+    first = documents.select(F.col("id").alias("id_0"), F.col("text_hash").alias("text_hash_0"), F.col("lines.hash").alias("all"))
+    both = own.join(first, ["id_0", "text_hash_0"]).withColumn(
+        "source", cut(F.col("all"), F.col("low") - F.col("shift"), F.col("high") - F.col("shift"))
+    )
+    key = ["id", "text_hash", "id_0", "text_hash_0", "shift", "low"]
+    line = F.arrays_zip("hashes", "source", "sizes", "places")
+    equal = both.select(*key, F.posexplode(line).alias("at", "line")).where("line.hashes = line.source")
+    order = F.row_number().over(Window.partitionBy(*key).orderBy("at"))
     runs = (
-        equal.select(*diagonal, "at", "line.pos", "line.words")
+        equal.select(*key, "at", F.col("line.places").alias("pos"), F.col("line.sizes").alias("size"))
         .withColumn("run", F.col("at") - order)
-        .groupBy(*diagonal, "run")
-        .agg(F.min("pos").alias("first"), F.max("pos").alias("last"), F.sum("words").alias("words"))
-        .where(F.col("words") >= RUN_WORDS)
+        .groupBy(*key, "run")
+        .agg(F.min("pos").alias("first"), F.max("pos").alias("last"), F.sum("size").alias("size"))
+        .where(F.col("size") >= RUN_BYTES)
+    )
+    runs = runs.select("id", "text_hash", "first", "last").distinct()
+    # overlapping stretches, found along several distances, become one
+    order = Window.partitionBy("id", "text_hash").orderBy("first", "last")
+    before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("new", F.coalesce(F.col("first") > before + 1, F.lit(True)).cast("int"))
+    runs = runs.withColumn("part", F.sum("new").over(order))
+    runs = runs.groupBy("id", "text_hash", "part").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return runs.groupBy("id", "text_hash").agg(
+        F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"),
+        F.sum(F.col("last") - F.col("first") + 1).alias("lines_deleted"),
     )
-    runs = runs.select("id", "text_hash", F.struct("first", "last").alias("run")).distinct()
-    return runs.groupBy("id", "text_hash").agg(F.sort_array(F.collect_list("run")).alias("runs"))
 
 
 def without_repeated_runs(docs, text="text", key="doc_id"):
     """`docs` without the later copies of runs of lines that repeat.
 
     Returns the columns of `docs` with the text that is left, `lines_deleted` and
-    `deleted` (first and last position of each deleted run, counting the lines of
-    `text_lines` from 0). Texts come in the order of key and hash of the text; of a run
+    `deleted` (first and last position of each deleted stretch, counting the lines of
+    `text_lines`, blank ones too, from 0). Texts come in the order of key and hash of the text; of a run
     that occurs again, in another text or further down in the same, the first one stays.
-    What is deleted always occurs at an earlier place, and a run of `RUN_WORDS` words or
+    What is deleted always occurs at an earlier place, and a run of `RUN_BYTES` bytes or
     more whose fingerprints first occur in one place goes as a whole.
 
     A null text stays null; empty texts stay. Rows with the same key and text are one
@@ -138,20 +170,19 @@ def without_repeated_runs(docs, text="text", key="doc_id"):
     unique = documents.groupBy("id", "text_hash").agg(F.count("*").alias("rows")).where("rows > 1")
     if not unique.isEmpty():
         documents = scratch.write(documents.dropDuplicates(["id", "text_hash"]), "lines")
-    runs = scratch.write(later_runs(documents, scratch), "runs")
+    named = [F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("runs").alias("deleted"), "lines_deleted"]
+    runs = scratch.write(later_runs(documents, scratch).select(*named), "runs")
     scratch.clear(runs)
-    runs = runs.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("runs").alias("deleted"))
-    rows = docs.withColumns(names).join(broadcast_if_small(runs, BROADCAST_RUNS), ["_id", "_hash"], "left")
+    rows = docs.withColumns(names).join(send_if_small(runs, BROADCAST_ROWS), ["_id", "_hash"], "left")
 
     def gone(i):
         return F.exists("deleted", lambda run: (i >= run["first"]) & (i <= run["last"]))
 
     cut = F.array_join(F.filter(text_lines(F.col(text)), lambda x, i: ~gone(i)), "")
-    count = F.size(F.filter(text_lines(F.col(text)), lambda x, i: gone(i)))
     some = F.col("deleted").isNotNull()
     return rows.withColumns(
         {
-            "lines_deleted": F.when(some, count).otherwise(0),
+            "lines_deleted": F.coalesce("lines_deleted", F.lit(0).cast("long")),
             text: F.when(some, cut).otherwise(F.col(text)),
         }
     ).drop("_id", "_hash")

@@ -1,5 +1,7 @@
 """Intermediate tables of one operator, removed as soon as nothing reads them."""
 
+from pyspark.sql import functions as F
+
 from pricetide.workspace import shared_folder
 
 
@@ -27,3 +29,12 @@ class Scratch:
                 place = jvm.org.apache.hadoop.fs.Path(path)
                 place.getFileSystem(hadoop).delete(place, True)
                 del self.paths[name]
+
+
+def send_if_small(written, max_rows):
+    """Mark a written table for broadcast when it has at most `max_rows` rows.
+
+    The rows are counted in the files' footers, nothing is brought to the driver. A larger
+    table is left to a join that shuffles.
+    """
+    return F.broadcast(written) if written.count() <= max_rows else written
