@@ -12,10 +12,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from pricetide.llm.scratch import Scratch
+from pricetide.llm.scratch import Scratch, send_if_small
 from pricetide.llm.shipping import map_batches
 from pricetide.llm.words import distinct, mix, pieces, shingles, word_hashes
-from pricetide.operators.skew import broadcast_if_small, is_small
 
 SKETCH = 16
 #: Sketch values sent along with the search at most, 8 bytes each; more are joined by shuffling.
@@ -124,7 +123,7 @@ def contained_items(docs, items, size=5, percent=80, text="text", key="doc_id",
     texts = texts.where("doc_id is not null and text is not null")
     sketch = scratch.write(map_batches(tests, item_sketches(size), "item_id long, n_item long, value long"), "sketch")
     wanted = None
-    if is_small(sketch, SKETCH_VALUES):
+    if sketch.count() <= SKETCH_VALUES:
         rows = sketch.select("value").distinct().toPandas()
         wanted = np.sort(rows["value"].to_numpy(np.int64).view(np.uint64))
     found = map_batches(texts, search_batches(size, wanted), "doc_id long, n long, value long")
@@ -132,7 +131,7 @@ def contained_items(docs, items, size=5, percent=80, text="text", key="doc_id",
     large_enough = F.lit(100) * F.col("n") >= F.lit(percent) * F.col("n_item")
     pairs = found.join(few, "value").where(large_enough).select("doc_id", "item_id").distinct()
     pairs = scratch.write(pairs, "pairs")
-    ids = broadcast_if_small(scratch.write(pairs.select("doc_id").distinct(), "ids"), BROADCAST_IDS)
+    ids = send_if_small(scratch.write(pairs.select("doc_id").distinct(), "ids"), BROADCAST_IDS)
     texts = texts.join(ids, "doc_id", "left_semi")
     rows = texts.join(pairs.join(tests, "item_id"), "doc_id").select("doc_id", "item_id", "text", "item_text")
     schema = "doc_id long, item_id long, shared long, n_item long"

@@ -8,8 +8,7 @@ sorted content and not for hashes.
 
 from pyspark.sql import functions as F
 
-from pricetide.llm.scratch import Scratch
-from pricetide.operators.skew import broadcast_if_small
+from pricetide.llm.scratch import Scratch, send_if_small
 
 BLOCK = 8192
 #: Hash pairs of repeated texts sent to all executors at most, 16 bytes each.
@@ -115,7 +114,7 @@ def exact_duplicates(docs, text="text", key="doc_id"):
     )
     repeated = heads.groupBy("hash", "bytes").agg(F.count("*").alias("rows")).where("rows > 1").select("hash", "bytes")
     written = scratch.write(repeated, "repeated")
-    repeated = broadcast_if_small(written, BROADCAST_HASHES)
+    repeated = send_if_small(written, BROADCAST_HASHES)
     alone = heads.join(repeated, ["hash", "bytes"], "left_anti").select(
         "doc_id",
         F.col("doc_id").alias("keep_id"),
