@@ -1,10 +1,10 @@
 """A generative model of voters: how far each can be trusted, and which vote together.
 
 Each document has a hidden class. Voters say 1, 0 or nothing (-1), with probabilities that
-depend on the class. The model is estimated by expectation-maximisation from the counts of
-vote patterns alone, so it sees all documents at the cost of one small table. Voters that
-agree more than the class explains are joined to a clique, whose votes have one table of
-probabilities together; then the model is estimated anew.
+depend on the class. Voters that agree more than the first guess at the class explains are joined to a
+clique, whose votes have one table of probabilities together. The model is then estimated by
+expectation-maximisation from the counts of vote patterns alone, so it sees all documents
+at the cost of one small table.
 """
 
 import numpy as np
@@ -23,8 +23,7 @@ class LabelModel:
         self.counts = np.asarray(counts, float)
         self.posterior = np.asarray(anchors, float)
         voters = range(self.patterns.shape[1])
-        self.cliques = [[v] for v in voters]
-        self._estimate(rounds)
+        # judged before the fit: voters that copy one another would be taken for the class itself
         self.cliques = self._related(related)
         self._estimate(rounds)
         votes, p = self.patterns, self.posterior
@@ -69,8 +68,8 @@ class LabelModel:
         spread = np.sqrt(np.maximum(np.diag(cover), 1e-12))
         self.correlations = cover / np.outer(spread, spread)
         group = list(range(votes.shape[1]))
-        pairs = [(a, b) for a in group for b in range(a) if abs(self.correlations[a, b]) > limit]
-        for a, b in sorted(pairs, key=lambda ab: -abs(self.correlations[ab])):
+        pairs = [(a, b) for a in group for b in range(a) if self.correlations[a, b] > limit]
+        for a, b in sorted(pairs, key=lambda ab: -self.correlations[ab]):
             together = sum(g in (group[a], group[b]) for g in group)
             if group[a] != group[b] and together <= CLIQUE and len(set(group)) > LEAST_CLIQUES:
                 group = [group[b] if g == group[a] else g for g in group]
