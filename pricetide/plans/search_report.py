@@ -31,7 +31,11 @@ def _median_of(df, value):
 
 
 def numeric_summary(df, value, deviation=False):
-    """Mean, median, least and greatest value of a column; also its sample deviation."""
+    """Mean, median, least and greatest value of a column; also its sample deviation.
+
+    Values that are no numbers are left out of all of them.
+    """
+    df = df.withColumn(value, F.when(~F.isnan(value), F.col(value)))
     extra = [F.stddev_samp(value).alias("stddev")] if deviation else []
     summary = df.agg(
         F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"), *extra

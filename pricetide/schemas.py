@@ -2,7 +2,7 @@
 
 from pyspark.sql import types as T
 
-PRICE = T.DecimalType(10, 2)
+PRICE = T.DecimalType(18, 2)
 
 
 def _struct(**fields):

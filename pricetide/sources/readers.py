@@ -33,23 +33,30 @@ def read_instruments_csv(spark, path, multiline=False):
 
 
 def _typed(df, schema, **special):
+    """Columns of a log by type; what cannot be read, and what is no number, is NULL."""
     check_columns(df, schema.fieldNames())
-    return df.select(
-        *[
-            special.get(f.name, F.col(f.name).try_cast(f.dataType)).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+
+    def typed(field):
+        value = F.col(field.name).try_cast(field.dataType)
+        if field.dataType.typeName() == "double":
+            value = F.when(~F.isnan(value), value)
+        return special.get(field.name, value).alias(field.name)
+
+    return df.select(*[typed(f) for f in schema.fields])
 
 
 def read_update_log(spark, path):
     return _typed(_read_csv(spark, path), UPDATE_METRICS)
 
 
-def read_search_log(spark, path):
-    """Search log with its nested sample, whose text may use single quotes."""
+def read_search_log(spark, path, multiline=True):
+    """Search log with its nested sample, whose text may use single quotes.
+
+    Error texts may span lines inside quotes; a file is then read by one task. Logs known
+    to have none can be split with `multiline=False`.
+    """
     sample = F.from_json(F.col("sample_data"), SAMPLE)
-    return _typed(_read_csv(spark, path), SEARCH_METRICS, sample_data=sample)
+    return _typed(_read_csv(spark, path, multiline), SEARCH_METRICS, sample_data=sample)
 
 
 def keys_of(df, key="isin"):

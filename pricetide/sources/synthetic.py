@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import functions as F
 
 from pricetide.functions.text import pad_with_phrases, shorten
+from pricetide.schemas import PRICE
 
 # The country codes keys start with.
 COUNTRIES = ["US", "GB", "DE", "FR", "JP", "CA", "AU", "CH", "NL", "SE"]
@@ -39,8 +40,8 @@ class Vocabulary:
         "Tourism", "Water", "Publishing", "Satellites", "Forestry", "Ceramics", "Batteries",
     )
     forms: tuple = (
-        "Limited", "Holdings", "Group", "Partners", "Trust", "Company", "Works", "Brothers",
-        "Associates", "Union", "NV", "AB", "SpA", "Oy", "KK", "PLC", "AG", "SA", "Inc", "LLC",
+        "Mills", "Yards", "House", "Guild", "Combine", "Cooperative", "Foundry", "Bureau",
+        "Consortium", "Syndicate", "League", "Mutual", "Depot",
     )
     areas: tuple = (
         "Technology Hardware", "Financial Advisory", "Grid Storage", "Organic Farming",
@@ -49,18 +50,18 @@ class Vocabulary:
         "Precision Optics", "Waste Management", "Satellite Navigation", "Specialty Chemicals",
         "Battery Recycling", "Investment Brokerage", "Technological Research", "Game Publishing",
         "Marine Insurance", "Industrial Robotics", "Dairy Processing", "Payment Networks",
-        "Medical Imaging", "Quantum Technologies",
+        "Medical Imaging", "Quantum Technologies", "Bridge Building", "Seed Breeding", "Harbour Dredging",
     )
     regions: tuple = (
         "Iberia", "Benelux", "the Alps", "East Africa", "Oceania", "the Andes", "South Asia",
         "Asia-Pacific", "the Balkans", "North Africa", "the Gulf", "Central Europe",
-        "the Great Lakes", "Indochina", "the British Isles", "Patagonia", "Frontier Markets",
+        "the Great Lakes", "Indochina", "the British Isles", "Patagonia", "Frontier Markets", "Lapland", "the Caribbean",
     )
     funds: tuple = (
         "Fund", "Index Fund", "Bond Fund", "Income Fund", "Growth Fund", "Balanced Fund",
         "Pension Fund", "Feeder Fund", "Money Market Fund", "Small Company Fund", "ETF",
         "Closed-End Fund", "Absolute Return Fund", "Investment Fund", "Endowment Fund",
-        "Municipal Fund",
+        "Municipal Fund", "Savings Plan",
     )
     strategies: tuple = (
         "Momentum Strategy", "Carry Strategy", "Minimum Variance Strategy", "Barbell Strategy",
@@ -69,21 +70,19 @@ class Vocabulary:
         "Rotation Strategy", "Buy-and-Hold Strategy", "Pairs Strategy", "Tail Risk Strategy",
     )
     closings: tuple = (
-        "under Independent Management", "with Quarterly Rebalancing", "and Full Daily Disclosure",
-        "for Diversified Portfolios", "with Low Turnover Trading", "and Currency Hedged Classes",
-        "by a Veteran Investment Team", "with Monthly Distributions",
+        "open to savers abroad", "quoted once a week", "reviewed by two auditors",
+        "paid out each spring", "kept at a custodian bank",
     )
     name_patterns: tuple = (
-        "{leads} {firms} {forms}", "{firms} {forms}", "{leads} {firms}", "{firms} {leads} {forms}",
+        "House of {leads} {firms}", "{leads} {forms}", "New {leads} {firms}",
+        "{firms} {forms} at {leads}", "{leads} and Daughters {firms}",
     )
     long_patterns: tuple = (
-        "{areas} in {regions} {funds}, a {strategies} with Diversified Holdings",
-        "Global {areas} and {areas2} {funds} across {regions}",
-        "{regions} {areas} {funds} run on a {strategies}",
-        "Sustainable {areas} Platform: {funds} built around a {strategies}",
-        "{funds} of {areas} Companies from {regions} with a {strategies}",
-        "Diversified {areas} plus {areas2} {funds} in {regions} following a {strategies}",
-        "{areas} Investment {funds} for {regions} guided by a {strategies} and Tight Risk Limits",
+        "Units of a {strategies} kept by the {funds}, {areas} shelf, booked in {regions}",
+        "From {regions}: {areas2} next to {areas}, shared through one {funds}",
+        "Every Global maker of {areas} outside {regions}, owned by way of the {funds}",
+        "Investment Club Share, {regions} Series, where {areas} meets the {strategies}",
+        "The {funds} lends to Sustainable {areas}, earns by a {strategies} and reports from {regions}",
     )
 
 
@@ -131,7 +130,7 @@ def prices(row_id, salt=60):
     column = F.lit(None).cast("long")
     for i, (low, high) in enumerate(PRICE_BUCKETS):
         column = F.when(bucket == i, low * 100 + cents % ((high - low) * 100 + 1)).otherwise(column)
-    return (column / 100).cast("decimal(10,2)")
+    return (column / 100).cast(PRICE)
 
 
 def synthetic_instruments(df, row_id="id", words=Vocabulary()):

@@ -29,7 +29,7 @@ def test_dirty_csv(spark, tmp_path, rows):
     assert C.keep_first(blank).count() == 5
     kept = C.clean(raw, loaded_at="2024-01-01 00:00:00")
     assert [(r.isin, float(r.price)) for r in kept.collect()] == [("K3", 2.0)]
-    assert kept.schema["price"].dataType.simpleString() == "decimal(10,2)"
+    assert kept.schema["price"].dataType.simpleString() == "decimal(18,2)"
     assert rows(C.load_report(raw)) == [
         ("after_dedup", 5),
         ("after_dropping_incomplete", 1),
@@ -86,3 +86,12 @@ def test_missing_spellings(spark):
     df = spark.createDataFrame([(t,) for t in ["", "N/A", "null", "None", "nan", "x", "none?"]], "name string")
     kept = C.blank_to_null(df, ["name"]).where("name is not null").collect()
     assert sorted(r.name for r in kept) == ["none?", "x"]
+
+
+def test_large_prices_are_loaded(spark):
+    raw = spark.createDataFrame(
+        [("K1", "a", "b", "100000000.00", 1), ("K2", "a", "b", "99999999.99", 2)],
+        "isin string, name string, long_name string, price string, row_order long",
+    )
+    kept = C.clean(raw, loaded_at="2024-01-01 00:00:00")
+    assert sorted(str(r.price) for r in kept.collect()) == ["100000000.00", "99999999.99"]

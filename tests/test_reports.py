@@ -141,3 +141,24 @@ def test_runs_are_told_apart(spark):
     log = spark.createDataFrame([(at(s), i, 1.0, 1.0) for s, i in stamps], UPDATES)
     got = update_report.run_ids(log).orderBy("timestamp").collect()
     assert [r.run_id for r in got] == [0, 0, 1, 1, 2, 2, 3, 3, 3]
+
+
+def test_values_that_are_no_numbers_are_left_out(spark):
+    from pricetide.plans.search_report import numeric_summary
+
+    log = spark.createDataFrame([(float("nan"),), (2.0,), (4.0,), (None,)], "v double")
+    got = numeric_summary(log, "v", deviation=True).collect()[0]
+    assert (got["mean"], got["median"], got["max"], got["min"]) == (3.0, 3.0, 4.0, 2.0)
+    assert round(got["stddev"], 6) == 1.414214
+
+
+def test_search_log_with_a_line_break(spark, tmp_path):
+    from pricetide.schemas import SEARCH_METRICS
+    from pricetide.sources.readers import read_search_log
+
+    names = SEARCH_METRICS.fieldNames()
+    row = {"search_id": "1", "duration_ms": "NaN", "error": '"lost,\nthen found"'}
+    text = ",".join(names) + "\n" + ",".join(row.get(n, "") for n in names) + "\n"
+    (tmp_path / "log.csv").write_text(text)
+    got = read_search_log(spark, str(tmp_path / "log.csv")).collect()
+    assert [(r.search_id, r.duration_ms, r.error) for r in got] == [(1, None, "lost,\nthen found")]
