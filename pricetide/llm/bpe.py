@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pricetide.llm.shipping import map_batches
 
 #: Pieces whose tokens a task remembers at most; the memory is emptied when it is full.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Texts taken up at once in a task.
 ROWS_AT_ONCE = 500
 # fixed values: the pattern that byte-level vocabularies of this kind are split by
@@ -124,7 +124,7 @@ class Vocabulary:
         known = self.compatible.get((one, two))
         if known is None:
             known = self._across(one, two)
-            if len(self.compatible) > 1_000_000:
+            if len(self.compatible) > REMEMBERED:
                 self.compatible.clear()
             self.compatible[one, two] = known
         return known

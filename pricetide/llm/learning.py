@@ -60,13 +60,20 @@ def fit(sample, features, size, epochs, schema="order long, text string, label d
 
     def run(batches):
         model, kept = Leader(size, **leader), []
-        for batch in batches:
-            labels = batch.column(2).to_numpy(zero_copy_only=False)
-            for (index, values), label in zip(features(batch.column(1)), labels):
-                kept.append((np.append(index, size).astype(np.int32), np.append(values, 1).astype(np.float32), label))
+        for batch in (b for b in batches if b.num_rows):
+            # one array for a batch: many small ones would stay with the worker process
+            labels = batch.column(2).to_numpy(zero_copy_only=False).copy()
+            found = [(i.astype(np.int32), v.astype(np.float32)) for i, v in features(batch.column(1))]
+            bounds = np.cumsum([0, *(len(i) for i, _ in found)])
+            values = np.concatenate([v for _, v in found])
+            if len(values) and (values == 1).all():
+                values = np.broadcast_to(np.float32(1), len(values))
+            kept.append((np.concatenate([i for i, _ in found]), values, bounds, labels))
+            del found
         for _ in range(epochs):
-            for index, values, label in kept:
-                model.learn(index, values, label)
+            for indexes, values, bounds, labels in kept:
+                for a, b, label in zip(bounds[:-1], bounds[1:], labels):
+                    model.learn(np.append(indexes[a:b], size), np.append(values[a:b], 1), label)
         out = io.BytesIO()
         weights = model.weights().astype(np.float32)
         nonzero = np.flatnonzero(weights).astype(np.int32)
