@@ -11,6 +11,12 @@ from pricetide.operators.skew import BROADCAST_ROWS, ROWS_PER_TASK, is_small, sp
 CELLS_PER_WINDOW = 16
 MAX_BINS = 100_000
 
+# Exact sums: binary digits of a band of values, digits kept below it, bands of the infinities.
+BAND_BITS, SPARE_BITS, INFINITE = 32, 54, 1000
+
+# Windows whose lengths differ less than so many times share buckets of one width.
+LENGTH_STEP = 16
+
 # Limit on the buckets one window may cover, so that no row grows without bound.
 MAX_BUCKETS = 100_000
 
@@ -81,74 +87,124 @@ def interval_join(
     `how` is "inner" (a row per point and window) or "left_anti" (points in no window;
     overlapping windows are merged first, so that a point meets few of them).
 
-    Both sides meet on time buckets. With buckets of the mean window length the windows
-    grow about threefold whatever their lengths, points are never copied, and most
-    compared pairs are results. Few windows go to the points as a broadcast; otherwise
-    buckets with too many points are split by `point_id`, for pairs also those with too
-    many windows.
+    Both sides meet on time buckets. For pairs, windows are classed by length and each
+    class has buckets of its own width, so one long window does not widen the buckets of
+    the others: a window covers at most LENGTH_STEP + 2 buckets, a point gets a copy for
+    each class there is (one for each power of LENGTH_STEP). Few windows go to the points
+    as a broadcast; otherwise buckets with too many points are split by `point_id`, for
+    pairs also those with too many windows.
     """
     windows = windows.withColumns(
         {"_from": micros(F.col("window_start")), "_to": micros(F.col("window_end"))}
     ).where(F.col("_to") >= F.col("_from"))
-    # With buckets of the mean length, windows cover three on average.
-    few = is_small(windows, broadcast_rows // 3)
+    # So many buckets a window covers at most.
+    few = is_small(windows, broadcast_rows // (LENGTH_STEP + 2))
     if how == "left_anti":
         windows, window_id = _islands(windows.select("_from", "_to"), few), None
     else:
         window_id = windows.columns
-    if bucket_seconds is None:
-        length = F.col("_to") - F.col("_from")
+    length = F.col("_to") - F.col("_from")
+    windows = windows.withColumn("_class", F.lit(0).cast("long"))
+    points = points.withColumn("_at", micros(F.col(ts))).withColumn("_class", F.lit(0).cast("long"))
+    if bucket_seconds is not None:
+        width = F.lit(bucket_seconds * 1_000_000.0)
+    elif how == "inner":
+        step = F.floor(F.log(float(LENGTH_STEP), F.greatest(length, F.lit(1000))))
+        windows = windows.withColumn("_class", step)
+        classes = windows.agg(F.collect_set("_class")).scalar()
+        points = points.withColumn("_class", F.explode(classes))
+        width = F.pow(F.lit(float(LENGTH_STEP)), F.col("_class"))
+    else:
         width = windows.agg(
             F.greatest(F.avg(length), F.max(length) / MAX_BUCKETS, F.lit(1000.0))
         ).scalar()
         width = F.coalesce(width, F.lit(1000.0))
-    else:
-        width = F.lit(bucket_seconds * 1_000_000.0)
     windows = windows.withColumn(
         "_bucket",
         F.explode(F.sequence(F.floor(F.col("_from") / width), F.floor(F.col("_to") / width))),
     )
-    if bucket_seconds is not None:
+    if bucket_seconds is not None or how == "left_anti":
         few = few and is_small(windows, broadcast_rows)
-    points = points.withColumn("_at", micros(F.col(ts))).withColumn(
-        "_bucket", F.floor(F.col("_at") / width)
-    )
-    inside = (F.col("p._bucket") == F.col("w._bucket")) & F.col("p._at").between(
-        F.col("w._from"), F.col("w._to")
+    points = points.withColumn("_bucket", F.floor(F.col("_at") / width))
+    inside = (
+        (F.col("p._class") == F.col("w._class"))
+        & (F.col("p._bucket") == F.col("w._bucket"))
+        & F.col("p._at").between(F.col("w._from"), F.col("w._to"))
     )
     if few:
         windows = F.broadcast(windows)
     else:
         points, windows = split_hot_keys(
-            points, windows, ["_bucket"], point_id, window_id, rows_per_task
+            points, windows, ["_class", "_bucket"], point_id, window_id, rows_per_task
         )
         inside = inside & (F.col("p._split") == F.col("w._split"))
     p, w = points.alias("p"), windows.alias("w")
-    helpers = {"_bucket", "_split", "_at", "_from", "_to"}
+    helpers = {"_class", "_bucket", "_split", "_at", "_from", "_to"}
     columns = [F.col(f"p.{c}") for c in points.columns if c not in helpers]
     if how == "inner":
         columns = [F.col(f"w.{c}") for c in windows.columns if c not in helpers] + columns
     return p.join(w, inside, how).select(*columns)
 
 
+def _times_power(value, exponent):
+    """`value` times two to the `exponent`, in two steps, as the power may be out of range alone."""
+    half = F.floor(exponent / 2)
+    return value * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), exponent - half)
+
+
+def _exact(value):
+    """A double as (band, units): a whole number of units of 2^(BAND_BITS * band - SPARE_BITS).
+
+    Infinities have bands of their own, where units count them.
+    """
+    infinite = F.abs(value) == float("inf")
+    exponent = F.floor(F.log2(F.abs(value)) / BAND_BITS)
+    none = F.lit(0).cast("long")
+    band = F.when(infinite, F.when(value > 0, INFINITE).otherwise(-INFINITE)).otherwise(
+        F.when(value != 0, exponent).otherwise(none)
+    )
+    scaled = _times_power(F.when(~infinite, value), SPARE_BITS - BAND_BITS * band)
+    # both halves fit a long, and neither is rounded
+    high = F.floor(scaled / 2.0**BAND_BITS)
+    low = (scaled - high * F.lit(2.0**BAND_BITS)).cast("long")
+    whole = high.cast("decimal(20,0)") * F.lit(2**BAND_BITS).cast("decimal(10,0)") + low.cast("decimal(20,0)")
+    return band, F.when(infinite, F.lit(1).cast("decimal(20,0)")).otherwise(whole)
+
+
+def _double(band, units):
+    """The sum that `units` of a band stand for."""
+    endless = F.when(units > 0, F.when(band > 0, float("inf")).otherwise(float("-inf"))).otherwise(0.0)
+    finite = _times_power(units.cast("double"), BAND_BITS * band - SPARE_BITS)
+    return F.when(F.abs(band) == INFINITE, endless).otherwise(finite)
+
+
 def interval_totals(windows, points, ts, value, keys, broadcast_rows=BROADCAST_ROWS):
     """Number and mean of the values inside each window, without making pairs.
 
     Both are differences of running totals over time, at the end and at the start of a
-    window, so the cost does not depend on how much windows overlap. Points that share a
-    cell of time with no window bound combine before the shuffle; a bin holds at most one
-    row per microsecond. Values are summed to 9 decimals, exactly. `keys` tell windows
+    window, so the cost does not depend on how much windows overlap. Points outside the
+    time the windows span are cut off first; points that share a cell of time with no
+    window bound combine before the shuffle; a bin holds at most a row per microsecond and
+    band. Values are summed as whole numbers in bands of 32 binary digits (most columns
+    have one or two, doubles have 66 at most), so a huge value takes nothing from small
+    ones elsewhere. NULL and NaN are left out, infinities count. `keys` tell windows
     apart; windows without points are left out.
     """
+    windows = windows.where(F.col("window_end") >= F.col("window_start"))
+    first, last = windows.agg(F.min("window_start")).scalar(), windows.agg(F.max("window_end")).scalar()
     windows = windows.select(
         *keys, micros(F.col("window_start")).alias("_from"), micros(F.col("window_end")).alias("_to")
-    ).where(F.col("_to") >= F.col("_from"))
+    )
     length = F.avg(F.col("_to") - F.col("_from"))
     cell = windows.agg(F.greatest(length / CELLS_PER_WINDOW, F.lit(1000.0))).scalar()
     cell = F.coalesce(cell, F.lit(1000.0))
-    points = points.select(
-        micros(F.col(ts)).alias("at"), F.col(value).try_cast("decimal(28,9)").alias("value")
-    ).where(F.col("value").isNotNull())
+    points = points.where(F.col(ts).between(first, last)).select(
+        micros(F.col(ts)).alias("at"), F.col(value).try_cast("double").alias("value")
+    ).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    band, units = _exact(F.col("value"))
+    points = points.select("at", band.alias("band"), units.alias("units"))
+    # at most 66 numbers
+    bands = points.agg(F.collect_set("band")).scalar()
     bounds = windows.select(F.explode(F.array("_from", "_to")).alias("at"))
     if is_small(windows, broadcast_rows // 2):
         # Elsewhere a point may stand at one moment of its cell, safely inside it.
@@ -158,9 +214,10 @@ def interval_totals(windows, points, ts, value, keys, broadcast_rows=BROADCAST_R
         )
         moment = F.floor(F.col("cell") * cell) + 2
         points = points.withColumn("at", F.when(F.col("bound"), F.col("at")).otherwise(moment))
-    values = points.groupBy("at").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
-    marks = windows.select(
+    values = points.groupBy("at", "band").agg(F.count("*").alias("n"), F.sum("units").alias("total"))
+    marks = windows.withColumn("band", F.explode(bands)).select(
         *keys,
+        "band",
         F.inline(
             F.array(
                 F.struct(F.col("_from").alias("at"), F.lit(0).alias("side")),
@@ -168,19 +225,22 @@ def interval_totals(windows, points, ts, value, keys, broadcast_rows=BROADCAST_R
             )
         ),
         F.lit(0).cast("long").alias("n"),
-        F.lit(0).cast("decimal(38,9)").alias("total"),
+        F.lit(0).cast("decimal(38,0)").alias("total"),
     )
     steps = values.withColumn("side", F.lit(1)).unionByName(marks, allowMissingColumns=True)
     bin = F.floor(F.col("at") / _bin_width(windows))
     totals = {"n": "n_upto", "total": "total_upto"}
-    steps = running_totals(steps, [], bin, ["at", "side"], totals)
+    steps = running_totals(steps, ["band"], bin, ["at", "side"], totals)
 
     def inside(name):
         upto = F.max(F.when(F.col("side") == 2, F.col(name)))
         return upto - F.max(F.when(F.col("side") == 0, F.col(name)))
 
-    found = steps.where("side != 1").groupBy(*keys).agg(
-        inside("n_upto").cast("long").alias("count"), inside("total_upto").alias("total")
+    per_band = steps.where("side != 1").groupBy(*keys, "band").agg(
+        inside("n_upto").cast("long").alias("n"), inside("total_upto").alias("units")
+    )
+    found = per_band.groupBy(*keys).agg(
+        F.sum("n").alias("count"), F.sum(_double(F.col("band"), F.col("units"))).alias("total")
     )
-    mean = F.col("total").cast("double") / F.col("count")
+    mean = F.col("total") / F.col("count")
     return found.where(F.col("count") > 0).select(*keys, "count", mean.alias("mean"))

@@ -91,3 +91,32 @@ def test_negative_durations_hold_nothing(spark):
     )
     points = spark.createDataFrame([(at(4), 1)], "at timestamp, id long")
     assert interval_join(windows, points, "at", ["id"]).count() == 0
+
+
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_totals_keep_values_of_every_size(spark, broadcast_rows):
+    updates, _ = frames(spark, [(i * 10, 2.0) for i in range(8)], [])
+    inf = float("inf")
+    held = [[1e20, 2.0], [1e-10, 3e-10], [inf, 1.0], [float("nan"), 4.0], [1e20], [5e-324, 1e300], [0.0, -2.5], [0.1]]
+    rows = [(at(w * 10 + k), 10 * w + k, True, v) for w, own in enumerate(held) for k, v in enumerate(own)]
+    searches = spark.createDataFrame(rows, SEARCHES)
+    means = impact.window_means(updates, searches, broadcast_rows=broadcast_rows).collect()
+    stats = impact.window_stats(updates, searches, broadcast_rows=broadcast_rows).collect()
+    expected = {1: (2, 5e19), 2: (2, 2e-10), 3: (2, inf), 4: (1, 4.0), 5: (1, 1e20), 6: (2, 5e299), 7: (2, -1.25), 8: (1, 0.1)}
+    found = {r.iteration: (r.search_count, r.avg_search_duration) for r in means}
+    assert found == {w: (n, pytest.approx(m, rel=1e-15)) for w, (n, m) in expected.items()}
+    assert found == {
+        r.iteration: (r.search_count, pytest.approx(r.avg_search_duration, rel=1e-15)) for r in stats
+    }
+
+
+def test_points_beyond_the_windows_and_one_long_window(spark, rows):
+    windows = [(i * 100, 2.0) for i in range(200)] + [(-5e6, 1e7)]
+    searches = [(i * 50, True) for i in range(400)] + [(6e6 + i, True) for i in range(50)]
+    updates, points = frames(spark, windows, searches)
+    for broadcast_rows in (100_000, 0):
+        pairs = impact.searches_during(updates, points, broadcast_rows=broadcast_rows)
+        # every second search is at the start of a short window, the long one holds the first 400
+        assert pairs.count() == 200 + 400
+        means = impact.window_means(updates, points, broadcast_rows=broadcast_rows).collect()
+        assert sorted(r.search_count for r in means) == [1] * 200 + [400]
