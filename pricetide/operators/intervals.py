@@ -84,8 +84,9 @@ def interval_join(
 ):
     """Points joined with the windows whose [window_start, window_end] holds them.
 
-    `how` is "inner" (a row per point and window) or "left_anti" (points in no window;
-    overlapping windows are merged first, so that a point meets few of them).
+    `how` is "inner" (a row per point and window), "left_anti" (points in no window) or
+    "left_semi" (points in any window, once each). For the last two overlapping windows are
+    merged first, so that a point meets few of them.
 
     Both sides meet on time buckets. For pairs, windows are classed by length and each
     class has buckets of its own width, so one long window does not widen the buckets of
@@ -99,7 +100,7 @@ def interval_join(
     ).where(F.col("_to") >= F.col("_from"))
     # So many buckets a window covers at most.
     few = is_small(windows, broadcast_rows // (LENGTH_STEP + 2))
-    if how == "left_anti":
+    if how != "inner":
         windows, window_id = _islands(windows.select("_from", "_to"), few), None
     else:
         window_id = windows.columns
@@ -123,7 +124,7 @@ def interval_join(
         "_bucket",
         F.explode(F.sequence(F.floor(F.col("_from") / width), F.floor(F.col("_to") / width))),
     )
-    if bucket_seconds is not None or how == "left_anti":
+    if bucket_seconds is not None or how != "inner":
         few = few and is_small(windows, broadcast_rows)
     points = points.withColumn("_bucket", F.floor(F.col("_at") / width))
     inside = (

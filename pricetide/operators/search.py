@@ -80,17 +80,16 @@ def hit_summary(df, condition, size=100, sample=3, price="price", key="isin", te
 def price_stats(df, price="price"):
     """Smallest, largest and average price; fixed stand-ins for an empty table.
 
-    The average is taken over whole cents, so that bounds derived from it do not depend
-    on the order in which tasks add up.
+    Prices that are no numbers are left out of all three.
     """
     # The statistics assumed when there are none.
     smallest, largest, average = 1.0, 5000.0, 250.0
     value = F.col(price).cast("double")
-    mean = F.avg(F.col(price).cast("decimal(18,2)")).cast("double")
+    value = F.when(~F.isnan(value), value)
     return df.agg(
         F.coalesce(F.min(value), F.lit(smallest)).alias("min_price"),
         F.coalesce(F.max(value), F.lit(largest)).alias("max_price"),
-        F.coalesce(mean, F.lit(average)).alias("avg_price"),
+        F.coalesce(F.avg(value), F.lit(average)).alias("avg_price"),
     )
 
 

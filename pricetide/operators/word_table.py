@@ -1,7 +1,9 @@
 """A table of the words of a text column, for searching the same texts again and again.
 
-One row per key and word. Written in the order of words it answers a search from the few
-row groups that hold the asked words; the texts are not read again.
+One row per key and word, and one per key for the empty word, which every text has. Written
+in the order of words it answers a search from the few row groups that hold the asked words;
+the rows of the empty word give the number of texts and their lengths. The texts are not
+read again.
 """
 
 from pyspark.sql import functions as F
@@ -10,10 +12,14 @@ from pricetide.functions.text import query_terms, tokens
 
 
 def build(df, text, key="isin"):
-    """Key, word, how often it occurs in the text, and the words of the text in all."""
+    """Key, word, how often it occurs in the text, and the words of the text in all.
+
+    A text without words has the row of the empty word only; without text there is no row.
+    """
     words = df.select(key, tokens(F.col(text)).alias("_words"))
+    every = F.array_append("_words", F.lit(""))
     return (
-        words.select(key, F.size("_words").alias("length"), F.explode("_words").alias("word"))
+        words.select(key, F.size("_words").alias("length"), F.explode(every).alias("word"))
         .groupBy(key, "word", "length")
         .agg(F.count("*").alias("times"))
     )
@@ -25,11 +31,19 @@ def write(words, path, key="isin"):
 
 
 def statistics(df, text):
-    """Texts in all and mean words per text: one row, kept beside the words."""
+    """Texts in all and mean words per text, from the texts themselves."""
     texts = df.where(F.col(text).isNotNull())
     return texts.agg(F.count("*").alias("docs"), F.avg(F.size(tokens(F.col(text)))).alias("avg_words"))
 
 
+def kept_statistics(words):
+    """The same from the word table: one row, read from the empty word's row groups."""
+    texts, length = F.sum("times"), F.sum(F.col("length") * F.col("times"))
+    return words.where(F.col("word") == "").agg(
+        F.coalesce(texts, F.lit(0)).alias("docs"), (length / texts).alias("avg_words")
+    )
+
+
 def keys_with_all(words, query, key="isin"):
     """Keys of the texts with every word of `query`."""
     terms = query_terms(query)

@@ -53,7 +53,9 @@ def search_catalogue(instruments, jitter_seed=None, price="price"):
                 F.lit(words).cast("string").alias("terms"),
             )
         )
-    rows = price_stats(instruments, price).select("min_price", "max_price", F.inline(F.array(*searches)))
+    # Rounded, so that bounds do not depend on the order in which tasks add up.
+    stats = price_stats(instruments, price).withColumn("avg_price", F.round("avg_price", 6))
+    rows = stats.select("min_price", "max_price", F.inline(F.array(*searches)))
     low, high = F.col("low"), F.col("high")
     if jitter_seed is not None:
 

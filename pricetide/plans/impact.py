@@ -52,6 +52,32 @@ def searches_outside(updates, searches, stamp="start", **options):
     )
 
 
+def impact_by_type(updates, searches, by="query_type", stamp="start", **options):
+    """Searches and their mean time during and outside updates per type, and the impact in percent.
+
+    A search counts once, however many passes run beside it; times that are no numbers do
+    not count for the means.
+    """
+    windows, points = update_windows(updates, stamp), successful(searches)
+
+    def side(how, during):
+        found = interval_join(windows, points, "timestamp", POINT_ID, how=how, **options)
+        return found.select(by, F.col("duration_ms").cast("double").alias("ms"), F.lit(during).alias("in"))
+
+    both = side("left_semi", True).unionByName(side("left_anti", False))
+    inside, ms = F.col("in"), F.when(~F.isnan("ms"), F.col("ms"))
+    return (
+        both.groupBy(by)
+        .agg(
+            F.count_if(inside).alias("during_count"),
+            F.avg(F.when(inside, ms)).alias("during"),
+            F.count_if(~inside).alias("outside_count"),
+            F.avg(F.when(~inside, ms)).alias("outside"),
+        )
+        .withColumn("impact_percent", impact_percent(F.col("during"), F.col("outside")))
+    )
+
+
 def window_stats(updates, searches, stamp="start", **options):
     """Search count and mean, median and longest duration of each window with searches."""
     pairs = searches_during(updates, searches, stamp, **options)

@@ -376,6 +376,7 @@ def oracle_sql():
             union all select 'after_dropping_incomplete', count(*) from cleaned""",
         "upsert_replace": f"select isin, name, long_name, round(price + 1e-9, 6) as price, updated_at, update_iteration from ({REPLACED})",
         "patch_prices": PATCHED,
+        "patch_prices_twice": PATCHED,
         "stream_patch_prices": PATCHED,
         "unmatched_changes": """select isin, round(price + 1e-9, 6) as price, updated_at, update_iteration, changes
             from latest where isin not in (select isin from target)""",
@@ -423,7 +424,8 @@ def oracle_sql():
         "log_checks": """select count(*) as rows,
             count_if(success_count + error_count < total_instruments) as partial_passes,
             count_if(success_count + error_count > total_instruments) as overcounted,
-            cast(0 as bigint) as odd_rates from updates""",
+            count_if(abs(updates_per_second - expected) > 0.01 + expected * 0.005 / nullif(duration_seconds, 0)) as odd_rates
+            from (select *, coalesce(success_count / nullif(duration_seconds, 0), 0) as expected from updates)""",
         "window_join": "select iteration, search_id, round(duration_ms + 1e-9, 6) as duration_ms from pairs",
         "window_stats": window_summary("pairs"),
         "window_stats_end_stamp": window_summary("end_pairs"),
@@ -446,6 +448,14 @@ def oracle_sql():
                 printf('%+.1f', (during - outside_mean) / outside_mean * 100) || '%']) as text
             from (select avg(avg_search_duration) as during,
                 (select avg(duration_ms) from outside) as outside_mean from per_window)""",
+        "impact_by_type": """select query_type, during_count, round(during + 1e-9, 6) as during, outside_count,
+            round(outside_mean + 1e-9, 6) as outside, round((during - outside_mean) / outside_mean * 100 + 1e-9, 6) as impact_percent
+            from (select query_type, count_if(inside) as during_count, count_if(not inside) as outside_count,
+                avg(case when inside then duration_ms end) as during, avg(case when not inside then duration_ms end) as outside_mean
+                from (select g.*, exists (select 1 from windows w
+                    where g."timestamp" between w.window_start and w.window_end) as inside from good g) group by query_type)""",
+        "search_over_time": """select date_trunc('hour', "timestamp") as window_start, query_type, count(*) as count,
+            round(avg(duration_ms) + 1e-9, 6) as mean, round(max(duration_ms) + 1e-9, 6) as max from good group by all""",
         "series_search": 'select "timestamp", round(duration_ms + 1e-9, 6) as duration_ms from good',
         "series_update": 'select "timestamp", round(updates_per_second + 1e-9, 6) as updates_per_second from updates',
         "overlay": """select "timestamp", 'search' as kind, round(duration_ms + 1e-9, 6) as duration_ms from good
@@ -465,6 +475,7 @@ def oracle_sql():
     sql = {name: with_views(text) for name, text in twins.items()}
     sql["word_table_all_terms"] = sql["text_all_terms"]
     sql["word_table_bm25_top3"] = sql["text_bm25_top3"]
+    sql["stream_search_over_time"] = sql["search_over_time"]
     sql["stream_search_totals"] = sql["search_totals"]
     sql["stream_update_totals"] = sql["update_totals"]
     sql["batch_combined_search"] = with_views(RANKED.format(key="doc_id"), **doc_match)

@@ -84,8 +84,10 @@ def word_table_all_terms(spark, folder):
 
 @query
 def word_table_bm25_top3(spark, folder):
-    stats = word_table.statistics(tables.docs(spark, folder), "text")
-    return plain(word_table.by_relevance(written_words(spark, folder), stats, "the hein", 3, "doc_id"))
+    """Words and statistics from the word table; the texts are split up once, to build it."""
+    words = written_words(spark, folder)
+    stats = word_table.kept_statistics(words)
+    return plain(word_table.by_relevance(words, stats, "the hein", 3, "doc_id"))
 
 
 @query
@@ -263,8 +265,8 @@ def missing_counts(spark, folder):
 
 @query
 def clean_load(spark, folder):
-    rows = tables.dirty_instruments(spark, folder)
-    return plain(cleaning.clean(rows, loaded_at="2024-01-01 00:00:00", price_type="double"))
+    rows = cleaning.clean(tables.dirty_instruments(spark, folder), loaded_at="2024-01-01 00:00:00")
+    return plain(rows.withColumn("price", F.col("price").cast("double")))
 
 
 @query
@@ -280,7 +282,8 @@ def csv_import(spark, folder):
     # The files keep the rows' order, so the first copy in file order is known.
     writers.export_csv(rows.orderBy("row_order").drop("row_order"), path)
     raw = readers.read_instruments_csv(spark, path)
-    return plain(cleaning.clean(raw, loaded_at="2024-01-01 00:00:00", price_type="double"))
+    rows = cleaning.clean(raw, loaded_at="2024-01-01 00:00:00")
+    return plain(rows.withColumn("price", F.col("price").cast("double")))
 
 
 @query
@@ -300,6 +303,14 @@ def patch_prices(spark, folder):
     )
 
 
+@query
+def patch_prices_twice(spark, folder):
+    """The same changes applied again, as after a retry: nothing more changes."""
+    changes = tables.price_changes(spark, folder)
+    once = merge.patch_rows(tables.merge_target(spark, folder), changes, order=tables.CHANGE_ORDER)
+    return plain(merge.patch_rows(once, changes, order=tables.CHANGE_ORDER))
+
+
 @query
 def unmatched_changes(spark, folder):
     return plain(
@@ -398,6 +409,8 @@ report(
 report("correlations", impact.correlations)
 report("update_impact", impact.update_impact)
 report("impact_lines", impact.impact_lines)
+report("impact_by_type", impact.impact_by_type)
+report("search_over_time", lambda u, s: search_report.over_time(s))
 report("series_search", lambda u, s: impact.search_series(s))
 report("series_update", lambda u, s: impact.update_series(u))
 report("overlay", lambda u, s: impact.overlay(u, s))
@@ -608,6 +621,14 @@ def stream_update_totals(spark, folder):
     return plain(log_stream.latest_summary(spark, f"{work}/out"))
 
 
+@query
+def stream_search_over_time(spark, folder):
+    work = shared_folder(spark, "over-time-stream")
+    searches = tables.search_metrics_of(read_stream(spark, folder, "events"))
+    log_stream.start_over_time(searches, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    return plain(log_stream.windows_so_far(spark, f"{work}/out"))
+
+
 # Synthetic tables
 
 

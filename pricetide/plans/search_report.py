@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from pricetide.operators.quantiles import exact_quantiles, value_counts
+from pricetide.operators.skew import split_hot_keys
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -81,10 +82,24 @@ def approximate_summary(df, by, value, accuracy=10_000):
     )
 
 
+def over_time(searches, width="1 hour", by="query_type", value="duration_ms"):
+    """Number, mean and greatest duration of successful searches per time window and type.
+
+    Windows follow each other without overlap. Works on streams too, whose watermark
+    bounds the windows kept as state.
+    """
+    number = F.col(value).cast("double")
+    number = F.when(~F.isnan(number), number)
+    windows = successful(searches).groupBy(F.window("timestamp", width).alias("window"), by).agg(
+        F.count("*").alias("count"), F.avg(number).alias("mean"), F.max(number).alias("max")
+    )
+    return windows.select(F.col("window.start").alias("window_start"), by, "count", "mean", "max")
+
+
 def box_stats(searches, group="query_type", value="duration_ms"):
     """Quartiles, whiskers within 1.5 quartile ranges and outlier counts per group."""
     counts = value_counts(successful(searches), [group], value)
-    marked = counts.join(fences(counts, [group]), group)
+    marked = _fenced(counts, group)
     inside = F.col("value").between(F.col("low_fence"), F.col("high_fence"))
     return marked.groupBy(group).agg(
         *[F.max(q).alias(q) for q in QUARTILES],
@@ -102,11 +117,16 @@ def fences(counts, by):
     )
 
 
+def _fenced(counts, group):
+    """Value counts beside the fences of their group; groups with many values are split."""
+    counts, limits = split_hot_keys(counts, fences(counts, [group]), [group], ["value"])
+    return counts.join(limits, [group, "_split"]).drop("_split")
+
+
 def box_outliers(searches, group="query_type", value="duration_ms"):
     """The values outside the whiskers, with how often each occurs."""
     counts = value_counts(successful(searches), [group], value)
-    marked = counts.join(fences(counts, [group]), group)
-    return marked.where(~F.col("value").between(F.col("low_fence"), F.col("high_fence"))).select(
+    return _fenced(counts, group).where(~F.col("value").between(F.col("low_fence"), F.col("high_fence"))).select(
         group, "value", "n"
     )
 

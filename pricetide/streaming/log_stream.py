@@ -6,7 +6,7 @@ Each trigger turns the counts into exact means and medians.
 
 from pyspark.sql import functions as F
 
-from pricetide.plans.search_report import summary_of_counts
+from pricetide.plans.search_report import over_time, summary_of_counts
 
 
 def _counted(logs, by, value):
@@ -57,6 +57,35 @@ def start_totals(totals, out, checkpoint, trigger=None):
     )
 
 
+def start_over_time(logs, out, checkpoint, width="1 hour", late="1 day", by="query_type", trigger=None):
+    """Keep the figures of `over_time` for each time window.
+
+    Each trigger writes the windows it changed to its own folder. Windows that ended more
+    than `late` before the newest search leave the state; searches later still do not count.
+    """
+
+    def write(windows, batch_id):
+        windows.write.mode("overwrite").parquet(f"{out}/windows/batch={batch_id}")
+
+    return (
+        over_time(logs.withWatermark("timestamp", late), width, by)
+        .writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def windows_so_far(spark, out, by="query_type"):
+    """The last figures written for each time window."""
+    written = spark.read.parquet(f"{out}/windows")
+    figures = F.struct("count", "mean", "max")
+    return written.groupBy("window_start", by).agg(F.max_by(figures, "batch").alias("last")).select(
+        "window_start", by, "last.*"
+    )
+
+
 def latest_summary(spark, out):
     """The summary of the last finished trigger."""
     all_summaries = spark.read.parquet(f"{out}/summary")

@@ -120,3 +120,34 @@ def test_points_beyond_the_windows_and_one_long_window(spark, rows):
         assert pairs.count() == 200 + 400
         means = impact.window_means(updates, points, broadcast_rows=broadcast_rows).collect()
         assert sorted(r.search_count for r in means) == [1] * 200 + [400]
+
+
+@pytest.mark.parametrize("rows_per_task, broadcast_rows", [(4_000_000, 100_000), (7, 0)])
+def test_points_inside_any_window_come_once(spark, rows_per_task, broadcast_rows):
+    rng = random.Random(5)
+    windows = [(rng.uniform(0, 900), rng.choice([0.0, 2.0, 40.0])) for _ in range(60)]
+    points = [(rng.uniform(0, 1000), True) for _ in range(400)]
+    updates, searches = frames(spark, windows, points)
+    options = {"rows_per_task": rows_per_task, "broadcast_rows": broadcast_rows}
+    found = {
+        how: [
+            r.search_id
+            for r in interval_join(
+                impact.update_windows(updates), searches, "timestamp", impact.POINT_ID, how=how, **options
+            ).collect()
+        ]
+        for how in ("inner", "left_semi", "left_anti")
+    }
+    assert sorted(found["left_semi"]) == sorted(set(found["inner"]))
+    assert sorted(found["left_semi"] + found["left_anti"]) == list(range(1, 401))
+
+
+def test_impact_by_type_leaves_out_what_is_no_number(spark, rows):
+    updates, searches = frames(spark, WINDOWS, [*POINTS, (2, True)])
+    kind = F.when(F.col("search_id") < 4, "a").otherwise("b")
+    searches = searches.withColumn("query_type", kind).withColumn(
+        "duration_ms", F.when(F.col("search_id") == 6, F.lit(float("nan"))).otherwise(F.col("duration_ms"))
+    )
+    assert rows(impact.impact_by_type(updates, searches)) == [
+        ("a", 3, 2.0, 0, None, None), ("b", 1, None, 1, 4.0, None)
+    ]

@@ -51,6 +51,12 @@ def test_hit_count_is_exact_and_capped(spark):
     assert row.sample_data[0].long_name == "x" * 50 + "..."
 
 
+def test_price_stats_leave_prices_whole(spark):
+    df = spark.createDataFrame([(0.004,), (0.002,), (float("nan"),), (None,)], "price double")
+    assert tuple(S.price_stats(df).first()) == (0.002, 0.004, 0.003)
+    assert S.price_stats(spark.createDataFrame([(1e16,)], "price double")).first().avg_price == 1e16
+
+
 def test_price_stats_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "price double")
     assert tuple(S.price_stats(empty).first()) == (1.0, 5000.0, 250.0)
@@ -138,6 +144,7 @@ def test_word_table(spark, tmp_path):
     plan = word_table.keys_with_all(words, "fund")._jdf.queryExecution().executedPlan().toString()
     assert "In(word, [fund])" in plan or "EqualTo(word,fund)" in plan
     stats = word_table.statistics(df, "long_name")
+    assert word_table.kept_statistics(words).first() == stats.first() == (4, 7 / 4)
     got = word_table.by_relevance(words, stats, "bond fund").collect()
     expected = S.by_relevance(df, "long_name", "bond fund").collect()
     assert [(r.isin, round(r.score, 12)) for r in got] == [(r.isin, round(r.score, 12)) for r in expected]
