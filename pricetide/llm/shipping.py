@@ -1,9 +1,12 @@
 """Functions over Arrow batches whose modules reach every executor."""
 
+import ctypes
 import os
 import tempfile
 import zipfile
 
+import pyarrow as pa
+
 import pricetide
 
 _shipped = set()
@@ -27,6 +30,24 @@ def ship(spark):
     _shipped.add(context.applicationId)
 
 
+def hand_back_memory():
+    """Give memory that is free again back to the system.
+
+    Worker processes outlive their tasks; what they keep for themselves would be missing
+    in the executor while it runs stages without Python.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(df, function, schema):
+    """`function` over the Arrow batches of each partition; workers hand back memory at a task's end."""
+
+    def run(batches):
+        yield from function(batches)
+        hand_back_memory()
+
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(run, schema)
