@@ -16,6 +16,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pricetide.llm.scratch import Scratch, send_if_small
+from pricetide.operators.skew import split_hot_keys
 
 GRAM_BYTES = 90
 RUN_BYTES = 2 * GRAM_BYTES
@@ -24,6 +25,8 @@ BROADCAST_ROWS = 500_000
 #: Lines that a match is extended over at most. Fingerprints of a run start at most `GRAM_BYTES` bytes apart, so what
 #: lies further off has a fingerprint of its own unless lines are of one or two letters.
 AHEAD = 45
+#: Stretches that meet the same first text in one task at most, about; more are split.
+SPLIT_ROWS = 5_000
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 #: Splits behind a line break and behind the space after a full stop, question or exclamation mark.
 LINE_ENDS = r"(?<=\n)|(?<=[.!?] )"
@@ -114,17 +117,20 @@ def later_runs(documents, scratch):
     def cut(hashes, low, high):
         return F.slice(hashes, low + 1, F.greatest(high - low + 1, F.lit(0)))
 
+    first = documents.select(F.col("id").alias("id_0"), F.col("text_hash").alias("text_hash_0"), F.col("lines.hash").alias("all"))
+    # a text that holds the first copy of what many repeat meets them in several tasks
+    stretch = ["id", "text_hash", "shift", "low"]
+    found, first = split_hot_keys(found, first, ["id_0", "text_hash_0"], stretch, rows_per_task=SPLIT_ROWS)
     own = found.join(documents, ["id", "text_hash"]).select(
         *found.columns,
         cut(F.col("lines.hash"), F.col("low"), F.col("high")).alias("hashes"),
         cut(F.col("lines.size"), F.col("low"), F.col("high")).alias("sizes"),
         cut(F.col("lines.pos"), F.col("low"), F.col("high")).alias("places"),
     )
-    first = documents.select(F.col("id").alias("id_0"), F.col("text_hash").alias("text_hash_0"), F.col("lines.hash").alias("all"))
-    both = own.join(first, ["id_0", "text_hash_0"]).withColumn(
+    both = own.join(first, ["id_0", "text_hash_0", "_split"]).withColumn(
         "source", cut(F.col("all"), F.col("low") - F.col("shift"), F.col("high") - F.col("shift"))
     )
-    key = ["id", "text_hash", "id_0", "text_hash_0", "shift", "low"]
+    key = ["id_0", "text_hash_0", "_split", *stretch]
     line = F.arrays_zip("hashes", "source", "sizes", "places")
     equal = both.select(*key, F.posexplode(line).alias("at", "line")).where("line.hashes = line.source")
     order = F.row_number().over(Window.partitionBy(*key).orderBy("at"))
