@@ -10,6 +10,10 @@ fingerprint wherever it occurs, and the same one each time. Fingerprints are joi
 first place of their hash, the match is extended both ways while lines agree, and of runs
 of `RUN_BYTES` bytes or more the later ones go. White space at the ends of lines is in no
 count.
+
+Shorter repeats go by whole newline lines (what stands between two line breaks, of whatever
+number of sentences): of those with `LINE_WORDS` words or `LINE_BYTES` bytes the first place
+of each stays, the later ones go.
 """
 
 from pyspark.sql import Window
@@ -20,6 +24,9 @@ from pricetide.operators.skew import split_hot_keys
 
 GRAM_BYTES = 90
 RUN_BYTES = 2 * GRAM_BYTES
+#: Newline lines that count alone have so many words or, as in scripts without spaces, so many bytes.
+LINE_WORDS = 4
+LINE_BYTES = 24
 #: Rows of hashes or of documents with runs that are sent to all executors at most; more are joined by shuffling.
 BROADCAST_ROWS = 500_000
 #: Lines that a match is extended over at most. Fingerprints of a run start at most `GRAM_BYTES` bytes apart, so what
@@ -28,6 +35,9 @@ AHEAD = 45
 #: Stretches that meet the same first text in one task at most, about; more are split.
 SPLIT_ROWS = 5_000
 WHITE_SPACE = " \t\n\x0b\x0c\r"
+ODD_SPACE = r"[\t\x0B\f\r]"
+NOT_BLANK = r"[^ \t\n\x0B\f\r]"
+WORDS = r"\S" + r"\S*\s+\S" * (LINE_WORDS - 1)
 #: Splits behind a line break and behind the space after a full stop, question or exclamation mark.
 LINE_ENDS = r"(?<=\n)|(?<=[.!?] )"
 _MARK = "\x1e"
@@ -45,13 +55,40 @@ def text_lines(text):
     return F.when(F.contains(text, F.lit(_MARK)), F.split(text, LINE_ENDS)).otherwise(F.split(marked, _MARK))
 
 
-def numbered_lines(text):
-    """pos, hash and size of the lines that are not blank, without white space at their ends."""
-    bare = F.transform(text_lines(text), lambda x: F.trim(x, F.lit(WHITE_SPACE)))
+def with_lines(documents):
+    """`documents` (id, text_hash, text) with their lines in place of the text.
+
+    lines: pos, hash and size of the lines that are not blank, without white space at their
+    ends. newline_lines: first, last and hash of the newline lines that count alone, by
+    place among the lines of `text_lines`.
+    """
+    text = F.col("text")
+
+    def bare(x):
+        """Without white space at the ends; the plain trim is much faster than that by a set of signs."""
+        return F.when(F.col("odd"), F.trim(x, F.lit(WHITE_SPACE))).otherwise(F.trim(F.replace(x, F.lit("\n"), F.lit(""))))
+
+    def counts(x):
+        return (F.octet_length(x["line"]) >= LINE_BYTES) | F.rlike(x["line"], F.lit(WORDS))
+
+    # each of these columns is read more than once and therefore made once, before the next
+    parts = documents.select("id", "text_hash", "text", text_lines(text).alias("parts"), F.rlike(text, F.lit(ODD_SPACE)).alias("odd"))
+    ends = F.filter(F.transform("parts", lambda x, i: F.when(F.endswith(x, F.lit("\n")), i)), lambda i: i.isNotNull())
+    parts = parts.withColumn("ends", ends)
     lines = F.transform(
-        bare, lambda x, i: F.struct(i.alias("pos"), F.xxhash64(x).alias("hash"), F.octet_length(x).alias("size"))
+        F.transform("parts", bare),
+        lambda x, i: F.struct(i.alias("pos"), F.xxhash64(x).alias("hash"), F.octet_length(x).alias("size")),
+    )
+    first = F.concat(F.array(F.lit(0)), F.transform("ends", lambda i: i + 1))
+    last = F.concat("ends", F.array(F.size("parts") - 1))
+    places = F.zip_with(first, last, lambda a, b: F.struct(a.alias("first"), b.alias("last")))
+    whole = F.zip_with(
+        F.transform(F.split(text, "\n"), bare), places, lambda x, at: F.struct(at["first"], at["last"], x.alias("line"))
+    )
+    alone = F.transform(F.filter(whole, counts), lambda x: F.struct(x["first"], x["last"], F.xxhash64(x["line"]).alias("hash")))
+    return parts.select(
+        "id", "text_hash", F.filter(lines, lambda x: x["size"] > 0).alias("lines"), alone.alias("newline_lines")
     )
-    return F.filter(lines, lambda x: x["size"] > 0)
 
 
 def fingerprints(lines):
@@ -105,8 +142,24 @@ def matches(documents, scratch):
     return found.select(*diagonal, low.alias("low"), (F.col("high") + AHEAD).alias("high"))
 
 
+def later_lines(documents, scratch):
+    """(id, text_hash, first, last): newline lines that have an earlier place."""
+    lines = documents.select("id", "text_hash", F.explode("newline_lines").alias("line"))
+    lines = lines.select("id", "text_hash", "line.first", "line.last", "line.hash")
+    place = F.struct("id", "text_hash", "first")
+    again = lines.groupBy("hash").agg(F.min(place).alias("place"), F.count("*").alias("rows")).where("rows > 1")
+    again = scratch.write(again.select("hash", "place"), "first-lines")
+    if again.count() <= BROADCAST_ROWS:
+        found = lines.join(F.broadcast(again), "hash")
+    else:
+        lines, again = split_hot_keys(lines, again, ["hash"], ["id", "text_hash", "first"])
+        found = lines.join(again, ["hash", "_split"])
+    return found.where(place != F.col("place")).select("id", "text_hash", "first", "last")
+
+
 def later_runs(documents, scratch):
     """(id, text_hash, runs): the stretches of line positions to delete in each document."""
+    alone = later_lines(documents, scratch)
     found = scratch.write(matches(documents, scratch), "matches")
     ids = found.select("id", "text_hash").unionByName(
         found.select(F.col("id_0").alias("id"), F.col("text_hash_0").alias("text_hash"))
@@ -141,7 +194,7 @@ def later_runs(documents, scratch):
         .agg(F.min("pos").alias("first"), F.max("pos").alias("last"), F.sum("size").alias("size"))
         .where(F.col("size") >= RUN_BYTES)
     )
-    runs = runs.select("id", "text_hash", "first", "last").distinct()
+    runs = runs.select("id", "text_hash", "first", "last").unionByName(alone).distinct()
     # overlapping stretches, found along several distances, become one
     order = Window.partitionBy("id", "text_hash").orderBy("first", "last")
     before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -161,18 +214,20 @@ def without_repeated_runs(docs, text="text", key="doc_id"):
     `deleted` (first and last position of each deleted stretch, counting the lines of
     `text_lines`, blank ones too, from 0). Texts come in the order of key and hash of the text; of a run
     that occurs again, in another text or further down in the same, the first one stays.
-    What is deleted always occurs at an earlier place, and a run of `RUN_BYTES` bytes or
-    more whose fingerprints first occur in one place goes as a whole.
+    What is deleted always occurs at an earlier place. A run of `RUN_BYTES` bytes or more
+    whose fingerprints first occur in one place goes as a whole, a newline line of
+    `LINE_WORDS` words or `LINE_BYTES` bytes wherever its first place is.
 
     A null text stays null; empty texts stay. Rows with the same key and text are one
     document and are cut alike. A null key comes last. No rows give no rows.
     """
     scratch = Scratch(docs.sparkSession)
     names = {"_id": F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)), "_hash": F.xxhash64(F.col(text))}
-    documents = docs.where(F.col(text).isNotNull()).select(
-        names["_id"].alias("id"), names["_hash"].alias("text_hash"), numbered_lines(F.col(text)).alias("lines")
+    # a condition on the lines would be pushed down and make them twice
+    documents = docs.where(F.rlike(F.col(text), F.lit(NOT_BLANK))).select(
+        names["_id"].alias("id"), names["_hash"].alias("text_hash"), F.col(text).cast("string").alias("text")
     )
-    documents = scratch.write(documents.where(F.size("lines") > 0), "lines")
+    documents = scratch.write(with_lines(documents), "lines")
     unique = documents.groupBy("id", "text_hash").agg(F.count("*").alias("rows")).where("rows > 1")
     if not unique.isEmpty():
         documents = scratch.write(documents.dropDuplicates(["id", "text_hash"]), "lines")

@@ -123,6 +123,25 @@ def test_repeated_runs_go_and_clean_texts_stay(spark, odd, none):
     assert without_repeated_runs(none).collect() == []
 
 
+def test_short_lines_that_repeat_go(spark):
+    licence = "This file is free software. See the licence that comes with it!"
+    own = [" ".join(words(9, 300 + s)) for s in range(6)]
+    texts = [
+        (1, f"{own[0]}. {own[1]}\n  {licence}\nthe end\n", 0),
+        (2, f"{licence}\n{own[2]}\nthe end\n\n{licence}", 0),
+        (3, f"{own[3]}. {licence}\nthe end", 0),
+        (4, f"{own[4]}\x1e\n{licence} \n{own[5]}\na b c d\n", 0),
+        (5, f"a b c d\n{licence[:-1]}", 0),
+        (6, "版权所有未经许可不得转载", 0),
+        (7, "一\n版权所有未经许可不得转载", 0),
+    ]
+    got = {r.doc_id: (r.text, r.lines_deleted) for r in without_repeated_runs(spark.createDataFrame(texts, COLUMNS)).collect()}
+    assert got[1] == (texts[0][1], 0) and got[3] == (texts[2][1], 0) and got[6] == (texts[5][1], 0)
+    assert got[2] == (f"{own[2]}\nthe end\n\n", 4)
+    assert got[4][0] == f"{own[4]}\x1e\n{own[5]}\na b c d\n"
+    assert got[5] == (licence[:-1], 1) and got[7] == ("一\n", 1)
+
+
 def test_contained_items_against_brute_force(spark, odd, none):
     items = [(i, " ".join(words(30, 50 + i))) for i in range(8)] + [(90, None), (91, ""), (None, "a b c d e f"), (92, "one two")]
     texts = list(ODD)
