@@ -19,16 +19,20 @@ from pricetide.llm.shipping import map_batches
 ROUNDS = 10
 ROWS_AT_ONCE = 500
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
-PATTERN = re.compile(
-    r"""(?P<email>(?<![\w.+-])[\w.+-]+(?=@[\w-]+(?:\.[\w-]+)+))
-    |(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?(?!\w))
-    |(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d))
-    |(?P<date>(?<![\w.])(?:\d{4}-\d{2}-\d{2}|\d{1,2}(?P<sep>[./-])\d{1,2}(?P=sep)\d{4})(?!\w))
-    |(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
-    |(?P<phone>(?<![\w.])(?:\+1[\ .-]?)?(?:\(\d{3}\)\ ?|\d{3}[.\ -])\d{3}[.\ -]\d{4}(?!\w))
-    |(?P<card>(?<![\w.])\d(?:[\ -]?\d){12,18}(?!\w))""",
-    re.X,
-)
+_SOURCES = {
+    "email": r"(?<![\w.+-])[\w.+-]+(?=@[\w-]+(?:\.[\w-]+)+)",
+    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
+    "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)",
+    "date": r"(?<![\w.])(?:\d{4}-\d{2}-\d{2}|\d{1,2}(?P<sep>[./-])\d{1,2}(?P=sep)\d{4})(?!(?!T\d)\w)",
+    "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
+    "phone": r"(?<![\w.])(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[. -])\d{3}[. -]\d{4}(?!\w)",
+    "card": r"(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w)",
+}
+PATTERN = re.compile("|".join(f"(?P<{kind}>{source})" for kind, source in _SOURCES.items()))
+PATTERNS = {kind: re.compile(source) for kind, source in _SOURCES.items()}
+_GROUP = re.compile(r"\w+")
+_DIGIT_GROUPS = re.compile(r"\d+(?:[ -]\d+)*(?!\w)")
+CARD_DIGITS = range(13, 20)
 _WORTH_A_LOOK = re.compile(r"\d|@")
 
 
@@ -85,6 +89,32 @@ def like(template, signs, kinds=str.isalnum):
     return "".join(next(signs) if kinds(c) else c for c in template)
 
 
+def card_spans(text, match, end):
+    """("card", start, stop) of what may be a card number among the groups of digits from a match on.
+
+    One group alone comes first, then groups of four digits or more but for the last, last
+    the match as it is. Groups begin among the match's own; a number begins and ends with one.
+    """
+    run = _DIGIT_GROUPS.match(text, match.start(), min(end, match.end() + 2 * CARD_DIGITS.stop))
+    groups = [g.span() for g in _GROUP.finditer(text, match.start(), max(match.end(), run.end() if run else 0))]
+    many = []
+    for i, (start, stop) in enumerate(groups):
+        if start >= match.end():
+            break
+        digits = 0
+        for a, b in groups[i:]:
+            digits += b - a
+            if digits in CARD_DIGITS:
+                if a == start:
+                    yield "card", start, stop
+                else:
+                    many.append((start, b))
+            if digits >= CARD_DIGITS.stop or b - a < 4:
+                break
+    yield from (("card", start, stop) for start, stop in sorted(many, key=lambda x: (x[0], -x[1])))
+    yield "card", match.start(), match.end()
+
+
 class Pseudonyms:
     """Finds values in texts and replaces them; `back` undoes it."""
 
@@ -187,18 +217,46 @@ class Pseudonyms:
         body = f"{self.move('card', 10 ** (len(digits) - 1), int(digits[:-1])):0{len(digits) - 1}d}"
         return like(text, body + luhn_digit(body), str.isdigit)
 
+    def values(self, text, at, end):
+        """(kind, start, stop, pseudonym) of the values between two places, in their order.
+
+        Where nothing that begins with a match is valid, the search goes on behind its first
+        group of signs, so a value beside other numbers or words is found too.
+        """
+        while match := PATTERN.search(text, at, end):
+            at = max(match.start() + 1, getattr(_GROUP.match(text, match.start(), match.end()), "end", int)())
+            first = match.lastgroup if match.lastgroup != "sep" else "date"
+            for value in self.spans(text, match, first, end):
+                kind, start, stop = value
+                made = getattr(self, kind)(text[start:stop]) if kind in self.kinds else None
+                if made is not None:
+                    yield from self.values(text, match.start(), start)
+                    yield kind, start, stop, made
+                    at = stop
+                    break
+
+    def spans(self, text, match, first, end):
+        """(kind, start, stop) of what may be a value at a match, the likeliest first."""
+        kinds = list(_SOURCES)
+        for kind in kinds[kinds.index(first) :]:
+            found = match if kind == first else PATTERNS[kind].match(text, match.start(), end)
+            if found and kind == "card":
+                yield from card_spans(text, found, end)
+            elif found:
+                yield kind, found.start(), found.end()
+                if kind == "iban":
+                    for group in reversed(list(_GROUP.finditer(text, found.start(), found.end()))[:-1]):
+                        yield kind, found.start(), group.end()
+
     def replace(self, text):
         """(text with pseudonyms, [(kind, first sign, value, pseudonym)])."""
         if not text or not _WORTH_A_LOOK.search(text):
             return text, []
         found, out, end = [], [], 0
-        for match in PATTERN.finditer(text):
-            kind = match.lastgroup if match.lastgroup != "sep" else "date"
-            made = getattr(self, kind)(match[0]) if kind in self.kinds else None
-            if made is not None:
-                out += [text[end : match.start()], made]
-                end = match.end()
-                found.append((kind, match.start(), match[0], made))
+        for kind, start, stop, made in self.values(text, 0, len(text)):
+            out += [text[end:start], made]
+            end = stop
+            found.append((kind, start, text[start:stop], made))
         return ("".join(out) + text[end:] if found else text), found
 
 
@@ -218,7 +276,8 @@ def pseudonymised(docs, secret, text="text", key="doc_id", undo=False):
     `values` names the kind, the place in the original text (in code points) and the
     pseudonym of each. Found are mail names, IBANs, IPv4 addresses, dates from 1900 to
     2099, social security, North American telephone and payment card numbers; what does
-    not validate stays as it is. With `undo` and the same secret the originals come back.
+    not validate stays as it is. With `undo` and the same secret the originals come back,
+    unless signs beside a pseudonym happen to make another valid number with it.
 
     A null text stays null, an empty one empty. Rows with a repeated or null id are treated
     like others; extra columns are not looked at. No rows give no rows.

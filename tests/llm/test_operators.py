@@ -241,6 +241,24 @@ def test_pseudonyms_keep_formats_and_links(spark, odd, none):
     assert pseudonymised(none, b"secret").collect() == []
 
 
+def test_values_beside_numbers_and_words_are_found():
+    names = Pseudonyms(b"secret")
+    for text, values in [
+        ("pay 4041894974608795 12 items", ["4041894974608795"]),
+        ("room 7 4041894974608795 due", ["4041894974608795"]),
+        ("12 4041 8949 7460 8795 7th", ["4041 8949 7460 8795"]),
+        ("1234 988-555-2485 4041894974608795 12", ["988-555-2485", "4041894974608795"]),
+        ("to BE68 5390 0754 7034 BANK", ["BE68 5390 0754 7034"]),
+        ("CD34 BE68 5390 0754 7034", ["BE68 5390 0754 7034"]),
+        ("at 2021-02-28T10:00", ["2021-02-28"]),
+        ("no 2021-02-28th, 1 2 3 4 5 6 7 8 9 10 11 12", []),
+    ]:
+        made, found = names.replace(text)
+        assert [v for _, _, v, _ in found] == values
+        assert all(text[s : s + len(v)] == v for _, s, v, _ in found)
+        assert Pseudonyms(b"secret", undo=True).replace(made)[0] == text
+
+
 def test_records_refer_to_their_sources(spark, tmp_path):
     page = '<html><head><title>A &amp; B</title><script>x="<p>"</script></head><body><p>One<br>two <a href="/x?a=1&amp;b=2">three</a></p><!-- no --></body>'
     assert page_text(page) == "A & B\nOne\ntwo three"
