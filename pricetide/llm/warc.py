@@ -35,7 +35,10 @@ HEADERS = {
     "Content-Type": "content_type",
 }
 VERSION = "WARC/1.1"
-_SKIPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_SKIPPED = re.compile(r"<!--|<(/?)(script|style|noscript|template|svg)\b", re.I)
+_TAG_END = re.compile(r"""(?:"[^"]*"|'[^']*'|[^>"'])*+>|[^>]*>""")
+_COMMENT_END = re.compile(r"--!?>")
+_RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in ("script", "style")}
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
 _LINK = re.compile(
     r"""<(a|area|link|img|script|iframe|source)\b[^>]*?\s(href|src)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", re.S | re.I
@@ -50,9 +53,52 @@ _BLANK = re.compile(r"[ \t\r\f\v]+")
 _LINES = re.compile(r" ?\n[ \n]*")
 
 
+def hidden_spans(page):
+    """(start, stop) of comments and of elements whose content is not shown.
+
+    A self-closed tag hides itself alone, as does what opens a comment, svg, noscript or
+    template that nothing closes. The content of script and style is no markup: without
+    an end it goes on to the page's end, also behind a tag that ends in a slash.
+    """
+    spans, opened, at, endless = [], {}, 0, False
+    while found := _SKIPPED.search(page, at):
+        start, at = found.span()
+        if found[2] is None:
+            end = None if endless else _COMMENT_END.search(page, start + 2)
+            endless = end is None
+            at = end.end() if end else at
+            spans.append((start, at))
+            continue
+        name, tag = found[2].lower(), _TAG_END.match(page, at)
+        at = tag.end() if tag else at
+        if name in _RAW_END:
+            if not found[1]:
+                end = _RAW_END[name].search(page, at)
+                at = end.end() if end else len(page)
+            spans.append((start, at))
+        elif found[1]:
+            spans.append((opened[name].pop() if opened.get(name) else start, at))
+        elif page[at - 2 : at] == "/>":
+            spans.append((start, at))
+        else:
+            spans.append((start, at))
+            opened.setdefault(name, []).append(start)
+    return spans
+
+
+def without_hidden(page):
+    """The page with a space for each hidden span."""
+    out, end = [], 0
+    for start, stop in sorted(hidden_spans(page)):
+        if start >= end:
+            out += [page[end:start], " "]
+        end = max(end, stop)
+    return "".join(out) + page[end:]
+
+
 def page_text(page):
     """The visible text of a page, a line for each block of it."""
-    page = _SKIPPED.sub(" ", page)
+    page = without_hidden(page)
     page = page.replace("\n", " ")
     page = _TAG.sub("", _BREAK.sub("\n", page))
     if "&" in page:

@@ -284,6 +284,24 @@ def test_records_refer_to_their_sources(spark, tmp_path):
     assert derivatives(source.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<p>a</p><svg class="i"/><p>rest of the page</p>', "a\nrest of the page"),
+        ('<p>a</p><svg t="x>y"/><p>b</p><svg><path/>no</svg><p>c</p>', "a\nb\nc"),
+        ("<p>a</p><svg><p>b</p>", "a\nb"),
+        ("<p>a</p><noscript><p>b</p><noscript>no</noscript>c", "a\nb\nc"),
+        ("<p>a</p><template><p>b</p>", "a\nb"),
+        ("<p>a</p><!-- b <p>c</p>", "a\nb\nc"),
+        ("a<!-->b<!--->c<!-- no --!>d", "a b c d"),
+        ("a<svg>no<svg>no</svg>no</svg>b<svg/>c", "a b c"),
+        ("a<script>'<svg><!--'</script>b<style>no", "a b"),
+    ],
+)
+def test_text_behind_unclosed_and_self_closed_tags_stays(page, text):
+    assert page_text(page) == text
+
+
 def test_label_model_finds_the_good_voters():
     pick = np.random.default_rng(1)
     truth = pick.random(4000) < 0.3
