@@ -29,9 +29,9 @@ LINE_WORDS = 4
 LINE_BYTES = 24
 #: Rows of hashes or of documents with runs that are sent to all executors at most; more are joined by shuffling.
 BROADCAST_ROWS = 500_000
-#: Lines that a match is extended over at most. Fingerprints of a run start at most `GRAM_BYTES` bytes apart, so what
-#: lies further off has a fingerprint of its own unless lines are of one or two letters.
-AHEAD = 45
+#: Lines that a match is extended over at most. Fingerprints of a run start at most `GRAM_BYTES` bytes apart and at most
+#: twice that from its ends, and a line has one byte at least, so what lies further off has a fingerprint of its own.
+AHEAD = 2 * GRAM_BYTES
 #: Stretches that meet the same first text in one task at most, about; more are split.
 SPLIT_ROWS = 5_000
 WHITE_SPACE = " \t\n\x0b\x0c\r"

@@ -142,6 +142,14 @@ def test_short_lines_that_repeat_go(spark):
     assert got[5] == (licence[:-1], 1) and got[7] == ("一\n", 1)
 
 
+def test_runs_of_tiny_lines_go_as_a_whole(spark):
+    pick = random.Random(8)
+    passage = "\n".join(pick.choice("abcdefgh") for _ in range(400))
+    texts = [(1, f"one\n{passage}\ntwo", 0), (2, f"three\n{passage}\nfour", 0)]
+    got = {r.doc_id: (r.text, r.lines_deleted) for r in without_repeated_runs(spark.createDataFrame(texts, COLUMNS)).collect()}
+    assert got == {1: (texts[0][1], 0), 2: ("three\nfour", 400)}
+
+
 def test_contained_items_against_brute_force(spark, odd, none):
     items = [(i, " ".join(words(30, 50 + i))) for i in range(8)] + [(90, None), (91, ""), (None, "a b c d e f"), (92, "one two")]
     texts = list(ODD)
