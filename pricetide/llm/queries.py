@@ -11,6 +11,7 @@ from pricetide.llm.line_dedup import without_repeated_runs
 from pricetide.llm.near_duplicates import near_duplicates
 from pricetide.llm.pseudonyms import pseudonymised
 from pricetide.llm.quality import quality_scores
+from pricetide.llm.sharding import sharded
 from pricetide.llm.toxicity import toxicity_scores
 from pricetide.llm.warc import derivatives, responses
 from pricetide.llm.wordpiece import piece_counts
@@ -137,3 +138,9 @@ def op9_near_duplicates(spark, folder):
 @query
 def op10_piece_counts(spark, folder):
     return piece_counts(table(spark, folder, "documents"), vocabulary_path())
+
+
+@query
+def op11_sharding(spark, folder):
+    """The shard and slot of every document, sixteen shards of near equal bytes."""
+    return sharded(table(spark, folder, "documents"))
