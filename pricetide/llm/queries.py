@@ -9,6 +9,7 @@ from pricetide.llm.decontamination import contained_items
 from pricetide.llm.exact_dedup import exact_duplicates
 from pricetide.llm.line_dedup import without_repeated_runs
 from pricetide.llm.near_duplicates import near_duplicates
+from pricetide.llm.periodic_runs import periodic_runs
 from pricetide.llm.pseudonyms import pseudonymised
 from pricetide.llm.quality import quality_scores
 from pricetide.llm.sharding import sharded
@@ -144,3 +145,30 @@ def op10_piece_counts(spark, folder):
 def op11_sharding(spark, folder):
     """The shard and slot of every document, sixteen shards of near equal bytes."""
     return sharded(table(spark, folder, "documents"))
+
+
+def with_periods(docs):
+    """`docs` as doc_id and text, a tenth of them periodic from some word on.
+
+    h is the CRC-32 of the id. Where h ends in 0 and there are n > 0 words, word a + i for
+    a = h / 10 % n becomes word a + i % p; p = 1 + (n - a) / (3 + h / 10 % 8), rounded down.
+    """
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(hashed / 10)
+
+    def periodic(words):
+        n = F.size(words).cast("long")
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.concat_ws(" ", F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int")))))
+
+    # in an array of one, as its lambda keeps the words from being split anew for each of them
+    split = F.array(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    changed = F.get(F.transform(split, lambda words: F.when(F.size(words) > 0, periodic(words)).otherwise("")), 0)
+    return docs.select("doc_id", F.when(hashed % 10 == 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op13_periodic_runs(spark, folder):
+    """The runs of every document, of which a tenth are made periodic first."""
+    return periodic_runs(with_periods(table(spark, folder, "documents")), digests=True)
