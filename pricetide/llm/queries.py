@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from pricetide.llm.alignment import aligned
 from pricetide.llm.bpe import encoded
 from pricetide.llm.decontamination import contained_items
 from pricetide.llm.exact_dedup import exact_duplicates
@@ -32,11 +33,11 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def vocabulary_path():
-    """Where the byte-level vocabulary of the installed public tokenizers is."""
+def vocabulary_path(name="byte_bpe_50k.json"):
+    """Where a vocabulary of the installed public tokenizers is, the byte-level one if none is named."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query
@@ -147,6 +148,13 @@ def op11_sharding(spark, folder):
     return sharded(table(spark, folder, "documents"))
 
 
+@query
+def op12_alignment(spark, folder):
+    """How the tokens of a byte-level vocabulary and of a piece model fit in every document."""
+    rows = aligned(table(spark, folder, "documents"), vocabulary_path(), vocabulary_path("piece_bpe_32k.model"), digests=True)
+    return rows.withColumnRenamed("groups", "groups_sha256")
+
+
 def with_periods(docs):
     """`docs` as doc_id and text, a tenth of them periodic from some word on.
 
