@@ -72,6 +72,12 @@ def search_label(search_type, query_type, low, high, terms):
     return F.concat_ws(": ", search_type, tail)
 
 
+def times_power(value, exponent):
+    """`value` times two to the `exponent`, in two steps, as the power may be out of range alone."""
+    half = F.floor(exponent / 2)
+    return value * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), exponent - half)
+
+
 def order_bins(value, per_unit):
     """Whole numbers that grow with `value`, about `per_unit` to each factor e.
 
@@ -80,6 +86,28 @@ def order_bins(value, per_unit):
     on bins adds no filter that would keep Spark from sharing a shuffle.
     """
     value = value.cast("double")
-    return F.coalesce(
-        F.floor(F.signum(value) * F.log1p(F.abs(value)) * per_unit), F.lit(0).cast("long")
+    bin = F.when(F.isnan(value), F.lit((1 << 63) - 1)).otherwise(
+        F.floor(F.signum(value) * F.log1p(F.abs(value)) * per_unit)
     )
+    return F.coalesce(bin, F.lit(0).cast("long"))
+
+
+def order_bits(value):
+    """The bits of a double as a whole number that keeps the order of the values.
+
+    Different values have different numbers; both zeros have 0, what is no number comes
+    last, NULL counts as 0. Shifted to the right the numbers are bins, each of which the
+    next bits split evenly in kind: so many bits, so many bins, whatever the values are.
+    """
+    value = value.cast("double")
+    size = F.abs(value)
+    # the exponent, at least that of the smallest normal number, put right where the logarithm is rounded
+    guess = F.greatest(F.floor(F.log2(size)), F.lit(-1022))
+    scaled = times_power(size, -guess)
+    over, under = scaled >= 2, (scaled < 1) & (guess > -1022)
+    exponent = guess + F.when(over, 1).when(under, -1).otherwise(0)
+    scaled = scaled * F.when(over, 0.5).when(under, 2.0).otherwise(1.0)
+    bits = (exponent + 1022) * F.lit(1 << 52) + (scaled * F.lit(2.0**52)).cast("long")
+    bits = F.when(size == float("inf"), F.lit(2047 << 52)).when(size == 0, F.lit(0).cast("long")).otherwise(bits)
+    signed = F.when(value < 0, -bits).otherwise(bits)
+    return F.coalesce(F.when(F.isnan(value), F.lit((1 << 63) - 1)).otherwise(signed), F.lit(0).cast("long"))

@@ -1,24 +1,26 @@
 """A whole table of searches answered in one job.
 
-Searches that share a condition share its work. Per text condition the matching rows
-are counted by price, the counts give every search its hit total and the prices its
-cheapest hits have, and a second scan fetches only rows at those prices. So neither
-step depends on searches times rows, and a wide range costs no more than a narrow one.
+A search of one word, or of a price range alone, is two look-ups in a price index: its
+total is the difference of two ranks, its cheapest hits are the ranks that follow the
+first. Searches of several words share the work of their condition: the rows with all its
+words are counted by price, the counts give every search its total and the prices its
+cheapest hits have, and only rows at those prices are fetched. Nothing is written but the
+index, and neither step depends on searches times rows.
 """
 
 from pyspark.sql import functions as F
 
 from pricetide.functions.measures import capped_hits
 from pricetide.functions.text import tokens
+from pricetide.operators.price_index import HIGHEST, LOWEST, postings, rows_of, slices, write_index
 from pricetide.operators.ranking import first_per_group, running_total
-from pricetide.operators.skew import BROADCAST_ROWS, broadcast_if_small, is_small, split_hot_keys
+from pricetide.operators.skew import BROADCAST_ROWS
 from pricetide.schemas import QUERY_TYPES
-from pricetide.workspace import stage
+from pricetide.workspace import shared_folder, stage
 
-# Most text conditions that are matched inside the scan; more are matched by a join.
+# Most distinct words that are picked out inside the scan; more are picked out by a join.
 INLINE_CONDITIONS = 500
 
-LOWEST, HIGHEST = -1.7976931348623157e308, 1.7976931348623157e308
 SEARCH = ["condition", "low", "high"]
 
 
@@ -63,80 +65,66 @@ def _asked(queries, text, check_types):
     return _searches(queries)
 
 
-def _matches_inline(rows, text, conditions):
-    """Few conditions: each row meets them as a broadcast, by their longest word."""
-    conditions = conditions.withColumn(
-        "anchor",
-        F.coalesce(
-            F.array_max(
-                F.transform("words", lambda w: F.struct(F.length(w).alias("size"), w.alias("word")))
-            )["word"],
-            F.lit(""),
-        ),
-    )
-    vocabulary = conditions.agg(
-        F.array_distinct(F.flatten(F.collect_set("words"))).alias("v")
-    ).scalar()
-    rows = rows.withColumn("_found", F.array_intersect(tokens(F.col(text)), vocabulary)).drop(text)
-    rows = rows.withColumn(
-        "anchor",
-        F.explode(F.array_append(F.coalesce("_found", F.array().cast("array<string>")), F.lit(""))),
+def _index_of(items, searches, key, price, text, inline_conditions):
+    """A price index of the words that the searches ask for, in the shared folder."""
+    asked = None if text is None else searches.select(F.explode("words").alias("word")).distinct()
+    listed = postings(items, key, price, text, asked, inline_conditions)
+    return write_index(listed, shared_folder(items.sparkSession, "price-index"), key)
+
+
+def _conditions(index, searches, few):
+    """The conditions of several words: their rarest word, the others, and the prices their searches span.
+
+    Conditions with a word that no row has are left out.
+    """
+    several = searches.where(F.size("words") > 1).groupBy("condition", "words").agg(
+        F.min("low").alias("low"), F.max("high").alias("high")
     )
-    met = rows.join(F.broadcast(conditions), "anchor")
-    return met.where((F.col("condition") == "") | (F.size(F.array_except("words", "_found")) == 0))
-
-
-def _matches_joined(rows, text, conditions, key, carry):
-    """Many conditions: rows meet each by its rarest word, then the other words are checked."""
-    words = conditions.where(F.size("words") > 0).select("condition", "words", F.explode("words").alias("word"))
-    row_words = rows.withColumn("word", F.explode(F.array_distinct(tokens(F.col(text))))).drop(text)
-    asked = broadcast_if_small(words.select("word").distinct())
-    # Read several times below; the texts are split up once.
-    row_words = stage(row_words.join(asked, "word", "left_semi"), "row-words")
-
-    frequency = row_words.groupBy("word").agg(F.count("*").alias("rows"))
-    rarest = F.min_by("word", F.coalesce("rows", F.lit(0))).alias("word")
-    anchors = (
-        words.join(frequency, "word", "left")
-        .groupBy("condition", "words")
-        .agg(rarest)
-        .select("condition", "word", F.array_remove("words", F.col("word")).alias("others"))
+    words = several.withColumn("word", F.explode("words"))
+    known = index.words.select("word", "rows").join(F.broadcast(words) if few else words, "word")
+    anchors = known.groupBy("condition", "words", "low", "high").agg(
+        F.min_by("word", F.struct("rows", "word")).alias("word"), F.count("*").alias("known")
     )
-    left, right = split_hot_keys(row_words, anchors, ["word"], [key], ["condition"])
-    candidates = left.join(right, ["word", "_split"]).select(key, "price", "condition", "others", *carry)
-    single = candidates.where(F.size("others") == 0).select(key, "price", "condition", *carry)
-    several = (
-        candidates.withColumn("needed", F.size("others"))
-        .withColumn("word", F.explode("others"))
-        .join(row_words.select(key, "word"), [key, "word"])
-        .groupBy(key, "price", "condition", "needed", *carry)
-        .agg(F.count("*").alias("found"))
-        .where("found = needed")
-        .select(key, "price", "condition", *carry)
+    return anchors.where(F.col("known") == F.size("words")).select(
+        *SEARCH, "word", F.array_remove("words", F.col("word")).alias("others")
     )
-    # A condition without words takes every row.
-    everything = conditions.where(F.size("words") == 0).select("condition").limit(1)
-    plain = rows.select(key, "price", F.explode(F.array(F.lit(""))).alias("condition"), *carry).join(
-        F.broadcast(everything), "condition", "left_semi"
+
+
+def _ranks(index, searches, size):
+    """Slices of the index, a row for each search of one list and for each condition of several words.
+
+    Also whether there are such conditions, and whether the searches and their hits are few.
+    """
+    counts = searches.agg(F.count("*").alias("n"), F.count_if(F.size("words") > 1).alias("several")).first()
+    few = counts.n * size <= BROADCAST_ROWS
+    asked = searches.where(F.size("words") < 2).select(
+        *SEARCH,
+        F.coalesce(F.get("words", F.lit(0)), F.lit("")).alias("word"),
+        F.lit(None).cast("array<string>").alias("others"),
     )
-    return single.unionByName(several).unionByName(plain)
+    if counts.several:
+        asked = asked.unionByName(_conditions(index, searches, few))
+    return stage(slices(index, asked, few), "ranks"), counts.several > 0, few
 
 
-def _matches(items, searches, key, price, text, carry, inline_conditions):
-    """Condition, price, key and carried columns of every row that meets a text condition."""
-    conditions = searches.select("condition", "words").distinct()
-    found_in = F.col(text).alias("_text") if text else F.lit(None).cast("string").alias("_text")
-    rows = items.select(key, F.col(price).cast("double").alias("price"), found_in, *carry)
-    rows = rows.where(F.col("price").isNotNull())
-    if text is None:
-        return rows.drop("_text").withColumn("condition", F.lit(""))
-    text = "_text"
-    matched = (
-        _matches_inline(rows, text, conditions)
-        if is_small(conditions, inline_conditions)
-        else _matches_joined(rows, text, conditions, key, carry)
+def _matches(index, ranked, few):
+    """Condition, price and key of every row with all words of a condition of several.
+
+    Rows come from the list of the condition's rarest word, cut to the prices that its
+    searches ask for; a look-up among the other words' rows says whether it has them.
+    """
+    conditions = ranked.where("others is not null")
+    rows = rows_of(index, conditions, ["condition", "others"])
+    others = conditions.select(F.explode("others").alias("word")).distinct()
+    held = index.postings.join(F.broadcast(others) if few else others, "word", "left_semi")
+    found = (
+        rows.withColumn("needed", F.size("others"))
+        .withColumn("word", F.explode("others"))
+        .join(held.select("word", "price", index.key), ["word", "price", index.key])
+        .groupBy("condition", "rank", "price", index.key, "needed")
+        .agg(F.size(F.collect_set("word")).alias("found"))
     )
-    return matched.select("condition", "price", key, *carry)
+    return found.where("found = needed").select("condition", "price", index.key)
 
 
 def _steps(matched, searches):
@@ -173,14 +161,14 @@ def _found(steps):
 
 def _totals(queries, asked, found, size):
     answered = asked.select("query_id", *SEARCH).join(found, SEARCH).select("query_id", "total_hits")
-    no_words = queries.select("query_id").join(asked.select("query_id"), "query_id", "left_anti")
-    total = F.col("total_hits")
-    return answered.unionByName(no_words.withColumn("total_hits", F.lit(0).cast("long"))).select(
+    # no hits: searches without words, and those of a word that no row has
+    total = F.coalesce("total_hits", F.lit(0).cast("long"))
+    return queries.select("query_id").join(answered, "query_id", "left").withColumn("total_hits", total).select(
         "query_id",
         "total_hits",
-        capped_hits(total).alias("total_hits_capped"),
-        (total > 10_000).alias("total_is_lower_bound"),
-        F.least(total, F.lit(size)).alias("returned_hits"),
+        capped_hits(F.col("total_hits")).alias("total_hits_capped"),
+        (F.col("total_hits") > 10_000).alias("total_is_lower_bound"),
+        F.least(F.col("total_hits"), F.lit(size)).alias("returned_hits"),
     )
 
 
@@ -193,17 +181,28 @@ def batch_totals(
     size=100,
     inline_conditions=INLINE_CONDITIONS,
     check_types=True,
+    index=None,
 ):
     """Hits of every query: total_hits, the same as a capped counter shows it
-    (total_hits_capped, total_is_lower_bound) and returned_hits. One scan of the items.
+    (total_hits_capped, total_is_lower_bound) and returned_hits.
 
-    An unknown query type fails the job; with `check_types=False` the caller has sorted
-    such queries out.
+    `index` is a `PriceIndex` of the items made before; without one the items are scanned
+    once and the words asked for are indexed. An unknown query type fails the job; with
+    `check_types=False` the caller has sorted such queries out.
     """
     asked = _asked(queries, text, check_types)
-    searches = asked.select("words", *SEARCH).distinct()
-    matched = _matches(items, searches, key, price, text, (), inline_conditions)
-    return _totals(queries, asked, _found(_steps(matched, searches)), size)
+    searches = stage(asked.select("words", *SEARCH).distinct(), "searches")
+    index = index or _index_of(items, searches, key, price, text, inline_conditions)
+    ranked, has_several, few = _ranks(index, searches, size)
+    found = _total_hits(ranked)
+    if has_several:
+        steps = _steps(_matches(index, ranked, few), searches.where(F.size("words") > 1))
+        found = found.unionByName(_found(steps).select(*SEARCH, "total_hits"))
+    return _totals(queries, asked, found, size)
+
+
+def _total_hits(ranked):
+    return ranked.where("others is null").select(*SEARCH, (F.col("behind") - F.col("first")).alias("total_hits"))
 
 
 def batch_search(
@@ -216,23 +215,45 @@ def batch_search(
     carry=(),
     inline_conditions=INLINE_CONDITIONS,
     check_types=True,
+    index=None,
 ):
     """Hit totals and cheapest hits of every query.
 
     Returns two frames: totals as `batch_totals` has them, and hits (query_id, rank, key,
-    price and the columns named in `carry`). Rows without a price are no hits. With
-    `text=None` all searches have to be price ranges. The running counts, and for texts the matches, are written to the
-    shared folder, so that texts are split up once.
+    price and the columns named in `carry`, which are looked up by key and price). Rows
+    without a price are no hits. With `text=None` all searches have to be price ranges.
+    `index` as for `batch_totals`; beside it only a row or two for each search are written.
     """
     asked = _asked(queries, text, check_types)
-    searches = asked.select("words", *SEARCH).distinct()
-    matched = _matches(items, searches, key, price, text, carry, inline_conditions)
-    if text is not None:
-        matched = stage(matched, "matches")
-    steps = stage(_steps(matched, searches), "steps")
-    found = _found(steps)
+    searches = stage(asked.select("words", *SEARCH).distinct(), "searches")
+    index = index or _index_of(items, searches, key, price, text, inline_conditions)
+    ranked, has_several, few = _ranks(index, searches, size)
+    found = _total_hits(ranked)
+    first = ranked.where("others is null").withColumn("behind", F.least("behind", F.col("first") + size))
+    hits = rows_of(index, first, SEARCH, few).withColumn("rank", (F.col("rank") - F.col("first") + 1).cast("int")).drop("first")
+    if has_several:
+        matched = _matches(index, ranked, few)
+        steps = _steps(matched, searches.where(F.size("words") > 1))
+        # a row for each search
+        counted = stage(_found(steps), "found")
+        found = found.unionByName(counted.select(*SEARCH, "total_hits"))
+        hits = hits.unionByName(_hits_of_several(counted, matched, steps, key, size, few))
     totals = _totals(queries, asked, found, size)
+    hits = asked.select("query_id", *SEARCH).join(hits, SEARCH).select("query_id", "rank", key, "price")
+    if carry:
+        # at most `size` rows for each search meet the items where they lie
+        wanted = hits.select(key, "price").distinct()
+        looked_up = items.withColumn("price", F.col(price).cast("double"))
+        looked_up = looked_up.join(F.broadcast(wanted) if few else wanted, [key, "price"], "left_semi")
+        kept = F.min(F.struct(*carry)).alias("_kept")
+        hits = hits.join(looked_up.groupBy(key, "price").agg(kept), [key, "price"]).select(
+            "query_id", "rank", key, "price", *[F.col(f"_kept.{c}") for c in carry]
+        )
+    return totals, hits
+
 
+def _hits_of_several(found, matched, steps, key, size, few):
+    """The first `size` matches of each search, found from the running counts."""
     # Prices that start within the first `size` places after a lower bound. A search's
     # places lie in at most two blocks of `size`.
     before = F.col("upto") - F.col("n")
@@ -252,18 +273,13 @@ def batch_search(
         .select(*SEARCH, "below", "last", "price", "before")
     )
     # A search needs at most `size` prices, so few searches need few of them.
-    few = is_small(searches, BROADCAST_ROWS // size)
     wanted = needed.select("condition", "price").distinct()
     rows = matched.join(F.broadcast(wanted) if few else wanted, ["condition", "price"], "left_semi")
     # No price needs more than its first `size` rows, however many it has.
     rows = first_per_group(rows, ["condition", "price"], [key], size, "place")
-    hits = (
+    return (
         needed.join(rows, ["condition", "price"])
         .withColumn("position", F.col("before") + F.col("place"))
         .where(F.col("position") <= F.col("last"))
-        .withColumn("rank", (F.col("position") - F.col("below")).cast("int"))
-    )
-    hits = asked.select("query_id", *SEARCH).join(hits, SEARCH).select(
-        "query_id", "rank", key, "price", *carry
+        .select(*SEARCH, "price", key, (F.col("position") - F.col("below")).cast("int").alias("rank"))
     )
-    return totals, hits

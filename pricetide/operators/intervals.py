@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from pricetide.functions.measures import times_power
 from pricetide.functions.times import add_seconds, micros
 from pricetide.operators.ranking import running_totals
 from pricetide.operators.skew import BROADCAST_ROWS, ROWS_PER_TASK, is_small, split_hot_keys
@@ -147,12 +148,6 @@ def interval_join(
     return p.join(w, inside, how).select(*columns)
 
 
-def _times_power(value, exponent):
-    """`value` times two to the `exponent`, in two steps, as the power may be out of range alone."""
-    half = F.floor(exponent / 2)
-    return value * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), exponent - half)
-
-
 def _exact(value):
     """A double as (band, units): a whole number of units of 2^(BAND_BITS * band - SPARE_BITS).
 
@@ -164,7 +159,7 @@ def _exact(value):
     band = F.when(infinite, F.when(value > 0, INFINITE).otherwise(-INFINITE)).otherwise(
         F.when(value != 0, exponent).otherwise(none)
     )
-    scaled = _times_power(F.when(~infinite, value), SPARE_BITS - BAND_BITS * band)
+    scaled = times_power(F.when(~infinite, value), SPARE_BITS - BAND_BITS * band)
     # both halves fit a long, and neither is rounded
     high = F.floor(scaled / 2.0**BAND_BITS)
     low = (scaled - high * F.lit(2.0**BAND_BITS)).cast("long")
@@ -175,7 +170,7 @@ def _exact(value):
 def _double(band, units):
     """The sum that `units` of a band stand for."""
     endless = F.when(units > 0, F.when(band > 0, float("inf")).otherwise(float("-inf"))).otherwise(0.0)
-    finite = _times_power(units.cast("double"), BAND_BITS * band - SPARE_BITS)
+    finite = times_power(units.cast("double"), BAND_BITS * band - SPARE_BITS)
     return F.when(F.abs(band) == INFINITE, endless).otherwise(finite)
 
 

@@ -3,10 +3,11 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pricetide.functions.measures import order_bins
+from pricetide.functions.measures import order_bits
 
-# Bins per factor e of the search passes, coarse to fine, before the last pass on values.
-PASSES = (4096, 4096 * 4096)
+# Bits a pass leaves unread, most first: sign, exponent and ten bits of the mantissa, then
+# 21 more; the last pass is on the values, which differ in 21 bits at most by then.
+PASSES = (42, 21)
 
 
 def value_counts(df, by, value, attributes=()):
@@ -27,14 +28,14 @@ def value_counts(df, by, value, attributes=()):
     )
 
 
-def exact_quantiles(counts, by, quantiles, passes=PASSES[:1]):
+def exact_quantiles(counts, by, quantiles, passes=PASSES):
     """Quantiles with linear interpolation, one row per group.
 
     `counts` comes from `value_counts`, `quantiles` maps output names to
-    probabilities. Counting by bin finds the bin that holds a wanted rank; only its
-    values go on to the next pass. A task therefore sees bins or the few values of
-    one bin, never a whole group. One pass suits measures kept to two decimals;
-    `PASSES` narrows once more for values of full precision.
+    probabilities. The ranks are found by radix selection: counting by the first bits of
+    the values finds the bin that holds a wanted rank, and only its values go on to the
+    next pass, which reads more bits. So a task sees at most 2 ** 22 bins of a group,
+    however close together or far apart its values lie, and never the group itself.
     """
     last = F.col("rows") - 1
     wanted = F.array_distinct(
@@ -49,7 +50,7 @@ def exact_quantiles(counts, by, quantiles, passes=PASSES[:1]):
     upto = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
 
     # First pass: counts per bin and group hold all wanted ranks at once.
-    binned = counts.withColumn("bin", order_bins(F.col("value"), passes[0]))
+    binned = counts.withColumn("bin", F.shiftright(order_bits(F.col("value")), passes[0]))
     targets = (
         binned.groupBy(*by, "bin")
         .agg(F.sum("n").alias("n"))
@@ -62,7 +63,7 @@ def exact_quantiles(counts, by, quantiles, passes=PASSES[:1]):
 
     # Further passes: only the bins that hold a rank, then the values themselves.
     for step in [*passes[1:], None]:
-        finer = F.col("value") if step is None else order_bins(F.col("value"), step)
+        finer = F.col("value") if step is None else F.shiftright(order_bits(F.col("value")), step)
         ranked = [*by, "rank"]
         upto = Window.partitionBy(*ranked).orderBy("finer").rowsBetween(Window.unboundedPreceding, 0)
         targets = (

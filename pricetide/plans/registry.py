@@ -6,7 +6,7 @@ from pricetide.functions.measures import milliseconds, range_width, rate, search
 from pricetide.functions.text import preview
 from pricetide.functions.times import second_grid
 from pricetide.operators import batch_search as batch
-from pricetide.operators import cleaning, merge, ranking, search, word_table
+from pricetide.operators import cleaning, merge, price_index, ranking, search, word_table
 from pricetide.operators.intervals import interval_join
 from pricetide.plans import catalogue, impact, search_report, update_report
 from pricetide.plans import driver_tables as tables
@@ -35,6 +35,22 @@ def plain(df):
     return df.withColumns(columns) if columns else df
 
 
+_kept = {}
+
+
+def kept(spark, folder, name, write):
+    """Path of a table made from the given ones that several queries search.
+
+    The first of them in an application has it written, the others read it.
+    """
+    about = spark.sparkContext.applicationId, str(folder), name
+    if about not in _kept:
+        path = shared_folder(spark, name)
+        write(path)
+        _kept[about] = path
+    return _kept[about]
+
+
 # Searches
 
 
@@ -69,9 +85,10 @@ def text_bm25_top3(spark, folder):
 
 
 def written_words(spark, folder):
-    path = shared_folder(spark, "words")
-    word_table.write(word_table.build(tables.docs(spark, folder), "text", "doc_id"), path, "doc_id")
-    return spark.read.parquet(path)
+    def write(path):
+        word_table.write(word_table.build(tables.docs(spark, folder), "text", "doc_id"), path, "doc_id")
+
+    return spark.read.parquet(kept(spark, folder, "words", write))
 
 
 @query
@@ -178,36 +195,62 @@ def search_catalogue(spark, folder):
     return catalogue.search_catalogue(tables.instruments(spark, folder))
 
 
+def docs_index_path(spark, folder):
+    """The price index of the documents by words and length."""
+
+    def write(path):
+        listed = price_index.postings(tables.docs(spark, folder), "doc_id", "n_chars", "text")
+        price_index.write_index(listed, path, "doc_id")
+
+    return kept(spark, folder, "docs-index", write)
+
+
+def searched_docs(spark, folder):
+    """Documents and their index, as batch searches take them."""
+    index = price_index.read_index(spark, docs_index_path(spark, folder), "doc_id")
+    return dict(items=tables.docs(spark, folder), key="doc_id", price="n_chars", text="text", index=index)
+
+
+def searched_instruments(spark, folder):
+    def write(path):
+        listed = price_index.postings(tables.instruments(spark, folder), "isin", "price", "long_name")
+        price_index.write_index(listed, path)
+
+    index = price_index.read_index(spark, kept(spark, folder, "instruments-index", write))
+    return dict(items=tables.instruments(spark, folder), index=index)
+
+
 @query
 def batch_range_search(spark, folder):
     requests = tables.requests(spark, folder, ("price_range",), 890, 7, 120)
-    _, hits = batch.batch_search(tables.instruments(spark, folder), requests, text=None)
+    _, hits = batch.batch_search(queries=requests, text=None, **searched_instruments(spark, folder))
     return plain(hits)
 
 
 @query
 def batch_text_search(spark, folder):
     requests = tables.requests(spark, folder, ("text_search",))
-    _, hits = batch.batch_search(tables.docs(spark, folder), requests, "doc_id", "n_chars", "text")
+    _, hits = batch.batch_search(queries=requests, **searched_docs(spark, folder))
     return plain(hits)
 
 
 @query
 def batch_combined_search(spark, folder):
     requests = tables.requests(spark, folder)
-    _, hits = batch.batch_search(tables.docs(spark, folder), requests, "doc_id", "n_chars", "text")
+    _, hits = batch.batch_search(queries=requests, **searched_docs(spark, folder))
     return plain(hits)
 
 
 @query
 def batch_search_totals(spark, folder):
     requests = tables.requests(spark, folder)
-    totals = batch.batch_totals(tables.docs(spark, folder), requests, "doc_id", "n_chars", "text")
+    totals = batch.batch_totals(queries=requests, **searched_docs(spark, folder))
     return totals.withColumn("returned_hits", F.col("returned_hits").cast("long"))
 
 
 @query
 def catalogue_totals(spark, folder):
+    """Without an index made before: the words of the catalogue are indexed for it."""
     instruments = tables.instruments(spark, folder)
     totals = batch.batch_totals(instruments, catalogue.search_catalogue(instruments))
     return totals.select("query_id", "total_hits")
@@ -551,18 +594,19 @@ def stream_update_log(spark, folder):
 @query
 def stream_search_log(spark, folder):
     work = shared_folder(spark, "search-stream")
-    tables.docs(spark, folder).write.parquet(f"{work}/docs")
+    docs = f"{folder}/documents.parquet"
     tables.requests(spark, folder).write.parquet(f"{work}/requests")
     schema = tables.requests(spark, folder).schema
     requests = spark.readStream.schema(schema).parquet(f"{work}/requests")
     search_stream.start(
         requests,
-        f"{work}/docs",
+        docs,
         f"{work}/out",
         f"{work}/checkpoint",
         key="doc_id",
         price="n_chars",
         text="text",
+        index_path=docs_index_path(spark, folder),
     ).awaitTermination()
     log = search_stream.search_log(spark, f"{work}/out")
     return plain(

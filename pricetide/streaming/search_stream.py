@@ -1,4 +1,8 @@
-"""A stream of search requests answered from a snapshot, one log row each."""
+"""A stream of search requests answered from a snapshot, one log row each.
+
+The snapshot's price index is made once, before the stream starts; a micro-batch looks its
+searches up and reads the texts of its hits alone.
+"""
 
 import time
 
@@ -6,17 +10,18 @@ from pyspark.sql import functions as F
 
 from pricetide.functions.text import preview
 from pricetide.operators.batch_search import batch_search, valid_type
+from pricetide.operators.price_index import postings, read_index, write_index
 from pricetide.sources.writers import search_log_rows
 
 SAMPLE_SIZE = 3
 
 
-def answer(items, queries, key="isin", price="price", text="long_name", size=100):
+def answer(items, queries, key="isin", price="price", text="long_name", size=100, index=None):
     """Searches with their hit counts and first hits; a wrong query type is a failed search."""
     good = valid_type(F.coalesce("query_type", F.lit("")))
     items = items.withColumn("preview", preview(F.col(text)))
     totals, hits = batch_search(
-        items, queries.where(good), key, price, text, size, carry=["preview"], check_types=False
+        items, queries.where(good), key, price, text, size, carry=["preview"], check_types=False, index=index
     )
     samples = hits.where(F.col("rank") <= SAMPLE_SIZE).groupBy("query_id").agg(
         F.transform(
@@ -62,21 +67,34 @@ def log_rows(answers, seconds):
     )
 
 
-def answer_batch(batch, batch_id, items_path, out, **table):
+def answer_batch(batch, batch_id, items_path, out, index_path=None, **table):
     """Answer one micro-batch and write its log rows. Its searches share the time taken."""
     spark = batch.sparkSession
     started = time.monotonic()
     answers = f"{out}/answers"
-    answer(spark.read.parquet(items_path), batch, **table).write.mode("overwrite").parquet(answers)
+    index = read_index(spark, index_path, table.get("key", "isin")) if index_path else None
+    answer(spark.read.parquet(items_path), batch, index=index, **table).write.mode("overwrite").parquet(answers)
     done = spark.read.parquet(answers)
     each = (time.monotonic() - started) / max(done.count(), 1)
     log_rows(done, each).write.mode("overwrite").parquet(f"{out}/log/batch={batch_id}")
 
 
-def start(queries, items_path, out, checkpoint, trigger=None, **table):
+def index_items(spark, items_path, path, key="isin", price="price", text="long_name"):
+    """Write the price index of a snapshot, unless it is there; returns its path."""
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/heads/_SUCCESS")
+    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        # what a run that was cut short has left is written over
+        write_index(postings(spark.read.parquet(items_path), key, price, text), path, key, mode="overwrite")
+    return path
+
+
+def start(queries, items_path, out, checkpoint, trigger=None, index_path=None, **table):
+    """Run the stream. Without the path of a price index one is made in `out`, once."""
+    columns = {c: table[c] for c in ("key", "price", "text") if c in table}
+    index_path = index_path or index_items(queries.sparkSession, items_path, f"{out}/index", **columns)
     return (
         queries.writeStream.foreachBatch(
-            lambda batch, batch_id: answer_batch(batch, batch_id, items_path, out, **table)
+            lambda batch, batch_id: answer_batch(batch, batch_id, items_path, out, index_path, **table)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))

@@ -1,10 +1,12 @@
+import math
 import random
+import struct
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pricetide.functions.measures import correlation, correlation_label, rate
+from pricetide.functions.measures import correlation, correlation_label, order_bits, rate
 from pricetide.operators.quantiles import PASSES, exact_quantiles, value_counts
 from pricetide.operators.ranking import batch_numbers, number_rows, running_total
 from pricetide.plans import driver_tables as tables
@@ -162,3 +164,34 @@ def test_search_log_with_a_line_break(spark, tmp_path):
     (tmp_path / "log.csv").write_text(text)
     got = read_search_log(spark, str(tmp_path / "log.csv")).collect()
     assert [(r.search_id, r.duration_ms, r.error) for r in got] == [(1, None, "lost,\nthen found")]
+
+
+def test_quantiles_of_values_close_to_zero_and_far_from_it(spark):
+    """A million values under 1e-9 share no bin of many values, whatever else there is."""
+    small = spark.range(1_000_000, numPartitions=8).select(F.lit("g").alias("g"), ((F.col("id") + 1) * 1e-15).alias("v"))
+    far = spark.range(100).select(F.lit("g").alias("g"), (F.col("id") + 1) * F.lit(1e300))
+    counts = value_counts(small.union(far.toDF("g", "v")), ["g"], "v")
+    wanted = {"low": 0.001, "median": 0.5, "high": 0.9999, "last": 1.0}
+    got = exact_quantiles(counts, ["g"], wanted).first()
+    values = np.concatenate([np.arange(1, 1_000_001) * 1e-15, np.arange(1, 101) * 1e300])
+    for name, p in wanted.items():
+        assert got[name] == pytest.approx(np.quantile(values, p), rel=1e-12)
+    # what a task of each pass may hold: the bins of the pass before
+    bits = order_bits(F.col("value"))
+    fullest = [counts.groupBy(F.shiftright(bits, s)).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] for s in PASSES]
+    assert fullest[0] < 5_000 and fullest[1] == 1
+
+
+def test_order_bits_are_those_of_the_double(spark):
+    rng = random.Random(12)
+    values = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, math.inf, -math.inf]
+    values += [math.ldexp(1, e) for e in range(-1074, 1024)]
+    values += [math.nextafter(math.ldexp(1, e), s) for e in range(-1070, 1024) for s in (0, math.inf)]
+    values += [struct.unpack("<d", rng.getrandbits(64).to_bytes(8, "little"))[0] for _ in range(2000)]
+    values = [v for v in values if v == v]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", order_bits(F.col("v")).alias("b")).collect()
+    for v, b in rows:
+        bits = int.from_bytes(struct.pack("<d", abs(v)), "little")
+        assert b == (-bits if v < 0 else bits)
+    odd = spark.sql("select double('NaN') as v union all select null").select(order_bits(F.col("v")).alias("b"))
+    assert sorted(r.b for r in odd.collect()) == [0, (1 << 63) - 1]

@@ -1,4 +1,5 @@
 import math
+import os
 import random
 
 import pytest
@@ -8,11 +9,12 @@ from pyspark.sql import functions as F
 from pricetide.functions.measures import clamp_range, search_label
 from pricetide.functions.text import query_terms
 from pricetide.operators import search as S
-from pricetide.operators import word_table
+from pricetide.operators import price_index, word_table
 from pricetide.operators.batch_search import batch_search, batch_totals
 from pricetide.plans import driver_tables as tables
 from pricetide.plans.catalogue import search_catalogue
 from pricetide.sources.writers import create_table
+from pricetide.workspace import shared_folder
 
 QUERY = "query_id long, search_type string, query_type string, min_price double, max_price double, terms string"
 ITEM = "isin string, long_name string, price double"
@@ -223,6 +225,72 @@ def test_batch_search_equals_brute_force(spark, inline, size):
     assert {(r.query_id, r["rank"]): (r.isin, r.price) for r in hits.collect()} == expected_hits
 
 
+def test_slices_equal_counting(spark, tmp_path):
+    rng = random.Random(8)
+    odd = [float("-inf"), -1.5, 0.0, 2.0, 2.0, 7.25, 1e300, float("inf"), float("nan")]
+    # a list of several blocks, hot prices, a word that few rows have
+    items = [(f"K{i:05}", "fund " * (i % 2) + "rare" * (i % 400 == 3), odd[i % 9] if i % 3 else rng.uniform(0, 9)) for i in range(6000)]
+    df = spark.createDataFrame(items, ITEM).repartition(4)
+    index = price_index.write_index(price_index.postings(df, "isin", "price", "long_name"), str(tmp_path / "index"))
+    assert index.postings.agg(F.max("rank")).first()[0] + 1 == index.postings.count() == index.postings.select("rank").distinct().count()
+    searches = [(w, rng.choice(odd), rng.choice(odd)) for w in ("", "fund", "rare", "none") for _ in range(25)]
+    searches += [("fund", price_index.LOWEST, price_index.HIGHEST), ("", 3.3, 3.4), ("rare", 1.0, 8.0)]
+    got = price_index.slices(index, spark.createDataFrame(searches, "word string, low double, high double"))
+
+    def place(price):
+        return (1, 0.0) if price != price else (0, price)
+
+    def expected(word, low, high):
+        prices = [p for _, text, p in items if not word or word in text.split()]
+        return sum(place(low) <= place(p) <= place(high) for p in prices)
+
+    rows = got.collect()
+    assert {(r.word, repr(r.low), repr(r.high)): r.behind - r["first"] for r in rows} == {
+        (w, repr(a), repr(b)): expected(w, a, b) for w, a, b in searches if w != "none"
+    }
+    listed = price_index.rows_of(index, got.where("word = 'rare'"), ["word"]).select("isin").distinct()
+    assert listed.count() == sum("rare" in t for _, t, p in items)
+
+
+def written_bytes(spark, run):
+    """What `run` leaves in the folder of intermediate tables."""
+
+    def total():
+        top = os.path.dirname(shared_folder(spark, "any"))
+        return sum(os.path.getsize(os.path.join(where, n)) for where, _, names in os.walk(top) for n in names)
+
+    before = total()
+    run()
+    return total() - before
+
+
+def test_many_conditions_write_no_matches(spark, tmp_path):
+    rng = random.Random(10)
+    words = [f"word{k}" for k in range(200)]
+    pairs = [" ".join(words[i] for i in sorted(rng.sample(range(200), 2))) for _ in range(16_000)]
+    queries = [(q, "s", "combined", 0.0, 1e9, t) for q, t in enumerate(dict.fromkeys(pairs))][:10_000]
+    assert len({q[-1] for q in queries}) == len(queries) == 10_000
+    queries = spark.createDataFrame(queries, QUERY)
+    left = {}
+    for n in (100, 1000):
+        items = [(f"K{i:04}", " ".join(rng.sample(words, 40)), float(i % 77)) for i in range(n)]
+        df = spark.createDataFrame(items, ITEM)
+        listed = price_index.postings(df, "isin", "price", "long_name")
+        index = price_index.write_index(listed, str(tmp_path / f"index{n}"))
+
+        def run():
+            totals, hits = batch_search(df, queries, size=5, index=index)
+            sums = totals.agg(F.sum("total_hits"), F.sum("returned_hits")).first()
+            pairs_held = sum(len(set(t.split())) * (len(set(t.split())) - 1) // 2 for _, t, _ in items)
+            # about that share of all pairs is asked for
+            assert sums[0] == pytest.approx(pairs_held * queries.count() / (200 * 199 / 2), rel=0.05)
+            assert hits.count() == sums[1]
+
+        left[n] = written_bytes(spark, run)
+    # ten times the rows, which make ten times the matches
+    assert left[1000] < 1.3 * left[100]
+
+
 def test_batch_search_refuses_unknown_types(spark):
     items = spark.createDataFrame([("A", "fund", 1.0)], ITEM)
     queries = spark.createDataFrame([(1, "s", "fuzzy", None, None, "x")], QUERY)
