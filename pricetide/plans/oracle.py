@@ -378,6 +378,8 @@ def oracle_sql():
         "patch_prices": PATCHED,
         "patch_prices_twice": PATCHED,
         "stream_patch_prices": PATCHED,
+        "stream_replay": PATCHED,
+        "stream_stop_and_go": PATCHED,
         "unmatched_changes": """select isin, round(price + 1e-9, 6) as price, updated_at, update_iteration, changes
             from latest where isin not in (select isin from target)""",
         "merge_tally": """select count(*) as total, count(t.isin) as success_count,
@@ -386,6 +388,8 @@ def oracle_sql():
         "stream_update_log": """select count(*) as total, count(t.isin) as success_count,
             count(*) - count(t.isin) as error_count, cast(0 as bigint) as odd_rates
             from changes c left join target t on c.isin = t.isin""",
+        "stream_replay_log": """select count(*) as total, count(t.isin) as success_count, count(*) - count(t.isin) as error_count
+            from changes c left join target t on c.isin = t.isin""",
         "batch_numbers": """select isin, rn as row_number, (rn - 1) // 1000 + 1 as batch,
             (rn - 1) // 1000 * 1000 + 1 as batch_start
             from (select isin, row_number() over (order by isin) as rn from instruments)""",

@@ -1,5 +1,6 @@
 """Every query by name, over the given tables."""
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from pricetide.functions.measures import milliseconds, range_width, rate, search_label
@@ -560,28 +561,29 @@ def read_stream(spark, folder, table):
     return spark.readStream.schema(schema).parquet(f"{folder}/{table}.parque[t]")
 
 
-def run_price_stream(spark, folder):
+def price_stream_of(spark, folder, files=None):
+    """A folder with the base, and what starts a stream of price changes on it, from so many files if told."""
     work = shared_folder(spark, "price-stream")
     tables.merge_target(spark, folder).write.parquet(f"{work}/base")
-    line_items = read_stream(spark, folder, "lineitem")
-    changes = tables.price_changes_of(line_items)
-    price_stream.start(
-        changes, f"{work}/base", f"{work}/state", f"{work}/checkpoint", order=tables.CHANGE_ORDER
-    ).awaitTermination()
-    return work
+    if files is None:
+        changes = tables.price_changes_of(read_stream(spark, folder, "lineitem"))
+    else:
+        rows = tables.price_changes(spark, folder)
+        rows.repartition(files, F.rand(1)).write.parquet(f"{work}/changes")
+        changes = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/changes")
 
+    def start(**options):
+        paths = f"{work}/base", f"{work}/state", f"{work}/checkpoint"
+        return price_stream.start(changes, *paths, order=tables.CHANGE_ORDER, **options)
 
-@query
-def stream_patch_prices(spark, folder):
-    work = run_price_stream(spark, folder)
-    return plain(
-        price_stream.current_table(spark, f"{work}/base", f"{work}/state", order=tables.CHANGE_ORDER)
-    )
+    return work, start
 
 
-@query
-def stream_update_log(spark, folder):
-    work = run_price_stream(spark, folder)
+def streamed_table(spark, work):
+    return plain(price_stream.current_table(spark, f"{work}/base", f"{work}/state", order=tables.CHANGE_ORDER))
+
+
+def log_sums(spark, work):
     log = price_stream.update_log(spark, f"{work}/state")
     return log.agg(
         F.sum("total_instruments").alias("total"),
@@ -591,6 +593,63 @@ def stream_update_log(spark, folder):
     )
 
 
+@query
+def stream_patch_prices(spark, folder):
+    work, start = price_stream_of(spark, folder)
+    price_stream.finish(start())
+    return streamed_table(spark, work)
+
+
+@query
+def stream_update_log(spark, folder):
+    work, start = price_stream_of(spark, folder)
+    price_stream.finish(start())
+    return log_sums(spark, work)
+
+
+def broken_off_stream(spark, folder):
+    """A stream of three batches whose second breaks off when all but its ledger row is written, and goes on."""
+
+    def break_off(batch_id):
+        if batch_id == 1:
+            raise RuntimeError("broken off on purpose")
+
+    work, start = price_stream_of(spark, folder, files=3)
+    try:
+        price_stream.finish(start(before_commit=break_off))
+    except StreamingQueryException:
+        price_stream.finish(start())
+    return work
+
+
+@query
+def stream_replay(spark, folder):
+    """The table that a stream leaves which broke off inside a batch and ran again from its checkpoint."""
+    return streamed_table(spark, broken_off_stream(spark, folder))
+
+
+@query
+def stream_replay_log(spark, folder):
+    """The log of such a stream: every change once."""
+    return log_sums(spark, broken_off_stream(spark, folder)).drop("odd_rates")
+
+
+@query
+def stream_stop_and_go(spark, folder):
+    """The table of a stream that is stopped after two of five batches, compacted, and goes on."""
+    work, start = price_stream_of(spark, folder, files=5)
+
+    def stop(batch_id):
+        if batch_id == 1:
+            price_stream.ask_to_stop(spark, f"{work}/state")
+
+    price_stream.finish(start(before_commit=stop))
+    base, state = f"{work}/base", f"{work}/state"
+    price_stream.compact(spark, base, state, f"{work}/base-2", order=tables.CHANGE_ORDER)
+    price_stream.finish(start())
+    return streamed_table(spark, work)
+
+
 @query
 def stream_search_log(spark, folder):
     work = shared_folder(spark, "search-stream")

@@ -1,3 +1,5 @@
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from pricetide.operators import merge
@@ -59,6 +61,94 @@ def test_price_stream_goes_on_where_it_stopped(spark, tmp_path):
     assert price_stream.update_log(spark, state).count() == 3
 
 
+def stream_of(spark, tmp_path, n):
+    """Paths of a price stream and what starts it on `n` files of changes."""
+    base, state, cp = (str(tmp_path / name) for name in ("base", "state", "cp"))
+    tables.merge_target(spark, SF).write.parquet(base)
+    stream = pieces(tables.price_changes(spark, SF), str(tmp_path / "changes"), n, "updated_at")
+    return base, state, lambda **options: price_stream.start(stream, base, state, cp, order=ORDER, **options)
+
+
+def expected_table(spark, rows):
+    return rows(merge.patch_rows(tables.merge_target(spark, SF), tables.price_changes(spark, SF), order=ORDER))
+
+
+def test_price_stream_breaks_off_and_runs_again(spark, tmp_path, rows):
+    base, state, start = stream_of(spark, tmp_path, 3)
+
+    def break_off(batch_id):
+        if batch_id == 1:
+            raise RuntimeError("broken off")
+
+    with pytest.raises(StreamingQueryException, match="broken off"):
+        price_stream.finish(start(before_commit=break_off))
+    # what the second batch wrote is there, but nobody reads it
+    assert spark.read.parquet(f"{state}/log").count() == 2
+    assert price_stream.update_log(spark, state).count() == 1
+    assert price_stream.finish(start())
+    assert sorted(r.iteration for r in price_stream.update_log(spark, state).collect()) == [1, 2, 3]
+    assert rows(price_stream.current_table(spark, base, state, order=ORDER)) == expected_table(spark, rows)
+    total = price_stream.update_log(spark, state).agg(F.sum("total_instruments")).first()[0]
+    assert total == tables.price_changes(spark, SF).count()
+
+
+def test_price_stream_stops_between_batches_and_is_compacted(spark, tmp_path, rows):
+    base, state, start = stream_of(spark, tmp_path, 5)
+    asked = []
+
+    def stop(batch_id):
+        if batch_id == 1:
+            price_stream.ask_to_stop(spark, state)
+            asked.append(batch_id)
+
+    assert not price_stream.finish(start(before_commit=stop))
+    assert asked == [1] and price_stream.update_log(spark, state).count() == 2
+    before = rows(price_stream.current_table(spark, base, state, order=ORDER))
+    price_stream.compact(spark, base, state, str(tmp_path / "base2"), order=ORDER)
+    assert rows(price_stream.current_table(spark, base, state, order=ORDER)) == before
+    assert spark.read.parquet(f"{state}/applied").count() == 0
+    assert price_stream.finish(start())
+    assert price_stream.update_log(spark, state).count() == 5
+    assert rows(price_stream.current_table(spark, base, state, order=ORDER)) == expected_table(spark, rows)
+    price_stream.compact(spark, base, state, str(tmp_path / "base3"), order=ORDER)
+    assert rows(spark.read.parquet(str(tmp_path / "base3"))) == expected_table(spark, rows)
+
+
+def test_batches_of_a_price_stream_do_not_read_the_base(spark, tmp_path):
+    base, state, start = stream_of(spark, tmp_path, 3)
+    query = start()
+    assert price_stream.finish(query)
+    assert len(query.recentProgress) == 3
+    plan = query._jsq.streamingQuery().lastExecution().executedPlan()
+    assert "TransformWithState" in plan.toString()
+    # the first batch has read the base as the state's first content; the last one's plan names it, but no row was read
+    leaves = plan.collectLeaves()
+    read = {base in leaves.apply(i).toString(): leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size())}
+    assert read[True] == 0 < read[False]
+
+
+def test_late_and_odd_changes_of_a_price_stream(spark, tmp_path):
+    base, state, cp = (str(tmp_path / name) for name in ("base", "state", "cp"))
+    schema = "isin string, price double, updated_at timestamp, update_iteration long"
+    spark.createDataFrame([("A", 1.0, None, None), ("B", 2.0, None, None)], schema).write.parquet(base)
+    batches = [
+        [("A", 5.0, "2024-01-02 00:00:00.123456", 2), ("A", 4.0, "2024-01-02 00:00:00.123456", 1), ("X", 9.0, "2024-01-01", 1)],
+        [("A", 3.0, "2024-01-01 00:00:00", 9), ("B", None, "2024-01-03 00:00:00", 1), (None, 1.0, "2024-01-03", 1)],
+        [("A", 7.0, None, 3), ("B", 8.0, "2024-01-03 00:00:00", 2)],
+    ]
+    for k, batch in enumerate(batches):
+        rows = spark.createDataFrame(batch, schema.replace("timestamp", "string"))
+        rows = rows.withColumn("updated_at", F.col("updated_at").cast("timestamp"))
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        assert price_stream.finish(price_stream.start(stream, base, state, cp))
+    got = {r.isin: (r.price, str(r.updated_at), r.update_iteration) for r in price_stream.current_table(spark, base, state).collect()}
+    assert got == {"A": (5.0, "2024-01-02 00:00:00.123456", 2), "B": (8.0, "2024-01-03 00:00:00", 2)}
+    log = price_stream.update_log(spark, state).orderBy("iteration").collect()
+    assert [(r.total_instruments, r.success_count, r.error_count) for r in log] == [(3, 2, 1), (2, 2, 0), (2, 2, 0)]
+    assert [r.isin for r in price_stream.rejected(spark, state).collect()] == ["X"]
+
+
 def test_search_stream(spark, tmp_path):
     items = str(tmp_path / "items")
     spark.createDataFrame(
