@@ -7,6 +7,7 @@ from pricetide.functions.measures import times_power
 from pricetide.functions.times import add_seconds, micros
 from pricetide.operators.ranking import running_totals
 from pricetide.operators.skew import BROADCAST_ROWS, ROWS_PER_TASK, is_small, split_hot_keys
+from pricetide.workspace import stage
 
 # Cells per mean window length, and most bins, of running totals over time.
 CELLS_PER_WINDOW = 16
@@ -18,9 +19,6 @@ BAND_BITS, SPARE_BITS, INFINITE = 32, 54, 1000
 # Windows whose lengths differ less than so many times share buckets of one width.
 LENGTH_STEP = 16
 
-# Limit on the buckets one window may cover, so that no row grows without bound.
-MAX_BUCKETS = 100_000
-
 
 def windows_of(df, ts, seconds, stamp="start"):
     """Add `window_start` and `window_end` to rows that have a stamp and a duration.
@@ -73,6 +71,61 @@ def _bin_width(windows):
     return F.coalesce(F.greatest(span / MAX_BINS, F.lit(4_000_000.0)), F.lit(4e6))
 
 
+def length_class(length):
+    """Which power of LENGTH_STEP microseconds a length reaches, from a millisecond on."""
+    return F.floor(F.log(float(LENGTH_STEP), F.greatest(length, F.lit(1000))))
+
+
+def bucketed(windows, width):
+    """A row for each bucket of `width` microseconds that a window touches."""
+    buckets = F.sequence(F.floor(F.col("_from") / width), F.floor(F.col("_to") / width))
+    return windows.withColumn("_bucket", F.explode(buckets))
+
+
+def merged_windows(windows, few):
+    """Overlapping windows merged into separate ones, written, with the class of their length; and the classes."""
+    bounds = {"_from": micros(F.col("window_start")), "_to": micros(F.col("window_end"))}
+    windows = windows.select(*[c.alias(n) for n, c in bounds.items()]).where(F.col("_to") >= F.col("_from"))
+    merged = _islands(windows, few).select("_from", "_to", length_class(F.col("_to") - F.col("_from")).alias("_class"))
+    # read once for each class, of which there are as many as powers of LENGTH_STEP between a second and years
+    merged = stage(merged, "merged-windows")
+    return merged, sorted(r[0] for r in merged.select("_class").distinct().collect())
+
+
+def mark_inside(
+    windows, points, ts, point_id, name="inside", rows_per_task=ROWS_PER_TASK, broadcast_rows=BROADCAST_ROWS
+):
+    """`points` with the column `name`: whether any window's [window_start, window_end] holds them.
+
+    Overlapping windows are merged first. The merged ones are classed by their length, and a
+    point looks into one bucket of each class. Buckets are no longer than the windows of
+    their class, which lie apart, so a point meets three of them at most, whatever the
+    windows of other lengths are. A class of few windows is broadcast; else its buckets meet
+    by a shuffle, and buckets with too many points are split by `point_id`.
+    """
+    few = is_small(windows, broadcast_rows // (LENGTH_STEP + 2))
+    merged, classes = merged_windows(windows, few)
+    columns, inside = points.columns, F.lit(False)
+    points = points.withColumn("_at", micros(F.col(ts)))
+    for number, cls in enumerate(classes):
+        width = float(LENGTH_STEP**cls)
+        mine = bucketed(merged.where(F.col("_class") == cls), width).select("_bucket", "_from", "_to")
+        mine = mine.withColumn("_found", F.lit(True))
+        points = points.withColumn("_bucket", F.floor(F.col("_at") / width))
+        on = (F.col("p._bucket") == F.col("w._bucket")) & F.col("p._at").between(F.col("w._from"), F.col("w._to"))
+        if few or is_small(mine, broadcast_rows):
+            mine = F.broadcast(mine)
+        else:
+            points, mine = split_hot_keys(points, mine, ["_bucket"], point_id, None, rows_per_task)
+            on = on & (F.col("p._split") == F.col("w._split"))
+        met = points.alias("p").join(mine.alias("w"), on, "left")
+        found = f"_in_{number}"
+        kept = [*columns, "_at", *[f"_in_{k}" for k in range(number)]]
+        points = met.select(*[F.col(f"p.{c}") for c in kept], F.col("w._found").isNotNull().alias(found))
+        inside = inside | F.col(found)
+    return points.select(*columns, inside.alias(name))
+
+
 def interval_join(
     windows,
     points,
@@ -89,13 +142,17 @@ def interval_join(
     "left_semi" (points in any window, once each). For the last two overlapping windows are
     merged first, so that a point meets few of them.
 
-    Both sides meet on time buckets. For pairs, windows are classed by length and each
-    class has buckets of its own width, so one long window does not widen the buckets of
-    the others: a window covers at most LENGTH_STEP + 2 buckets, a point gets a copy for
-    each class there is (one for each power of LENGTH_STEP). Few windows go to the points
-    as a broadcast; otherwise buckets with too many points are split by `point_id`, for
-    pairs also those with too many windows.
+    Both sides meet on time buckets. Windows are classed by length and each class has
+    buckets of its own width, so one long window does not widen the buckets of the others:
+    a window covers at most LENGTH_STEP + 2 buckets. For pairs a point gets a copy for each
+    class there is (one for each power of LENGTH_STEP), else see `mark_inside`. Few windows
+    go to the points as a broadcast; otherwise buckets with too many points are split by
+    `point_id`, for pairs also those with too many windows. `bucket_seconds` sets one width
+    for all instead.
     """
+    if how != "inner" and bucket_seconds is None:
+        marked = mark_inside(windows, points, ts, point_id, "_inside", rows_per_task, broadcast_rows)
+        return marked.where(F.col("_inside") == (how == "left_semi")).drop("_inside")
     windows = windows.withColumns(
         {"_from": micros(F.col("window_start")), "_to": micros(F.col("window_end"))}
     ).where(F.col("_to") >= F.col("_from"))
@@ -111,21 +168,12 @@ def interval_join(
     if bucket_seconds is not None:
         width = F.lit(bucket_seconds * 1_000_000.0)
     elif how == "inner":
-        step = F.floor(F.log(float(LENGTH_STEP), F.greatest(length, F.lit(1000))))
-        windows = windows.withColumn("_class", step)
+        windows = windows.withColumn("_class", length_class(length))
         classes = windows.agg(F.collect_set("_class")).scalar()
         points = points.withColumn("_class", F.explode(classes))
         width = F.pow(F.lit(float(LENGTH_STEP)), F.col("_class"))
-    else:
-        width = windows.agg(
-            F.greatest(F.avg(length), F.max(length) / MAX_BUCKETS, F.lit(1000.0))
-        ).scalar()
-        width = F.coalesce(width, F.lit(1000.0))
-    windows = windows.withColumn(
-        "_bucket",
-        F.explode(F.sequence(F.floor(F.col("_from") / width), F.floor(F.col("_to") / width))),
-    )
-    if bucket_seconds is not None or how != "inner":
+    windows = bucketed(windows, width)
+    if bucket_seconds is not None:
         few = few and is_small(windows, broadcast_rows)
     points = points.withColumn("_bucket", F.floor(F.col("_at") / width))
     inside = (
@@ -153,6 +201,7 @@ def _exact(value):
 
     Infinities have bands of their own, where units count them.
     """
+    value = F.when(~F.isnan(value), value)  # said here too, as a filter may be worked out later than this
     infinite = F.abs(value) == float("inf")
     exponent = F.floor(F.log2(F.abs(value)) / BAND_BITS)
     none = F.lit(0).cast("long")

@@ -9,12 +9,21 @@ CHANGE_ORDER = ["updated_at", "update_iteration"]
 PATCHED = ["price", "updated_at", "update_iteration"]
 
 
-def replace_rows(target, source, key="isin"):
+def last_of_each_key(source, key="isin", order=None):
+    """The last row of each key by the `order` columns, or else in the order the frame has."""
+    at = F.monotonically_increasing_id() if order is None else F.struct(*order)
+    rest = [c for c in source.columns if c != key]
+    last = source.withColumn("_at", at).groupBy(key).agg(F.max_by(F.struct(*rest), "_at").alias("_last"))
+    return last.select(*[key if c == key else f"_last.{c}" for c in source.columns])
+
+
+def replace_rows(target, source, key="isin", order=None):
     """Insert source rows, replacing the whole row where the key exists.
 
-    Columns the source lacks become NULL in replaced rows. Source keys have to be
-    unique, as `clean` leaves them.
+    Columns the source lacks become NULL in replaced rows. Of source rows with one key the
+    last wins, as if they were written one after the other (`last_of_each_key`).
     """
+    source = last_of_each_key(source, key, order)
     kept = target.join(broadcast_if_small(source.select(key)), key, "left_anti")
     return kept.unionByName(source, allowMissingColumns=True).select(*target.columns)
 

@@ -2,7 +2,9 @@
 
 from functools import reduce
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from pricetide.functions.measures import capped_hits
 from pricetide.functions.text import (
@@ -13,7 +15,6 @@ from pricetide.functions.text import (
     query_terms,
     tokens,
 )
-from pricetide.workspace import stage
 
 
 def in_range(price, low, high):
@@ -57,23 +58,21 @@ def first_rows(df, n, key="isin"):
 def hit_summary(df, condition, size=100, sample=3, price="price", key="isin", text="long_name"):
     """Hits in all, hits a capped counter shows, hits returned, and the first few.
 
-    The hits are written out in their narrow form, so that texts are searched once.
+    One scan, at once: the hits are counted on their way to the first `sample` of them,
+    of which each task keeps no more. Nothing is written.
     """
-    hits = df.where(condition).select(price, key, preview(F.col(text)).alias(text))
-    hits = stage(hits, "hits")
-    few = (
-        cheapest(hits, sample, price, key)
-        .agg(F.array_sort(F.collect_list(F.struct(price, key, text))).alias("few"))
-        .select(F.transform("few", lambda r: F.struct(*[r[c].alias(c) for c in (key, price, text)])))
-        .scalar()
-    )
+    counted = Observation()
+    hits = df.where(condition).select(key, price, preview(F.col(text)).alias(text))
+    few = cheapest(hits.observe(counted, F.count("*").alias("hits")), sample, price, key).collect()
     total = F.col("total_hits")
-    return hits.agg(F.count("*").alias("total_hits")).select(
+    row = [(counted.get.get("hits", 0), few)]
+    kind = StructType([StructField("total_hits", LongType()), StructField("few", ArrayType(hits.schema))])
+    return df.sparkSession.createDataFrame(row, kind).select(
         "total_hits",
         capped_hits(total).alias("total_hits_capped"),
         (total > 10_000).alias("total_is_lower_bound"),
         F.least(total, F.lit(size)).alias("returned_hits"),
-        few.alias("sample_data"),
+        F.col("few").alias("sample_data"),
     )
 
 

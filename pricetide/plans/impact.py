@@ -11,7 +11,7 @@ from pricetide.functions.measures import (
     impact_percent,
     signed_percent,
 )
-from pricetide.operators.intervals import interval_join, interval_totals, windows_of
+from pricetide.operators.intervals import interval_join, interval_totals, mark_inside, windows_of
 from pricetide.operators.quantiles import value_counts
 from pricetide.plans.search_report import successful, summary_of_counts
 
@@ -58,13 +58,8 @@ def impact_by_type(updates, searches, by="query_type", stamp="start", **options)
     A search counts once, however many passes run beside it; times that are no numbers do
     not count for the means.
     """
-    windows, points = update_windows(updates, stamp), successful(searches)
-
-    def side(how, during):
-        found = interval_join(windows, points, "timestamp", POINT_ID, how=how, **options)
-        return found.select(by, F.col("duration_ms").cast("double").alias("ms"), F.lit(during).alias("in"))
-
-    both = side("left_semi", True).unionByName(side("left_anti", False))
+    points = successful(searches).select("timestamp", "search_id", by, F.col("duration_ms").cast("double").alias("ms"))
+    both = mark_inside(update_windows(updates, stamp), points, "timestamp", POINT_ID, "in", **options)
     inside, ms = F.col("in"), F.when(~F.isnan("ms"), F.col("ms"))
     return (
         both.groupBy(by)
@@ -136,7 +131,8 @@ def update_impact(updates, searches, stamp="start", **options):
     """Mean search time during and outside updates, and the impact in percent.
 
     "During" is the mean of the window means, "outside" the mean over searches;
-    `during_by_search` weighs the windows by their searches.
+    `during_by_search` weighs the windows by their searches. Times that are no numbers do
+    not count.
     """
     count = F.col("search_count")
     weighted = F.col("avg_search_duration") * count
@@ -144,8 +140,9 @@ def update_impact(updates, searches, stamp="start", **options):
         F.avg("avg_search_duration").alias("during"),
         F.try_divide(F.sum(weighted), F.sum(count).cast("double")).alias("during_by_search"),
     )
+    ms = F.col("duration_ms").cast("double")
     outside = searches_outside(updates, searches, stamp, **options).agg(
-        F.avg("duration_ms").alias("outside")
+        F.avg(F.when(~F.isnan(ms), ms)).alias("outside")
     )
     return during.withColumn("outside", outside.scalar()).withColumn(
         "impact_percent", impact_percent(F.col("during"), F.col("outside"))

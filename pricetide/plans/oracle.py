@@ -6,6 +6,7 @@ lie half-way, to the last bit, from being rounded apart.
 
 from pricetide.plans.catalogue import SEARCHES
 from pricetide.plans.driver_tables import WORDS
+from pricetide.plans.search_report import RANK_ERROR
 from pricetide.sources.synthetic import (
     COUNTRIES,
     DIGITS,
@@ -66,6 +67,11 @@ VIEWS = {
             user_id as total_hits
         from events where event_type <> 'purchase'""",
     "good": "select * from searches where success",
+    "measured": "select * from good where search_id % 7 <> 2",
+    "measured_pairs": """select w.iteration, w."timestamp" as update_timestamp, s.duration_ms
+        from windows w join measured s on s."timestamp" between w.window_start and w.window_end""",
+    "measured_per_window": """select update_timestamp, iteration, count(*) as search_count,
+            avg(duration_ms) as avg_search_duration from measured_pairs group by all""",
     "windows": """select *, "timestamp" as window_start,
             "timestamp" + to_microseconds(cast(round(duration_seconds * 1e6) as bigint)) as window_end
         from updates""",
@@ -447,6 +453,38 @@ def oracle_sql():
             from (select avg(avg_search_duration) as during,
                 sum(avg_search_duration * search_count) / sum(search_count) as during_by_search,
                 (select avg(duration_ms) from outside) as outside_mean from per_window)""",
+        "update_impact_nan": """select round(during + 1e-9, 6) as during, round(during_by_search + 1e-9, 6) as during_by_search,
+            round(outside_mean + 1e-9, 6) as outside, round((during - outside_mean) / outside_mean * 100 + 1e-9, 6) as impact_percent
+            from (select avg(avg_search_duration) as during,
+                sum(avg_search_duration * search_count) / sum(search_count) as during_by_search,
+                (select avg(duration_ms) from outside where search_id % 7 <> 2) as outside_mean from measured_per_window)""",
+        "empty_report": """select cast(0 as bigint) as total, cast(0 as bigint) as successful, cast(0 as bigint) as failed,
+            cast(null as double) as success_rate from (select count(*) from searches where search_id < 0)""",
+        "empty_summary": """select avg(duration_ms) as mean, min(duration_ms) as min, max(duration_ms) as max,
+            stddev_samp(duration_ms) as stddev, median(duration_ms) as median from good where search_id < 0""",
+        "required_columns": """select * from (values ('isin', true, 'instruments'), ('name', true, 'instruments'),
+            ('long_name', true, 'instruments'), ('price', true, 'instruments'), ('isin', false, 'documents'),
+            ('name', false, 'documents'), ('long_name', false, 'documents'), ('price', false, 'documents'))
+            as v(column_name, present, "table")""",
+        "table_description": """select *, false as existed, true as exists from (values ('isin', 'string'), ('name', 'string'),
+            ('long_name', 'string'), ('price', 'decimal(18,2)'), ('updated_at', 'timestamp'), ('update_iteration', 'bigint'))
+            as v(column_name, data_type)""",
+        "table_versions": """select cast(0 as bigint) as step, count(*) as rows, round(max(price) + 1e-9, 6) as max_price from instruments
+            union all select 1, count(*), round(max(price) + 1e-9, 6) from instruments where price < 1000
+            union all select 2, count(*), round(max(price) * 2 + 1e-9, 6) from instruments""",
+        "unknown_search_types": """select s_suppkey as query_id, false as success, cast(0 as bigint) as total_hits,
+            cast(0 as bigint) as returned_hits,
+            'Unknown query type: ' || case when s_suppkey % 7 = 3 then 'fuzzy' else 'NULL' end as error
+            from supplier where s_suppkey % 7 in (3, 5)""",
+        "upsert_last_wins": """select isin, name, long_name, round(price + 1e-9, 6) as price, cast(null as timestamp) as updated_at,
+                cast(null as bigint) as update_iteration from target where isin not in (select isin from latest)
+            union all select isin, null, null, round(price + 1e-9, 6), updated_at, update_iteration from latest""",
+        "stream_sketch_summary": """select query_type, count(*) as count, round(avg(duration_ms) + 1e-9, 6) as mean,
+            round(max(duration_ms) + 1e-9, 6) as max, """ + ", ".join(
+            f"round(quantile_cont(duration_ms, {p + side * RANK_ERROR}) + 1e-9, 6) as {name}_{end}"
+            for name, p in (("low", 0.25), ("median", 0.5), ("high", 0.9))
+            for side, end in ((-1, "from"), (1, "to"))
+        ) + ", true as within from measured group by query_type",
         "impact_lines": """select unnest(['Search time during updates', 'Search time without updates', 'Performance impact']) as measure,
             unnest([printf('%.2f', during) || 'ms', printf('%.2f', outside_mean) || 'ms',
                 printf('%+.1f', (during - outside_mean) / outside_mean * 100) || '%']) as text

@@ -7,7 +7,7 @@ from pricetide.functions.measures import milliseconds, range_width, rate, search
 from pricetide.functions.text import preview
 from pricetide.functions.times import second_grid
 from pricetide.operators import batch_search as batch
-from pricetide.operators import cleaning, merge, price_index, ranking, search, word_table
+from pricetide.operators import cleaning, merge, price_index, quantiles, ranking, search, word_table
 from pricetide.operators.intervals import interval_join
 from pricetide.plans import catalogue, impact, search_report, update_report
 from pricetide.plans import driver_tables as tables
@@ -280,9 +280,58 @@ def search_log_rows(spark, folder):
     )
 
 
+@query
+def unknown_search_types(spark, folder):
+    """Requests of a type that does not exist fail, each on its own; the others are answered."""
+    turn = F.col("query_id") % 7
+    kind = F.when(turn == 3, "fuzzy").when(turn != 5, F.col("query_type"))
+    requests = tables.requests(spark, folder).withColumn("query_type", kind)
+    answers = search_stream.answer(queries=requests, **searched_docs(spark, folder))
+    return answers.where("not success").select("query_id", "success", "total_hits", "returned_hits", "error")
+
+
 # Cleaning and loading
 
 
+@query
+def required_columns(spark, folder):
+    """Which of the required columns two of the tables have."""
+    checks = {"instruments": tables.instruments(spark, folder), "documents": tables.docs(spark, folder)}
+    found = [readers.column_check(df).withColumn("table", F.lit(name)) for name, df in checks.items()]
+    return found[0].unionByName(found[1])
+
+
+def catalogue_name(spark):
+    return "listed_" + shared_folder(spark, "x")[-12:]
+
+
+@query
+def table_description(spark, folder):
+    """Columns of the instruments table as it is created, and whether it was there before and after."""
+    name = catalogue_name(spark)
+    before = readers.table_exists(spark, name)
+    writers.create_table(spark, name, tables.instruments(spark, folder), buckets=4)
+    after = readers.table_exists(spark, name)
+    described = readers.describe(spark.table(name))
+    spark.sql(f"drop table {name}")
+    return described.drop("nullable").withColumns({"existed": F.lit(before), "exists": F.lit(after)})
+
+
+@query
+def table_versions(spark, folder):
+    """Rows and highest price that a reader of a table sees as its versions are published."""
+    name, seen = catalogue_name(spark), []
+    items = tables.instruments(spark, folder)
+    for step, rows in enumerate([items, items.where("price < 1000"), items.withColumn("price", F.col("price") * 2)]):
+        writers.publish(spark, name, rows)
+        figures = spark.table(name).agg(F.count("*").alias("rows"), F.max("price").cast("double").alias("max_price"))
+        seen.append((step, *figures.first()))
+    spark.sql(f"drop view {name}")
+    for number in (2, 3):
+        spark.sql(f"drop table {name}__v{number}")
+    return plain(spark.createDataFrame(seen, "step long, rows long, max_price double"))
+
+
 @query
 def dup_count(spark, folder):
     return cleaning.duplicate_count(tables.dirty_instruments(spark, folder))
@@ -336,6 +385,15 @@ def upsert_replace(spark, folder):
     return plain(merge.replace_rows(target, tables.replacements(spark, folder)))
 
 
+@query
+def upsert_last_wins(spark, folder):
+    """Line items as whole rows, many of one key: the last of each key stands."""
+    columns = ["isin", "price", "updated_at", "update_iteration"]
+    rows = tables.price_changes(spark, folder).select(*columns, "line")
+    target = tables.merge_target(spark, folder).withColumn("line", F.lit(None).cast("int"))
+    return plain(merge.replace_rows(target, rows, order=tables.CHANGE_ORDER).drop("line"))
+
+
 @query
 def patch_prices(spark, folder):
     return plain(
@@ -446,6 +504,17 @@ report(
 report("window_stats", impact.window_stats)
 report("window_stats_end_stamp", lambda u, s: impact.window_stats(u, s, stamp="end"))
 report("window_count", impact.window_count)
+
+
+def unmeasured(searches):
+    """The search log with one time in seven that is no number."""
+    lost = F.col("search_id") % 7 == 2
+    return searches.withColumn("duration_ms", F.when(lost, float("nan")).otherwise(F.col("duration_ms")))
+
+
+report("update_impact_nan", lambda u, s: impact.update_impact(u, unmeasured(s)))
+report("empty_report", lambda u, s: search_report.search_totals(s.where("search_id < 0")))
+report("empty_summary", lambda u, s: search_report.duration_summary(s.where("search_id < 0")))
 report(
     "outside_windows",
     lambda u, s: impact.searches_outside(u, s).select("search_id", "timestamp", "duration_ms"),
@@ -694,6 +763,34 @@ def stream_summary(spark, folder):
     return plain(log_stream.latest_summary(spark, f"{work}/out").drop("max"))
 
 
+SKETCHED = {"low": 0.25, "median": 0.5, "high": 0.9}
+
+
+@query
+def stream_sketch_summary(spark, folder):
+    """Quantiles that a stream keeps in sketches, beside the exact ones they have to lie between."""
+    work = shared_folder(spark, "sketch-stream")
+    searches = unmeasured(tables.search_metrics_of(read_stream(spark, folder, "events")))
+    searches = search_report.successful(searches)
+    sketched = search_report.sketch_summary(searches, ["query_type"], "duration_ms", SKETCHED)
+    log_stream.start_totals(sketched, f"{work}/out", f"{work}/checkpoint").awaitTermination()
+    got = log_stream.latest_summary(spark, f"{work}/out")
+    logged = search_report.successful(unmeasured(tables.search_metrics(spark, folder)))
+    bounds = {}
+    for name, p in SKETCHED.items():
+        bounds |= {f"{name}_from": p - search_report.RANK_ERROR, f"{name}_to": p + search_report.RANK_ERROR}
+    exact = quantiles.exact_quantiles(quantiles.value_counts(logged, ["query_type"], "duration_ms"), ["query_type"], bounds)
+    # the ranks that a sketched value has among all values
+    number, met = F.when(~F.isnan("duration_ms"), F.col("duration_ms")), F.lit(True)
+    for name, p in SKETCHED.items():
+        below = F.count_if(number < F.col(name)) / F.count(number) - search_report.RANK_ERROR
+        upto = F.count_if(number <= F.col(name)) / F.count(number) + search_report.RANK_ERROR
+        met = met & (below <= p) & (upto >= p)
+    within = logged.join(got, "query_type").groupBy("query_type").agg(met.alias("within"))
+    found = got.join(exact, "query_type").join(within, "query_type")
+    return plain(found.select("query_type", "count", "mean", "max", *bounds, "within"))
+
+
 @query
 def stream_update_summary(spark, folder):
     work = shared_folder(spark, "update-summary-stream")

@@ -72,16 +72,53 @@ def approximate_summary(df, by, value, accuracy=10_000):
     """As `duration_by`, with a median off by at most rows / accuracy ranks.
 
     Keeps a sketch per group instead of its values: for streams that run for long, as the
-    totals of `log_stream.start_totals`.
+    totals of `log_stream.start_totals`. What is no number is left out.
     """
+    number = _numbers_of(value)
     return df.groupBy(*by).agg(
-        F.avg(value).alias("mean"),
-        F.percentile_approx(value, 0.5, accuracy).alias("median"),
-        F.max(value).alias("max"),
-        F.count(value).alias("count"),
+        F.avg(number).alias("mean"),
+        F.percentile_approx(number, 0.5, accuracy).alias("median"),
+        F.max(number).alias("max"),
+        F.count(number).alias("count"),
+    )
+
+
+#: Size of a quantile sketch, and how far a quantile's rank may be off, as a share of the rows (in 99 of 100 cases).
+SKETCH_SIZE, RANK_ERROR = 1000, 0.0028
+
+
+def sketch_summary(df, by, value, quantiles=None):
+    """Mean, greatest value, rows and quantiles per group, the quantiles from a sketch.
+
+    The sketch has a bounded size whatever its rows, and sketches of parts merge into that of
+    the whole, so it serves as state of a stream; `quantiles` maps names to probabilities,
+    each met within `RANK_ERROR`. What is no number is left out. For exact quantiles see
+    `summary_of_counts`.
+    """
+    number = _numbers_of(value)
+    sketch = F.kll_sketch_agg_double(number, SKETCH_SIZE)
+    return df.groupBy(*by).agg(
+        F.avg(number).alias("mean"),
+        F.max(number).alias("max"),
+        F.count(number).alias("count"),
+        sketch.alias("sketch"),
+    ).select(
+        *by,
+        "mean",
+        "max",
+        "count",
+        *[
+            F.when(F.col("count") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(p))).alias(name)
+            for name, p in (quantiles or {"median": 0.5}).items()
+        ],
     )
 
 
+def _numbers_of(value):
+    number = F.col(value).cast("double")
+    return F.when(~F.isnan(number), number)
+
+
 def over_time(searches, width="1 hour", by="query_type", value="duration_ms"):
     """Number, mean and greatest duration of successful searches per time window and type.
 

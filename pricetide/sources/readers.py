@@ -18,6 +18,12 @@ def check_columns(df, required=REQUIRED_COLUMNS):
     return df
 
 
+def column_check(df, required=REQUIRED_COLUMNS):
+    """The required columns and whether the frame has them, from the plan alone."""
+    rows = [(c, c in df.columns) for c in required]
+    return df.sparkSession.createDataFrame(rows, "column_name string, present boolean")
+
+
 def read_instruments_csv(spark, path, multiline=False):
     """Raw instruments as text, found by header name, with their place in the files.
 

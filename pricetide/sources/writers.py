@@ -54,6 +54,26 @@ def swap_table(spark, name, rows, **options):
     spark.sql(f"drop table if exists {name}_last")
 
 
+def publish(spark, name, rows, **options):
+    """Write `rows` as the next version of a table and point the view `name` at it.
+
+    Readers of the view see the version before or this one, never none: the view is
+    replaced in one step once the version is whole. The version before stays for those
+    that still read it, older ones go. Returns the version's number.
+    """
+    versions = sorted(
+        int(t.name.rpartition("__v")[2])
+        for t in spark.catalog.listTables(pattern=f"{name}__v*")
+        if t.name.rpartition("__v")[2].isdigit()
+    )
+    number = versions[-1] + 1 if versions else 1
+    create_table(spark, f"{name}__v{number}", rows, **options)
+    spark.sql(f"create or replace view {name} as select * from {name}__v{number}")
+    for old in versions[:-1]:
+        spark.sql(f"drop table {name}__v{old}")
+    return number
+
+
 def export_csv(df, path, single_file=False):
     """Write a table as CSV with a header, over what is there."""
     options = {

@@ -10,9 +10,10 @@ from pricetide.plans.search_report import over_time, summary_of_counts
 
 
 def _counted(logs, by, value):
-    return logs.where(F.col(value).isNotNull()).groupBy(
-        *by, F.col(value).cast("double").alias("value")
-    ).agg(F.count("*").alias("n"))
+    number = F.col(value).cast("double")
+    return logs.where(number.isNotNull() & ~F.isnan(number)).groupBy(*by, number.alias("value")).agg(
+        F.count("*").alias("n")
+    )
 
 
 def start_summary(logs, out, checkpoint, by=("query_type",), value="duration_ms", trigger=None):

@@ -4,7 +4,14 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from pricetide.operators.intervals import interval_join, interval_totals, windows_of
+from pricetide.operators.intervals import (
+    LENGTH_STEP,
+    bucketed,
+    interval_join,
+    interval_totals,
+    merged_windows,
+    windows_of,
+)
 from pricetide.plans import impact
 
 UPDATES = "timestamp timestamp, iteration long, duration_seconds double, updates_per_second double"
@@ -151,3 +158,45 @@ def test_impact_by_type_leaves_out_what_is_no_number(spark, rows):
     assert rows(impact.impact_by_type(updates, searches)) == [
         ("a", 3, 2.0, 0, None, None), ("b", 1, None, 1, 4.0, None)
     ]
+
+
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_a_window_of_years_among_seconds(spark, rows, broadcast_rows):
+    """Points of a busy time meet few windows beside a long one elsewhere."""
+    rng = random.Random(9)
+    # thousands of short windows within two hours, some of hours, and one of three years before
+    windows = [(k * 2 + rng.random(), 0.4) for k in range(3600)] + [(20_000 + k * 9000, 5000.0) for k in range(20)]
+    windows += [(-100_000_000.0, 95_000_000.0)]
+    searches = [(rng.uniform(0, 7200), True) for _ in range(4000)] + [(rng.uniform(-1.1e8, 3e5), True) for _ in range(500)]
+    updates, points = frames(spark, windows, searches)
+    outside = impact.searches_outside(updates, points, broadcast_rows=broadcast_rows)
+    spans = [(at(s), at(s + d)) for s, d in windows]
+    expected = [(i,) for i, (s, _) in enumerate(searches, 1) if not any(a <= at(s) <= b for a, b in spans)]
+    assert rows(outside.select("search_id")) == sorted(expected, key=repr)
+
+    merged, classes = merged_windows(impact.update_windows(updates), few=True)
+    assert len(classes) >= 3
+    candidates = None
+    for cls in classes:
+        width = float(LENGTH_STEP**cls)
+        held = bucketed(merged.where(F.col("_class") == cls), width).groupBy("_bucket").count()
+        placed = points.withColumn("_bucket", F.floor(F.unix_micros("timestamp") / width)).join(held, "_bucket")
+        met = placed.select("search_id", "count")
+        candidates = met if candidates is None else candidates.union(met)
+    assert candidates.groupBy("search_id").agg(F.sum("count").alias("n")).agg(F.max("n")).first()[0] < 64
+
+
+def test_times_that_are_no_numbers_count_nowhere(spark):
+    updates, points = frames(spark, [(0, 2.0)], [(1, True), (1.5, True), (5, True), (6, True), (7, True)])
+    nan = float("nan")
+    holes = points.withColumn("duration_ms", F.when(F.col("search_id").isin(2, 4), nan).otherwise(F.col("duration_ms")))
+    row = impact.update_impact(updates, holes).first()
+    assert (row.during, row.during_by_search, row.outside, row.impact_percent) == (1.0, 1.0, 4.0, -75.0)
+    # also where Spark works the rows out while it plans
+    literal = spark.sql(
+        """select * from values (timestamp '2024-01-01 10:00:01', 1L, true, 1.0D), (timestamp '2024-01-01 10:00:01', 2L, true, double('NaN')),
+            (timestamp '2024-01-01 10:00:09', 3L, true, double('NaN')), (timestamp '2024-01-01 10:00:09', 4L, true, 4.0D)
+            as v(timestamp, search_id, success, duration_ms)"""
+    )
+    row = impact.update_impact(updates, literal).first()
+    assert (row.during, row.outside) == (1.0, 4.0)

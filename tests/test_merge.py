@@ -111,3 +111,12 @@ def test_golden_numbers_of_the_latest_changes(spark):
     row = patched.agg(F.count("*").alias("n"), F.sum("price").alias("s")).first()
     assert row.n == 1800 and abs(row.s - 95_335_140.44) < 0.01
     assert M.unmatched_changes(listed, changes, order=tables.CHANGE_ORDER).count() == 200
+
+
+def test_of_source_rows_with_one_key_the_last_wins(spark, rows):
+    schema = "isin string, name string, long_name string, price double"
+    source = [("K1", "a", "aa", 2.0), ("K9", "x", "xx", 1.0), ("K1", "b", None, 3.0), ("K9", "y", "yy", 0.5)]
+    expected = [("K1", "b", None, 3.0, None, None), ("K2", "b", "bb", 2.0, T0, None), ("K9", "y", "yy", 0.5, None, None)]
+    assert rows(M.replace_rows(target(spark), spark.createDataFrame(source, schema).coalesce(1))) == expected
+    numbered = spark.createDataFrame([(*r, i) for i, r in enumerate(source)], schema + ", line long").repartition(4)
+    assert rows(M.replace_rows(target(spark), numbered, order=["line"])) == expected

@@ -323,3 +323,17 @@ def test_batch_search_over_documents(spark):
     }
     sums = hits.groupBy("query_id").agg(F.sum("doc_id").alias("s")).collect()
     assert {r.query_id: r.s for r in sums} == {1: 46692, 2: 51126, 3: 14949, 4: 36656}
+
+
+def test_hit_summary_counts_on_the_way_to_the_sample(spark):
+    df = spark.createDataFrame([("A", "x", 1.0), ("B", "y" * 60, 0.5), ("C", None, 2.0)], ITEM)
+
+    def run():
+        row = S.hit_summary(df, S.search_filter("price_range", 0, 1.5)).first()
+        assert row.total_hits == 2
+        assert [tuple(s) for s in row.sample_data] == [("B", 0.5, "y" * 50 + "..."), ("A", 1.0, "x")]
+        none = S.hit_summary(df, S.search_filter("price_range", 5, 6)).first()
+        assert (none.total_hits, none.returned_hits, none.sample_data) == (0, 0, [])
+        assert S.hit_summary(df.limit(0), S.search_filter("price_range", 0, 9)).first().total_hits == 0
+
+    assert written_bytes(spark, run) == 0

@@ -166,3 +166,38 @@ def test_staged_tables_lie_in_the_shared_folder(spark):
 def test_required_columns(spark):
     with pytest.raises(ValueError, match=r"\['price'\]"):
         readers.check_columns(spark.createDataFrame([("a", "b", "c")], "isin string, name string, long_name string"))
+
+
+def test_readers_of_a_published_table_see_a_whole_version(spark):
+    for n in (5, 7, 9):
+        version = writers.publish(spark, "published", synthetic.generate(spark, n))
+        held = spark.table("published")
+        assert held.count() == n
+    assert version == 3
+    # a reader that began with the version before still reads it
+    before = spark.table("published__v2")
+    writers.publish(spark, "published", synthetic.generate(spark, 3))
+    assert spark.table("published").count() == 3 and held.count() == 9
+    assert not readers.table_exists(spark, "published__v2") and readers.table_exists(spark, "published__v3")
+    del before
+    spark.sql("drop view published")
+    for n in (3, 4):
+        spark.sql(f"drop table published__v{n}")
+
+
+def test_a_failed_version_is_not_published(spark):
+    writers.publish(spark, "published", synthetic.generate(spark, 4))
+    broken = synthetic.generate(spark, 4).withColumn("name", F.raise_error(F.lit("no name")).cast("string"))
+    with pytest.raises(Exception, match="no name"):
+        writers.publish(spark, "published", broken)
+    assert spark.table("published").count() == 4
+    spark.sql("drop view published")
+    for t in spark.catalog.listTables(pattern="published__v*"):
+        spark.sql(f"drop table {t.name}")
+
+
+def test_column_check(spark):
+    df = spark.createDataFrame([("A", 1.0)], "isin string, price double")
+    assert [tuple(r) for r in readers.column_check(df).collect()] == [
+        ("isin", True), ("name", False), ("long_name", False), ("price", True),
+    ]

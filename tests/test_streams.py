@@ -1,3 +1,5 @@
+import bisect
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -205,3 +207,42 @@ def test_approximate_summary_of_a_stream(spark, tmp_path):
     for kind, row in exact.items():
         assert got[kind]["count"] == row["count"]
         assert abs(got[kind].median - row.median) < 2
+
+
+def test_sketches_of_a_stream_keep_their_size_and_their_error(spark, tmp_path):
+    sketch = F.kll_sketch_agg_double("v", search_report.SKETCH_SIZE)
+    sizes = [
+        spark.range(n, numPartitions=4).select(F.pmod(F.xxhash64("id"), F.lit(10**9)).cast("double").alias("v")).agg(F.length(sketch)).first()[0]
+        for n in (100_000, 2_000_000)
+    ]
+    # at most some three values of 8 bytes for each unit of its size, however many rows there are
+    assert max(sizes) < 8 * 4 * search_report.SKETCH_SIZE
+
+    rows = spark.range(200_000).select((F.col("id") % 2).alias("g"), F.pow(F.col("id") / 1000, F.lit(3.0)).alias("v"))
+    rows = rows.withColumn("v", F.when(F.col("v") % 7 < 0.001, float("nan")).otherwise(F.col("v")))
+    stream = pieces(rows, str(tmp_path / "log"), 3, "v")
+    wanted = {"low": 0.1, "median": 0.5, "high": 0.99}
+    summary = search_report.sketch_summary(stream, ["g"], "v", wanted)
+    out = str(tmp_path / "out")
+    query = log_stream.start_totals(summary, out, str(tmp_path / "cp"))
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 2
+    for row in log_stream.latest_summary(spark, out).collect():
+        values = sorted(r.v for r in rows.where((F.col("g") == row.g) & ~F.isnan("v")).collect())
+        assert row["count"] == len(values) and row["max"] == values[-1]
+        for name, p in wanted.items():
+            place = bisect.bisect_left(values, row[name]) / len(values)
+            assert abs(place - p) <= search_report.RANK_ERROR + 1 / len(values)
+
+
+def test_summaries_leave_out_what_is_no_number(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 2.0), ("a", float("nan")), ("a", 4.0), ("b", float("nan"))], "query_type string, duration_ms double")
+    stream = pieces(rows, str(tmp_path / "log"), 2, "duration_ms")
+    out = str(tmp_path / "out")
+    log_stream.start_summary(stream, out, str(tmp_path / "cp")).awaitTermination()
+    row = log_stream.latest_summary(spark, out).where("query_type = 'a'").first()
+    assert (row["mean"], row["max"], row["count"], row["median"]) == (3.0, 4.0, 2, 3.0)
+    row = search_report.approximate_summary(rows.where("query_type = 'a'"), ["query_type"], "duration_ms").first()
+    assert (row["mean"], row["max"], row["count"]) == (3.0, 4.0, 2)
+    found = {r.query_type: (r["count"], r.median) for r in search_report.sketch_summary(rows, ["query_type"], "duration_ms").collect()}
+    assert found["b"] == (0, None) and found["a"][0] == 2
