@@ -22,13 +22,15 @@ def without_white_space(text):
     return text
 
 
-def named(distinct, columns, scratch):
+def named(distinct, columns, scratch, ranged_by=None):
     """`distinct` with `name`, the dense rank of each row in the order of `columns`.
 
-    Rows are sorted in ranges; a row's rank is its place in its range plus the number of
-    rows in earlier ranges, a sum over one row for each range.
+    Rows are sorted in ranges of `ranged_by`, or else of all `columns`; a row's rank is its
+    place in its range plus the number of rows in earlier ranges, a sum over one row for
+    each range.
     """
-    rows = scratch.write(distinct.orderBy(*columns).withColumn("at", F.monotonically_increasing_id()), "names")
+    ranges = distinct.repartitionByRange(*(ranged_by or columns)).sortWithinPartitions(*columns)
+    rows = scratch.write(ranges.withColumn("at", F.monotonically_increasing_id()), "names")
     part = F.shiftright("at", 33)
     sizes = rows.groupBy(part.alias("part")).agg(F.count("*").alias("rows")).collect()
     before, total = [], 0
@@ -46,20 +48,25 @@ def named(distinct, columns, scratch):
 def block_names(texts, scratch):
     """(row, pos, name) of the blocks of `texts` (row, content).
 
-    Contents are shuffled once for each task and distinct block; rows meet names by the
-    block's digest, after a look whether any two of the distinct blocks share one. Should
-    that ever be, they meet by content.
+    Distinct blocks are sorted by their MD5 digest, then their content, so that the ranges
+    are sampled by digests, 16 bytes each, and no block is a key of a shuffle; the names
+    stand for the content all the same. Rows meet them by digest, after a look whether any
+    two blocks share one. Should that ever be, all meet by content.
     """
     count = F.greatest(F.ceil(F.octet_length("content") / BLOCK), F.lit(1))
     places = texts.select("row", "content", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("pos"))
     start = (F.col("pos") * BLOCK + 1).cast("int")
     blocks = places.select("row", "pos", F.substring("content", start, F.lit(BLOCK)).alias("block"))
-    distinct = blocks.groupBy("block").agg(F.lit(1).alias("_")).select("block", F.unhex(F.md5("block")).alias("digest"))
-    names = scratch.write(named(scratch.write(distinct, "blocks"), ["block"], scratch), "names")
-    if names.groupBy("digest").agg(F.count("*").alias("rows")).where("rows > 1").isEmpty():
-        blocks = blocks.select("row", "pos", F.unhex(F.md5("block")).alias("digest"))
-        return blocks.join(names.select("digest", "name"), "digest").select("row", "pos", "name")
-    return blocks.join(names.select("block", "name"), "block").select("row", "pos", "name")
+    blocks = blocks.withColumn("digest", F.unhex(F.md5("block")))
+    kinds = blocks.groupBy("digest").agg(F.min("block").alias("block"), F.max("block").alias("last"))
+    kinds = scratch.write(kinds, "blocks")
+    if kinds.where("block != last").isEmpty():
+        names = named(kinds.drop("last"), ["digest", "block"], scratch, ["digest"])
+        names = scratch.write(names.select("digest", "name"), "names")
+        return blocks.select("row", "pos", "digest").join(names, "digest").select("row", "pos", "name")
+    kinds = scratch.write(blocks.groupBy("digest", "block").agg(F.lit(1).alias("_")).drop("_"), "blocks")
+    names = scratch.write(named(kinds, ["digest", "block"], scratch, ["digest"]), "names")
+    return blocks.join(names, ["digest", "block"]).select("row", "pos", "name")
 
 
 def identities(texts, scratch):
