@@ -24,6 +24,20 @@ def parse_price(df, kind=PRICE):
     return df.withColumn("price", F.col("price").try_cast(kind))
 
 
+def price_losses(df, kind=PRICE):
+    """How many prices `parse_price` makes NULL, by the reason: none given, no number, or too large for `kind`."""
+    df, price = blank_to_null(df, ["price"]), F.col("price")
+    number = price.try_cast("double")
+    lost = price.try_cast(kind).isNull()
+    is_number = number.isNotNull() & ~F.isnan(number)
+    counts = df.agg(
+        F.count_if(price.isNull()).alias("missing"),
+        F.count_if(price.isNotNull() & ~F.coalesce(is_number, F.lit(False))).alias("no_number"),
+        F.count_if(lost & is_number).alias("too_large"),
+    )
+    return counts.unpivot([], counts.columns, "reason", "rows")
+
+
 def duplicate_count(df, key="isin"):
     """Rows beyond the first of each key; rows without a key form one group."""
     return (

@@ -91,6 +91,7 @@ VIEWS = {
             where s."timestamp" between w.window_start and w.window_end)""",
     "ten_minutes": """select iteration, "timestamp" as window_start,
             "timestamp" + interval 10 minute as window_end from updates""",
+    "turns": "select price, row_order % 97 as turn from dirty",
     "fences": """select query_type, quantile_cont(duration_ms, 0.25) as q1,
             quantile_cont(duration_ms, 0.5) as median, quantile_cont(duration_ms, 0.75) as q3
         from good group by query_type""",
@@ -377,6 +378,9 @@ def oracle_sql():
             union all select 'long_name', count_if(long_name is null) from dirty) where missing > 0""",
         "clean_load": "select isin, name, long_name, round(price + 1e-9, 6) as price, timestamp '2024-01-01 00:00:00' as updated_at from cleaned",
         "csv_import": "select isin, name, long_name, round(price + 1e-9, 6) as price, timestamp '2024-01-01 00:00:00' as updated_at from cleaned",
+        "price_losses": """select 'missing' as reason, count_if(price is null and turn not in (5, 6, 7)) as rows from turns
+            union all select 'no_number', count_if(turn = 7) from turns
+            union all select 'too_large', count_if(turn in (5, 6)) from turns""",
         "load_report": """select 'read' as step, count(*) as rows from dirty
             union all select 'after_dedup', count(*) from first_copies
             union all select 'after_dropping_incomplete', count(*) from cleaned""",
@@ -506,6 +510,15 @@ def oracle_sql():
             window_start + to_seconds(cast(floor(duration_seconds) as bigint)) as last_step from windows""",
         "update_log_csv": """select "timestamp", iteration, total_instruments, success_count, error_count,
             round(duration_seconds, 2) as duration_seconds, round(updates_per_second, 2) as updates_per_second from updates""",
+        "search_log_lines": """select search_id, query_type,
+            case when search_id % 11 <> 3 then round(duration_ms + 1e-9, 6) end as duration_ms,
+            case when search_id % 5 = 0 then length('timed out,' || chr(10) || ' after "' || search_id || '" ms' || chr(10) || chr(10))
+                else 0 end as error_length
+            from searches where search_id % 13 <> 4""",
+        "unreadable_log_rows": """select 'rows' as what, count(*) as count from searches
+            union all select 'misfits', count_if(search_id % 13 = 4) from searches
+            union all select 'search_id', 0
+            union all select 'duration_ms', count_if(search_id % 13 <> 4 and search_id % 11 = 3) from searches""",
         "search_log_csv": """select "timestamp", search_id, search_type, success,
             nullif(cast(search_id as double), 0) as min_price,
             nullif(cast(total_hits % 10 as double), 0) as price_range_width,

@@ -11,7 +11,7 @@ from pricetide.operators import cleaning, merge, price_index, quantiles, ranking
 from pricetide.operators.intervals import interval_join
 from pricetide.plans import catalogue, impact, search_report, update_report
 from pricetide.plans import driver_tables as tables
-from pricetide.schemas import SAMPLE
+from pricetide.schemas import SAMPLE, SEARCH_METRICS
 from pricetide.sources import readers, synthetic, writers
 from pricetide.streaming import log_stream, price_stream, search_stream
 from pricetide.workspace import shared_folder
@@ -367,6 +367,15 @@ def load_report(spark, folder):
     return cleaning.load_report(tables.dirty_instruments(spark, folder))
 
 
+@query
+def price_losses(spark, folder):
+    """Prices that cleaning cannot keep, by the reason; some are made too large or are words."""
+    rows = tables.dirty_instruments(spark, folder)
+    turn = F.col("row_order") % 97
+    price = F.when(turn == 5, "1e16").when(turn == 6, "99999999999999999.99").when(turn == 7, "about 5").otherwise(F.col("price"))
+    return cleaning.price_losses(rows.withColumn("price", price))
+
+
 @query
 def csv_import(spark, folder):
     """Export as CSV, read back by header, clean."""
@@ -620,6 +629,45 @@ def search_log_csv(spark, folder):
     )
 
 
+def search_log_text(spark, folder):
+    """A search log as CSV text whose errors have line breaks, quotes and commas; some rows are broken."""
+    log = tables.search_metrics(spark, folder)
+    number = F.col("search_id")
+    error = F.concat(F.lit('"timed out,\n after ""'), number, F.lit('"" ms\n\n"'))
+    took = F.when(number % 11 == 3, F.lit("soon")).otherwise(F.col("duration_ms").cast("string"))
+    line = F.concat_ws(",", number, "query_type", took, F.when(number % 5 == 0, error).otherwise(F.lit("")))
+    line = F.when(number % 13 == 4, F.concat(F.lit("lost,"), number)).otherwise(line)
+    path = shared_folder(spark, "log-text")
+    lines = log.select((number % 16).alias("file"), number.alias("search_id"), line.alias("value"))
+    # the header stands at the top of each file
+    top = spark.range(16).select("id", F.lit(-1).cast("long"), F.lit("search_id,query_type,duration_ms,error"))
+    rows = lines.union(top).repartition("file").sortWithinPartitions("file", "search_id")
+    rows.select("file", "value").write.partitionBy("file").text(path)
+    return f"{path}/*"
+
+
+@query
+def search_log_lines(spark, folder):
+    """Searches of such a log with the length of their error texts."""
+    raw = readers.read_quoted_csv(spark, search_log_text(spark, folder)).where("_unreadable is null")
+    return plain(
+        raw.select(
+            F.col("search_id").cast("long").alias("search_id"),
+            "query_type",
+            F.col("duration_ms").try_cast("double").alias("duration_ms"),
+            F.coalesce(F.length("error"), F.lit(0)).alias("error_length"),
+        )
+    )
+
+
+@query
+def unreadable_log_rows(spark, folder):
+    """Rows of such a log, rows that do not fit its header, and times that cannot be read."""
+    raw = readers.read_quoted_csv(spark, search_log_text(spark, folder))
+    found = readers.unreadable(raw, SEARCH_METRICS)
+    return found.where("what in ('rows', 'misfits', 'search_id', 'duration_ms')")
+
+
 # Streams, drained and read back
 
 

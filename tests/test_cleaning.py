@@ -95,3 +95,12 @@ def test_large_prices_are_loaded(spark):
     )
     kept = C.clean(raw, loaded_at="2024-01-01 00:00:00")
     assert sorted(str(r.price) for r in kept.collect()) == ["100000000.00", "99999999.99"]
+
+
+def test_lost_prices_are_counted_by_reason(spark):
+    prices = ["1.50", None, "", "n/a", "NaN", "five", "1e16", "9999999999999999.99", "99999999999999999.99", "Infinity", "1e-3"]
+    rows = spark.createDataFrame([(str(i), "n", "l", p) for i, p in enumerate(prices)], "isin string, name string, long_name string, price string")
+    got = {r.reason: r.rows for r in C.price_losses(rows).collect()}
+    kept = C.parse_price(C.blank_to_null(rows)).where("price is not null").count()
+    assert sum(got.values()) + kept == len(prices)
+    assert got == {"missing": 4, "no_number": 1, "too_large": 3}

@@ -201,3 +201,35 @@ def test_column_check(spark):
     assert [tuple(r) for r in readers.column_check(df).collect()] == [
         ("isin", True), ("name", False), ("long_name", False), ("price", True),
     ]
+
+
+@pytest.mark.parametrize("size", [None, 300])
+def test_quoted_line_breaks_are_read_by_several_tasks(spark, tmp_path, size):
+    errors = ["", "plain", "two\nlines", 'a "quoted, word"\n\nand more', "x" * 500 + "\n" + "y" * 900, "\r\nbreaks\r\n", '"', "\n\n\n"]
+    wanted = [(str(i), errors[i % len(errors)]) for i in range(200)]
+    for part in range(2):
+        rows = wanted[part::2]
+        text = "number,error\r\n" + "".join('%s,"%s"\r\n' % (n, e.replace('"', '""')) for n, e in rows)
+        (tmp_path / f"log{part}.csv").write_bytes(text.encode() + b"\n")
+    if size:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        raw = readers.read_quoted_csv(spark, str(tmp_path))
+        got = sorted((int(r.number), r.error or "") for r in raw.collect())
+        tasks = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [n for n, _ in got] == list(range(200))
+    for (_, error), (_, expected) in zip(got, wanted):
+        assert error.replace("\r", "") == expected.replace("\r", "")
+    assert tasks > 50 if size else tasks < 9
+
+
+def test_rows_that_cannot_be_read_are_counted(spark, tmp_path):
+    lines = ["search_id,duration_ms,success", "1,2.5,true", "2,soon,true", "3", "x,1.0,perhaps", "", "5,,false", "6,1,true,more"]
+    (tmp_path / "log.csv").write_text("\n".join(lines))
+    raw = readers.read_quoted_csv(spark, str(tmp_path))
+    got = {r.what: r["count"] for r in readers.unreadable(raw, SEARCH_METRICS).collect()}
+    assert got == {"rows": 6, "misfits": 2, "search_id": 1, "duration_ms": 1, "success": 1}
