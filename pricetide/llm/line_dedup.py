@@ -113,8 +113,11 @@ def fingerprints(lines):
 def matches(documents, scratch):
     """Stretches of lines to compare: (id, text_hash, id_0, text_hash_0, shift, low, high).
 
-    Fingerprints of a document that have the same distance from their first places in the
-    same text make one stretch while they are near each other, extended on both sides.
+    The first place of a fingerprint in a document meets its first place of all, later ones
+    meet the place before in the same document, so lines that repeat at one distance have
+    one distance all along. Fingerprints of a document that have the same distance from
+    places in the same text make one stretch while they are near each other, extended on
+    both sides.
     """
     lines = documents.select("id", "text_hash", F.posexplode("lines").alias("at", "line"))
     lines = lines.select("id", "text_hash", "at", "line.hash", "line.size")
@@ -122,8 +125,21 @@ def matches(documents, scratch):
     again = prints.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1").select("gram")
     again = send_if_small(scratch.write(again, "grams"), BROADCAST_ROWS)
     prints = scratch.write(prints.join(again, "gram", "left_semi"), "fingerprints")
+    own = Window.partitionBy("id", "text_hash", "gram").orderBy("at")
+    prints = scratch.write(prints.withColumn("before", F.lag("at").over(own)), "fingerprints")
+    inside = prints.where("before is not null").select(
+        "id",
+        "text_hash",
+        "at",
+        F.col("id").alias("id_0"),
+        F.col("text_hash").alias("text_hash_0"),
+        (F.col("at") - F.col("before")).alias("shift"),
+    )
+    prints = prints.where("before is null").select("id", "text_hash", "at", "gram")
     first = prints.groupBy("gram").agg(F.min(F.struct("id", "text_hash", "at")).alias("first"))
-    found = prints.join(first, "gram").where(F.struct("id", "text_hash", "at") != F.col("first"))
+    # a passage that stands in very many texts meets its first place in several tasks
+    prints, first = split_hot_keys(prints, first, ["gram"], ["id", "text_hash"], rows_per_task=SPLIT_ROWS)
+    found = prints.join(first, ["gram", "_split"]).where(F.struct("id", "text_hash", "at") != F.col("first"))
     found = found.select(
         "id",
         "text_hash",
@@ -131,7 +147,7 @@ def matches(documents, scratch):
         F.col("first.id").alias("id_0"),
         F.col("first.text_hash").alias("text_hash_0"),
         (F.col("at") - F.col("first.at")).alias("shift"),
-    )
+    ).unionByName(inside)
     diagonal = ["id", "text_hash", "id_0", "text_hash_0", "shift"]
     order = Window.partitionBy(*diagonal).orderBy("at")
     gap = F.col("at") - F.lag("at").over(order) > AHEAD
@@ -211,7 +227,7 @@ def without_repeated_runs(docs, text="text", key="doc_id"):
     """`docs` without the later copies of runs of lines that repeat.
 
     Returns the columns of `docs` with the text that is left, `lines_deleted` and
-    `deleted` (first and last position of each deleted stretch, counting the lines of
+    `deleted`, which take the place of columns of these names (first and last position of each deleted stretch, counting the lines of
     `text_lines`, blank ones too, from 0). Texts come in the order of key and hash of the text; of a run
     that occurs again, in another text or further down in the same, the first one stays.
     What is deleted always occurs at an earlier place. A run of `RUN_BYTES` bytes or more
@@ -231,19 +247,21 @@ def without_repeated_runs(docs, text="text", key="doc_id"):
     unique = documents.groupBy("id", "text_hash").agg(F.count("*").alias("rows")).where("rows > 1")
     if not unique.isEmpty():
         documents = scratch.write(documents.dropDuplicates(["id", "text_hash"]), "lines")
-    named = [F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("runs").alias("deleted"), "lines_deleted"]
-    runs = scratch.write(later_runs(documents, scratch).select(*named), "runs")
+    runs = scratch.write(later_runs(documents, scratch), "runs")
     scratch.clear(runs)
-    rows = docs.withColumns(names).join(send_if_small(runs, BROADCAST_ROWS), ["_id", "_hash"], "left")
+    # the row goes as one column, beside which no name of its own can clash
+    rows = docs.select(
+        F.struct("*").alias("row"), names["_id"].alias("id"), names["_hash"].alias("text_hash"), F.col(text).alias("whole")
+    ).join(send_if_small(runs, BROADCAST_ROWS), ["id", "text_hash"], "left")
 
     def gone(i):
-        return F.exists("deleted", lambda run: (i >= run["first"]) & (i <= run["last"]))
-
-    cut = F.array_join(F.filter(text_lines(F.col(text)), lambda x, i: ~gone(i)), "")
-    some = F.col("deleted").isNotNull()
-    return rows.withColumns(
-        {
-            "lines_deleted": F.coalesce("lines_deleted", F.lit(0).cast("long")),
-            text: F.when(some, cut).otherwise(F.col(text)),
-        }
-    ).drop("_id", "_hash")
+        return F.exists("runs", lambda run: (i >= run["first"]) & (i <= run["last"]))
+
+    cut = F.array_join(F.filter(text_lines(F.col("whole")), lambda x, i: ~gone(i)), "")
+    left = F.when(F.col("runs").isNotNull(), cut).otherwise(F.col("whole"))
+    own = {text: left, "lines_deleted": F.coalesce("lines_deleted", F.lit(0).cast("long")), "deleted": F.col("runs")}
+    columns = [c for c in docs.columns if c not in ("lines_deleted", "deleted")]
+    return rows.select(
+        *[own[c].alias(c) if c == text else F.col("row").getField(c).alias(c) for c in columns],
+        *[own[c].alias(c) for c in ("deleted", "lines_deleted")],
+    )

@@ -5,6 +5,7 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pricetide.llm.bpe import Vocabulary, decoded, encoded
@@ -12,10 +13,11 @@ from pricetide.llm.components import components
 from pricetide.llm.decontamination import contained_items
 from pricetide.llm.exact_dedup import BLOCK, exact_duplicates
 from pricetide.llm.label_model import LabelModel
-from pricetide.llm.line_dedup import without_repeated_runs
+from pricetide.llm.line_dedup import matches, with_lines, without_repeated_runs
 from pricetide.llm.near_duplicates import near_duplicates
 from pricetide.llm.pseudonyms import Permutation, Pseudonyms, iban_check, pseudonymised
 from pricetide.llm.quality import quality_scores
+from pricetide.llm.scratch import Scratch
 from pricetide.llm.toxicity import toxicity_scores
 from pricetide.llm.warc import derivatives, page_text, read_records, responses, write_records
 from pricetide.llm.wordpiece import LongestMatch, piece_counts
@@ -340,3 +342,27 @@ def test_held_out_accuracy(spark, name, label, least):
     found = rows.select("score", label).toPandas()
     good, bad = found.score[found[label] == 1].to_numpy(), found.score[found[label] == 0].to_numpy()
     assert (good[:, None] > bad[None, :]).mean() > least
+
+
+def test_line_dedup_keeps_columns_with_names_of_its_own(spark):
+    line = "a line of several words that repeats"
+    rows = [(1, line, 5, "x", 7, 8), (2, "other words here first\n" + line, 6, "y", None, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lines_deleted int, deleted string, _id long, _hash int")
+    got = {r.doc_id: r.asDict() for r in without_repeated_runs(docs).collect()}
+    assert got[2]["text"] == "other words here first\n" and got[2]["lines_deleted"] == 1
+    assert (got[1]["_id"], got[1]["_hash"], got[2]["_id"], got[2]["_hash"]) == (7, 8, None, 9)
+    assert got[1]["lines_deleted"] == 0 and got[1]["deleted"] is None
+
+
+def test_lines_that_repeat_many_times_in_one_text_make_few_stretches(spark, tmp_path):
+    """Each repeat meets the one before, so they are compared along one distance, not each along its own."""
+    block = [" ".join(words(9, s)) + "." for s in range(8)]
+    texts = [(k, "\n".join(block * 60) + f"\nend {k}") for k in range(3)]
+    docs = spark.createDataFrame(texts, "id long, text string").withColumn("text_hash", F.xxhash64("text"))
+    scratch = Scratch(spark)
+    found = matches(with_lines(docs), scratch).collect()
+    assert len(found) < 30
+    got = without_repeated_runs(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    left = {r.doc_id: r.text for r in got}
+    assert left[0] == "\n".join(block) + "\nend 0"
+    assert all(not any(line in left[k] for line in block) for k in (1, 2))
