@@ -230,7 +230,9 @@ def batch_search(
     ranked, has_several, few = _ranks(index, searches, size)
     found = _total_hits(ranked)
     first = ranked.where("others is null").withColumn("behind", F.least("behind", F.col("first") + size))
-    hits = rows_of(index, first, SEARCH, few).withColumn("rank", (F.col("rank") - F.col("first") + 1).cast("int")).drop("first")
+    # each task keeps no more than the first of each search
+    hits = first_per_group(rows_of(index, first, SEARCH, few).drop("first"), SEARCH, ["rank"], size, "place")
+    hits = hits.withColumn("rank", F.col("place")).drop("place")
     if has_several:
         matched = _matches(index, ranked, few)
         steps = _steps(matched, searches.where(F.size("words") > 1))
