@@ -40,7 +40,7 @@ _kept = {}
 
 
 def kept(spark, folder, name, write):
-    """Path of a table made from the given ones that several queries search.
+    """Path of what is made from the given tables for several queries, as an index to search.
 
     The first of them in an application has it written, the others read it.
     """
@@ -678,9 +678,9 @@ def read_stream(spark, folder, table):
     return spark.readStream.schema(schema).parquet(f"{folder}/{table}.parque[t]")
 
 
-def price_stream_of(spark, folder, files=None):
+def price_stream_of(spark, folder, files=None, work=None):
     """A folder with the base, and what starts a stream of price changes on it, from so many files if told."""
-    work = shared_folder(spark, "price-stream")
+    work = work or shared_folder(spark, "price-stream")
     tables.merge_target(spark, folder).write.parquet(f"{work}/base")
     if files is None:
         changes = tables.price_changes_of(read_stream(spark, folder, "lineitem"))
@@ -731,12 +731,14 @@ def broken_off_stream(spark, folder):
         if batch_id == 1:
             raise RuntimeError("broken off on purpose")
 
-    work, start = price_stream_of(spark, folder, files=3)
-    try:
-        price_stream.finish(start(before_commit=break_off))
-    except StreamingQueryException:
-        price_stream.finish(start())
-    return work
+    def run(work):
+        _, start = price_stream_of(spark, folder, 3, work)
+        try:
+            price_stream.finish(start(before_commit=break_off))
+        except StreamingQueryException:
+            price_stream.finish(start())
+
+    return kept(spark, folder, "broken-off-stream", run)
 
 
 @query
@@ -754,17 +756,20 @@ def stream_replay_log(spark, folder):
 @query
 def stream_stop_and_go(spark, folder):
     """The table of a stream that is stopped after two of five batches, compacted, and goes on."""
-    work, start = price_stream_of(spark, folder, files=5)
 
-    def stop(batch_id):
-        if batch_id == 1:
-            price_stream.ask_to_stop(spark, f"{work}/state")
+    def run(work):
+        _, start = price_stream_of(spark, folder, 5, work)
+        base, state = f"{work}/base", f"{work}/state"
 
-    price_stream.finish(start(before_commit=stop))
-    base, state = f"{work}/base", f"{work}/state"
-    price_stream.compact(spark, base, state, f"{work}/base-2", order=tables.CHANGE_ORDER)
-    price_stream.finish(start())
-    return streamed_table(spark, work)
+        def stop(batch_id):
+            if batch_id == 1:
+                price_stream.ask_to_stop(spark, state)
+
+        price_stream.finish(start(before_commit=stop))
+        price_stream.compact(spark, base, state, f"{work}/base-2", order=tables.CHANGE_ORDER)
+        price_stream.finish(start())
+
+    return streamed_table(spark, kept(spark, folder, "stopped-stream", run))
 
 
 @query
