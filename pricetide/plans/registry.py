@@ -14,7 +14,7 @@ from pricetide.plans import driver_tables as tables
 from pricetide.schemas import SAMPLE, SEARCH_METRICS
 from pricetide.sources import readers, synthetic, writers
 from pricetide.streaming import log_stream, price_stream, search_stream
-from pricetide.workspace import shared_folder
+from pricetide.workspace import exists, shared_folder
 
 QUERIES = {}
 
@@ -45,7 +45,7 @@ def kept(spark, folder, name, write):
     The first of them in an application has it written, the others read it.
     """
     about = spark.sparkContext.applicationId, str(folder), name
-    if about not in _kept:
+    if about not in _kept or not exists(spark, _kept[about]):
         path = shared_folder(spark, name)
         write(path)
         _kept[about] = path

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pricetide.operators.merge import CHANGE_ORDER, PATCHED, latest_changes, patch_rows
 from pricetide.sources.writers import update_log_rows
 from pricetide.streaming.keyed_state import KEYS_PER_BUCKET, ROCKS_DB, latest_by_key, unpacked
+from pricetide.workspace import exists
 
 STOPPED = "the stream was asked to stop between two batches"
 
@@ -27,20 +28,9 @@ def _folder(state, kind, batch_id):
     return f"{state}/{kind}/batch={batch_id}"
 
 
-def _file_system(spark, path):
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
-
-
-def _exists(spark, path):
-    files, place = _file_system(spark, path)
-    return files.exists(place)
-
-
 def _delete(spark, path):
-    files, place = _file_system(spark, path)
-    files.delete(place, True)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def _write_batch(latest, batch_id, state, key, columns, started):
@@ -90,7 +80,7 @@ def apply_batch(batch, batch_id, base_path, state, key="isin", order=CHANGE_ORDE
 def _buckets(spark, base_path, state):
     """State buckets of the stream: settled by the size of the base when it first starts."""
     layout = f"{state}/layout"
-    if not _exists(spark, f"{layout}/_SUCCESS"):
+    if not exists(spark, f"{layout}/_SUCCESS"):
         rows = spark.read.parquet(base_path).agg(F.greatest(F.ceil(F.count("*") / KEYS_PER_BUCKET), F.lit(1)).alias("buckets"))
         rows.write.mode("overwrite").parquet(layout)
     return spark.read.parquet(layout).first().buckets
@@ -116,7 +106,7 @@ def start(changes, base_path, state, checkpoint, key="isin", order=CHANGE_ORDER,
 
     def run(batch, batch_id):
         spark = batch.sparkSession
-        if _exists(spark, f"{state}/stop"):
+        if exists(spark, f"{state}/stop"):
             raise RuntimeError(STOPPED)
         started = time.monotonic()
         # The state is read once: the batch is written first, then its parts are read from there.
@@ -164,7 +154,7 @@ def committed(spark, state, kind):
 
 def _base(spark, base_path, state):
     """The base to read: the one last compacted, or else the given one; and the batches it has taken in."""
-    if not _exists(spark, f"{state}/bases"):
+    if not exists(spark, f"{state}/bases"):
         return base_path, -1
     last = spark.read.parquet(f"{state}/bases").orderBy(F.desc("upto")).first()
     return last.path, last.upto

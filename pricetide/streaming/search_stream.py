@@ -12,6 +12,7 @@ from pricetide.functions.text import preview
 from pricetide.operators.batch_search import batch_search, valid_type
 from pricetide.operators.price_index import postings, read_index, write_index
 from pricetide.sources.writers import search_log_rows
+from pricetide.workspace import exists
 
 SAMPLE_SIZE = 3
 
@@ -81,8 +82,7 @@ def answer_batch(batch, batch_id, items_path, out, index_path=None, **table):
 
 def index_items(spark, items_path, path, key="isin", price="price", text="long_name"):
     """Write the price index of a snapshot, unless it is there; returns its path."""
-    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/heads/_SUCCESS")
-    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+    if not exists(spark, f"{path}/heads/_SUCCESS"):
         # what a run that was cut short has left is written over
         write_index(postings(spark.read.parquet(items_path), key, price, text), path, key, mode="overwrite")
     return path
