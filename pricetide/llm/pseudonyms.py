@@ -5,6 +5,11 @@ number within its format, and moved by a keyed permutation of all such numbers:
 network over the next even number of bits, walked on until it is back in the range. Equal
 values get equal pseudonyms in all documents, whatever signs stand between their digits;
 different values never get the same; and whoever has the key can go back.
+
+A date is moved among those of the same two centuries whose day and month lie in the same
+classes (`DAYS`, `MONTHS`), so it can be written with as many digits and in the same order
+as the original, however that was written, and is read the same way again. The smallest
+class of a block of years holds 1,800 dates.
 """
 
 import datetime
@@ -18,7 +23,10 @@ from pricetide.llm.shipping import map_batches
 
 ROUNDS = 10
 ROWS_AT_ONCE = 500
-FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
+#: Days of one digit, those that can be months as well, and those that cannot; months by their digits.
+DAYS, MONTHS = (range(1, 10), range(10, 13), range(13, 32)), (range(1, 10), range(10, 13))
+#: A date stays within its block of years, of which one begins with 1900.
+YEARS, FIRST_YEAR = 200, 1900
 _SOURCES = {
     "email": r"(?<![\w.+-])[\w.+-]+(?=@[\w-]+(?:\.[\w-]+)+)",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
@@ -83,6 +91,14 @@ def iban_check(country, account):
     return f"{98 - int(''.join(str(int(c, 36)) for c in text)) % 97:02d}"
 
 
+def is_date(year, month, day):
+    try:
+        datetime.date(year, month, day)
+    except ValueError:
+        return False
+    return True
+
+
 def like(template, signs, kinds=str.isalnum):
     """`template` with its signs of a kind replaced by `signs` in order."""
     signs = iter(signs)
@@ -170,24 +186,37 @@ class Pseudonyms:
         return ".".join(map(str, value.to_bytes(4, "big")))
 
     def date(self, text):
-        numbers = [int(n) for n in re.split(r"\D", text)]
-        year_first = numbers[0] > 99
-        year, month, day = numbers if year_first else reversed(numbers)
-        american = not year_first and "/" in text and day <= 12 < month
-        if american:  # only so is it a date at all; then it is written back that way
-            month, day = day, month
-        try:
-            value = datetime.date(year, month, day).toordinal()
-        except ValueError:
+        """The date in the order and with the zeros of the original."""
+        parts = re.split(r"\D", text)
+        order = "ymd" if len(parts[0]) == 4 else "dmy"
+        if "/" in text and int(parts[0]) <= 12 < int(parts[1]):
+            order = "mdy"  # only so is it a date at all
+        found = dict(zip(order, map(int, parts)))
+        made = self.moved_date(found["y"], found["m"], found["d"])
+        if made is None:
             return None
-        if not FIRST_DAY <= value <= LAST_DAY:
+        return like(text, "".join(f"{made[c]:0{len(part)}d}" for c, part in zip(order, parts)), str.isdigit)
+
+    def moved_date(self, year, month, day):
+        """{"y", "m", "d"} of the pseudonym, None where there is no such date.
+
+        The permutation is of all triples of the classes and is walked on until a triple is in the calendar.
+        """
+        if not is_date(year, month, day):
             return None
-        made = datetime.date.fromordinal(FIRST_DAY + self.move("date", LAST_DAY - FIRST_DAY + 1, value - FIRST_DAY))
-        if year_first:
-            return made.isoformat()
-        sep = re.search(r"\D", text)[0]
-        first, second = (made.month, made.day) if american else (made.day, made.month)
-        return f"{first:02d}{sep}{second:02d}{sep}{made.year}"
+        block = (year - FIRST_YEAR) // YEARS
+        first = FIRST_YEAR + block * YEARS
+        days = next(r for r in DAYS if day in r)
+        months = next(r for r in MONTHS if month in r)
+        value = ((year - first) * len(months) + months.index(month)) * len(days) + days.index(day)
+        kind = f"date {block} {months[0]} {days[0]}"
+        while True:
+            value = self.move(kind, YEARS * len(months) * len(days), value)
+            rest, day = divmod(value, len(days))
+            year, month = divmod(rest, len(months))
+            made = {"y": first + year, "m": months[month], "d": days[day]}
+            if is_date(made["y"], made["m"], made["d"]):
+                return made
 
     def ssn(self, text):
         area, group, serial = (int(p) for p in text.split("-"))
@@ -274,8 +303,8 @@ def pseudonymised(docs, secret, text="text", key="doc_id", undo=False):
     """Every row of `docs` with its personal values replaced: doc_id, text, values.
 
     `values` names the kind, the place in the original text (in code points) and the
-    pseudonym of each. Found are mail names, IBANs, IPv4 addresses, dates from 1900 to
-    2099, social security, North American telephone and payment card numbers; what does
+    pseudonym of each. Found are mail names, IBANs, IPv4 addresses, dates of the years 1
+    to 9999, social security, North American telephone and payment card numbers; what does
     not validate stays as it is. With `undo` and the same secret the originals come back,
     unless signs beside a pseudonym happen to make another valid number with it.
 

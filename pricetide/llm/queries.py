@@ -1,6 +1,7 @@
 """The queries of this subpackage and their SQL twins."""
 
 import os
+import secrets
 
 from pyspark.sql import functions as F
 
@@ -20,8 +21,8 @@ from pricetide.llm.wordpiece import piece_counts
 
 QUERIES = {}
 ORACLE_SQL = {}
-#: The key of the pseudonyms; one's own comes from the environment.
-SECRET = os.environ.get("PRICETIDE_SECRET", "pseudonyms of the registered query").encode()
+#: The key of the pseudonyms. Without one in the environment each process draws its own, which nobody can undo later.
+SECRET = os.environ.get("PRICETIDE_SECRET", secrets.token_hex()).encode()
 
 
 def query(function):
