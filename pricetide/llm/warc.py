@@ -35,83 +35,129 @@ HEADERS = {
     "Content-Type": "content_type",
 }
 VERSION = "WARC/1.1"
-_SKIPPED = re.compile(r"<!--|<(/?)(script|style|noscript|template|svg)\b", re.I)
-_TAG_END = re.compile(r"""(?:"[^"]*"|'[^']*'|[^>"'])*+>|[^>]*>""")
-_COMMENT_END = re.compile(r"--!?>")
-_RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in ("script", "style")}
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
-_LINK = re.compile(
-    r"""<(a|area|link|img|script|iframe|source)\b[^>]*?\s(href|src)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", re.S | re.I
+_MARKUP = re.compile(r"<(?:(!--)|(!|\?(?=[a-zA-Z]))|(/?)([a-zA-Z][^\s/>]*+))")
+#: What follows a tag's name: signs up to the first > that is in no quoted value.
+_ATTRIBUTES = re.compile(r"""((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+)>""")
+_ADDRESS = re.compile(
+    r"""(?:^|[\s/"'])(href|src)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++))|=\s*+(?:"[^"]*+"|'[^']*+')""", re.I
 )
-_BREAK = re.compile(
-    r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|head|header|hr|html|"
-    r"li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*>",
-    re.I,
+_COMMENT_END = re.compile(r"--!?>")
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in ("script", "style")}
+#: Elements whose content is not shown, though it is markup.
+UNSHOWN = {"noscript", "template", "svg"}
+LINKING = {"a", "area", "link", "img", "script", "iframe", "source"}
+BREAKS = set(
+    "address article aside blockquote body br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 head header hr "
+    "html li main nav ol p pre section table tbody td tfoot th thead title tr ul".split()
 )
-_TAG = re.compile(r"<[/!?]?[a-zA-Z][^>]*>|<![^>]*>")
 _BLANK = re.compile(r"[ \t\r\f\v]+")
 _LINES = re.compile(r" ?\n[ \n]*")
 
 
-def hidden_spans(page):
-    """(start, stop) of comments and of elements whose content is not shown.
+def markup(page):
+    """(start, stop, name, closes, attributes) of the tags, comments ("!--") and declarations ("") of a page.
 
-    A self-closed tag hides itself alone, as does what opens a comment, svg, noscript or
-    template that nothing closes. The content of script and style is no markup: without
-    an end it goes on to the page's end, also behind a tag that ends in a slash.
+    A script or style goes from its tag to the end of its end tag, without one to the page's
+    end. Of a comment that nothing closes only the opening is one. A tag without an end
+    though quotes are open turns the quotes of the rest of the page into common signs, so
+    that no part is looked at more than a few times; what has no > behind it is text.
     """
-    spans, opened, at, endless = [], {}, 0, False
-    while found := _SKIPPED.search(page, at):
+    at, quotes, comments = 0, True, True
+    while found := _MARKUP.search(page, at):
         start, at = found.span()
-        if found[2] is None:
-            end = None if endless else _COMMENT_END.search(page, start + 2)
-            endless = end is None
+        name = (found[4] or "").lower()
+        if found[1]:
+            end = _COMMENT_END.search(page, start + 2) if comments else None
+            comments = end is not None
             at = end.end() if end else at
-            spans.append((start, at))
+            yield start, at, "!--", False, ""
             continue
-        name, tag = found[2].lower(), _TAG_END.match(page, at)
-        at = tag.end() if tag else at
-        if name in _RAW_END:
-            if not found[1]:
-                end = _RAW_END[name].search(page, at)
-                at = end.end() if end else len(page)
-            spans.append((start, at))
-        elif found[1]:
-            spans.append((opened[name].pop() if opened.get(name) else start, at))
-        elif page[at - 2 : at] == "/>":
-            spans.append((start, at))
+        tag = _ATTRIBUTES.match(page, at) if quotes and name else None
+        if tag:
+            attributes, at = tag[1], tag.end()
         else:
-            spans.append((start, at))
-            opened.setdefault(name, []).append(start)
+            quotes = quotes and not name
+            end = page.find(">", at)
+            if end < 0:
+                return
+            attributes, at = page[at:end], end + 1
+        if name in _RAW_END and not found[3]:
+            end = _RAW_END[name].search(page, at)
+            at = (page.find(">", end.end()) + 1 or len(page)) if end else len(page)
+        yield start, at, name, bool(found[3]), attributes
+
+
+def hidden_spans(found):
+    """(start, stop) of comments and of elements whose content is not shown, of what `markup` found.
+
+    A self-closed tag hides itself alone, as does what opens an svg, noscript or template
+    that nothing closes.
+    """
+    spans, opened = [], {}
+    for start, stop, name, closes, attributes in found:
+        if name == "!--" or name in _RAW_END:
+            spans.append((start, stop))
+        elif name in UNSHOWN:
+            first = opened[name].pop() if closes and opened.get(name) else start
+            spans.append((first, stop))
+            if not closes and not attributes.endswith("/"):
+                opened.setdefault(name, []).append(start)
     return spans
 
 
-def without_hidden(page):
-    """The page with a space for each hidden span."""
-    out, end = [], 0
-    for start, stop in sorted(hidden_spans(page)):
+def shown(page, found):
+    """The visible text of a page, a line for each block of it, and the text of its title (None without one)."""
+    hidden = [(a, b, " ", "") for a, b in hidden_spans(found)]
+    tags = [
+        (start, stop, "\n" if name in BREAKS else "", "/" * closes + name)
+        for start, stop, name, closes, _ in found
+        if name != "!--" and name not in _RAW_END and name not in UNSHOWN
+    ]
+    out, end, title = [], 0, None
+    for start, stop, sign, name in sorted(hidden + tags):
         if start >= end:
-            out += [page[end:start], " "]
+            out += [page[end:start], sign]
+            if name == "title" and title is None:
+                title = len(out)
+            elif name == "/title" and isinstance(title, int):
+                title = plain_text("".join(out[title:]))
         end = max(end, stop)
-    return "".join(out) + page[end:]
+    return plain_text("".join([*out, page[end:]])), title if isinstance(title, str) else None
+
+
+def plain_text(text):
+    """Text between tags, line breaks put in as lines; those of the source are none."""
+    if "&" in text:
+        text = html.unescape(text)
+    return _LINES.sub("\n", _BLANK.sub(" ", text)).strip()
+
+
+def links_of(found):
+    """[{path, url}] of the tags that `markup` found: the first href or src that has a value."""
+    links = []
+    for _, _, name, closes, attributes in found:
+        if name in LINKING and not closes:
+            address = next((m for m in _ADDRESS.finditer(attributes) if m[1]), None)
+            if address:
+                links.append({"path": name, "url": html.unescape(address[2] or address[3] or address[4] or "")})
+    return links
+
+
+def page_facts(page):
+    """(text, title, links) of a page, read once."""
+    page = page.replace("\n", " ")
+    found = list(markup(page))
+    return *shown(page, found), links_of(found)
 
 
 def page_text(page):
     """The visible text of a page, a line for each block of it."""
-    page = without_hidden(page)
-    page = page.replace("\n", " ")
-    page = _TAG.sub("", _BREAK.sub("\n", page))
-    if "&" in page:
-        page = html.unescape(page)
-    return _LINES.sub("\n", _BLANK.sub(" ", page)).strip()
+    return page_facts(page)[0]
 
 
 def page_links(page):
-    """[(tag, url)] in the order of the page."""
-    found = []
-    for tag, _, url in _LINK.findall(page):
-        found.append({"path": tag.lower(), "url": html.unescape(url.strip("\"'"))})
-    return found
+    """[{path, url}] in the order of the page; comments and scripts hold none."""
+    return page_facts(page)[2]
 
 
 def digest(data):
@@ -149,8 +195,8 @@ def _derive(row):
     status, headers, body = split_response(block)
     page = body_text(headers, body)
     payload = row["payload_digest"] or digest(body)
-    text = page_text(page).encode()
-    title = _TITLE.search(page)
+    text, title, links = page_facts(page)
+    text = text.encode()
     conversion_id = record_name("conversion", source, payload)
     facts = {
         "source": {
@@ -162,8 +208,8 @@ def _derive(row):
             "Content-Length": len(block),
         },
         "http": {"status": status, "headers": headers},
-        "title": page_text(title[1]) if title else None,
-        "links": page_links(page),
+        "title": title,
+        "links": links,
         "conversion": conversion_id,
     }
     metadata = json.dumps(facts, ensure_ascii=False, sort_keys=True).encode()

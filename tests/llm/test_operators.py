@@ -2,6 +2,7 @@ import hashlib
 import random
 import datetime
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -20,7 +21,7 @@ from pricetide.llm.pseudonyms import Permutation, Pseudonyms, iban_check, pseudo
 from pricetide.llm.quality import quality_scores
 from pricetide.llm.scratch import Scratch
 from pricetide.llm.toxicity import toxicity_scores
-from pricetide.llm.warc import derivatives, page_text, read_records, responses, write_records
+from pricetide.llm.warc import derivatives, page_facts, page_links, page_text, read_records, responses, write_records
 from pricetide.llm.wordpiece import LongestMatch, piece_counts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -325,6 +326,14 @@ def test_records_refer_to_their_sources(spark, tmp_path):
 
     assert plain(back) == plain(records)
     assert derivatives(source.limit(0)).collect() == []
+    # a response of another character set keeps its bytes
+    block = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=latin-1\r\n\r\n<p>caf\u00e9</p>".encode("latin-1")
+    other = source.limit(1).withColumn("block", F.lit(bytearray(block)))
+    path = str(tmp_path / "bytes.warc")
+    write_records(other, path)
+    again = read_records(spark, path)
+    assert [bytes(r.block) for r in again.collect()] == [block]
+    assert [bytes(r.block).decode() for r in derivatives(again).where("record_type = 'conversion'").collect()] == ["caf\u00e9"]
 
 
 @pytest.mark.parametrize(
@@ -339,12 +348,41 @@ def test_records_refer_to_their_sources(spark, tmp_path):
         ("a<!-->b<!--->c<!-- no --!>d", "a b c d"),
         ("a<svg>no<svg>no</svg>no</svg>b<svg/>c", "a b c"),
         ("a<script>'<svg><!--'</script>b<style>no", "a b"),
+        ('<p title="a>b">c</p><p title = \'"a>b\'>d</p>', "c\nd"),
+        ('a<svg><noscript>no</svg>no</noscript>b', "a b"),
+        ("a < b <3 </ c <p", "a < b <3 </ c <p"),
+        ('a<b x=">c<i>d</i>', "acd"),
+        ("a<!DOCTYPE html>b<?xml x?>c<em>d</em>&lt;p&gt;", "abcd<p>"),
+        ("a<script/>no</script x>b<script>no</scripts>no", "a b"),
     ],
 )
 def test_text_behind_unclosed_and_self_closed_tags_stays(page, text):
     assert page_text(page) == text
 
 
+def test_links_and_titles_of_pages():
+    page = """<svg><title>no</title></svg><title>A<b> &amp; </b>B</title><!-- <a href="/no"> --><script src=/s.js>'<a href="/no">'</script>
+    <a title="x>y" href="/z">t</a><a data-href="/no" title=" href='/no' " HREF = '/q?a=1&amp;b'>u</a><a name=x>v</a></a href="/no">
+    <img alt="" src=i.png><p href="/no"><a href="">w</a><title>C</title>"""
+    text, title, links = page_facts(page)
+    assert title == "A & B" and text.startswith("A & B")
+    assert [(x["path"], x["url"]) for x in links] == [("script", "/s.js"), ("a", "/z"), ("a", "/q?a=1&b"), ("img", "i.png"), ("a", "")]
+    assert page_facts("<title>x")[1:] == (None, []) and page_facts("") == ("", None, [])
+
+
+@pytest.mark.parametrize(
+    "part",
+    ["<a ", "<svg ", "<svg>", "</svg>", "<title>", "<!--", "<!", "<script ", "</script", "<a<", "<a x=\"", "<a x='>", '<a x=">" ', "<?a", "=", "<a href=", "<a =\"'", "&#"],
+)
+def test_broken_pages_take_linear_time(part):
+    """A page of 300 KB of one broken part; going over the rest for each of them would take minutes."""
+    for end in ("", ">", '"'):
+        for begin in ("", "<script>", "<p "):
+            began = time.process_time()
+            page_facts(begin + part * (300_000 // len(part)) + end)
+            assert time.process_time() - began < 2
+
+
 def test_label_model_finds_the_good_voters():
     pick = np.random.default_rng(1)
     truth = pick.random(4000) < 0.3
