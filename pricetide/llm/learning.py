@@ -5,6 +5,7 @@ import io
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from pricetide.llm.shipping import map_batches
 
@@ -90,6 +91,18 @@ def fit(sample, features, size, epochs, schema="order long, text string, label d
     return weights
 
 
+def with_scores(docs, score, name, text="text"):
+    """The rows of `docs` as they are, and their scores as a last column of this name."""
+    place = docs.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            scores = np.clip(score(batch.column(place)), 0.0, 1.0).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, name])
+
+    return map_batches(docs, run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+
+
 def scored(docs, score, threshold, text="text", key="doc_id"):
     """doc_id, held_out, score and predicted of every document; `score(column)` scores texts."""
 

@@ -10,6 +10,8 @@ import pyarrow as pa
 import pricetide
 
 _shipped = set()
+#: Rows in an Arrow batch at most. Executor and worker both hold whole batches, and texts are long.
+BATCH_ROWS, _ROWS_SETTING, _SPARKS_OWN = 2_000, "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
 
 
 def ship(spark):
@@ -43,7 +45,13 @@ def hand_back_memory():
 
 
 def map_batches(df, function, schema):
-    """`function` over the Arrow batches of each partition; workers hand back memory at a task's end."""
+    """`function` over the Arrow batches of each partition; workers hand back memory at a task's end.
+
+    Where the session has Spark's own batch size, it gets `BATCH_ROWS`.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_ROWS_SETTING) == _SPARKS_OWN:
+        conf.set(_ROWS_SETTING, str(BATCH_ROWS))
 
     def run(batches):
         yield from function(batches)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from pricetide.llm.label_model import LabelModel
-from pricetide.llm.learning import fit, labelled_sample, scored
+from pricetide.llm.learning import fit, labelled_sample, scored, with_scores
 from pricetide.llm.shipping import map_batches
 from pricetide.llm.words import NOT_LETTERS, mix, pieces, running_hash, shingles, span_hashes, sums, word_bounds
 
@@ -219,3 +219,20 @@ def toxicity_scores(docs, labels, rows=SAMPLE_ROWS, threshold=THRESHOLD, text="t
     """
     weights, _ = train(docs, labels, rows, text, key, label)
     return scored(docs, scorer(weights), threshold, text, key)
+
+
+def without_toxic(docs, labels, rows=SAMPLE_ROWS, threshold=THRESHOLD, text="text", key="doc_id", label="toxic"):
+    """The rows of `docs` that `toxicity_scores` scores under `threshold`, with all their columns.
+
+    Each row is judged by its own text: rows with a null or repeated id go or stay like others.
+    Null and empty texts have the score of the bias. Where there are no labels every score is
+    0.5 and tells nothing, so all rows stay. No rows give no rows.
+    """
+    weights, model = train(docs, labels, rows, text, key, label)
+    if model is None or not weights.any():
+        return docs
+    name = "score"
+    while name in docs.columns:
+        name += "_"
+    judged = with_scores(docs, scorer(weights), name, text)
+    return judged.where(F.col(name) < threshold).select(*docs.columns)
