@@ -223,10 +223,19 @@ def _double(band, units):
     return F.when(F.abs(band) == INFINITE, endless).otherwise(finite)
 
 
-def interval_totals(windows, points, ts, value, keys, broadcast_rows=BROADCAST_ROWS):
-    """Number and mean of the values inside each window, without making pairs.
+def measured_points(windows, points, ts, value):
+    """Points with a number as `value` in the time that the windows span, as `at` and `value`."""
+    windows = windows.where(F.col("window_end") >= F.col("window_start"))
+    first, last = windows.agg(F.min("window_start")).scalar(), windows.agg(F.max("window_end")).scalar()
+    return points.where(F.col(ts).between(first, last)).select(
+        micros(F.col(ts)).alias("at"), F.col(value).try_cast("double").alias("value")
+    ).where(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def interval_sums(windows, points, ts, value, keys, broadcast_rows=BROADCAST_ROWS):
+    """Number and sum of the values inside each window, without making pairs.
 
-    Both are differences of running totals over time, at the end and at the start of a
+    `first` is the number of `measured_points` before a window. Number and sum are differences of running totals over time, at the end and at the start of a
     window, so the cost does not depend on how much windows overlap. Points outside the
     time the windows span are cut off first; points that share a cell of time with no
     window bound combine before the shuffle; a bin holds at most a row per microsecond and
@@ -235,17 +244,14 @@ def interval_totals(windows, points, ts, value, keys, broadcast_rows=BROADCAST_R
     ones elsewhere. NULL and NaN are left out, infinities count. `keys` tell windows
     apart; windows without points are left out.
     """
+    points = measured_points(windows, points, ts, value)
     windows = windows.where(F.col("window_end") >= F.col("window_start"))
-    first, last = windows.agg(F.min("window_start")).scalar(), windows.agg(F.max("window_end")).scalar()
     windows = windows.select(
         *keys, micros(F.col("window_start")).alias("_from"), micros(F.col("window_end")).alias("_to")
     )
     length = F.avg(F.col("_to") - F.col("_from"))
     cell = windows.agg(F.greatest(length / CELLS_PER_WINDOW, F.lit(1000.0))).scalar()
     cell = F.coalesce(cell, F.lit(1000.0))
-    points = points.where(F.col(ts).between(first, last)).select(
-        micros(F.col(ts)).alias("at"), F.col(value).try_cast("double").alias("value")
-    ).where(F.col("value").isNotNull() & ~F.isnan("value"))
     band, units = _exact(F.col("value"))
     points = points.select("at", band.alias("band"), units.alias("units"))
     # at most 66 numbers
@@ -282,10 +288,18 @@ def interval_totals(windows, points, ts, value, keys, broadcast_rows=BROADCAST_R
         return upto - F.max(F.when(F.col("side") == 0, F.col(name)))
 
     per_band = steps.where("side != 1").groupBy(*keys, "band").agg(
+        F.max(F.when(F.col("side") == 0, F.col("n_upto"))).cast("long").alias("first"),
         inside("n_upto").cast("long").alias("n"), inside("total_upto").alias("units")
     )
     found = per_band.groupBy(*keys).agg(
-        F.sum("n").alias("count"), F.sum(_double(F.col("band"), F.col("units"))).alias("total")
+        F.sum("first").alias("first"),
+        F.sum("n").alias("count"),
+        F.sum(_double(F.col("band"), F.col("units"))).alias("total"),
     )
-    mean = F.col("total") / F.col("count")
-    return found.where(F.col("count") > 0).select(*keys, "count", mean.alias("mean"))
+    return found.where(F.col("count") > 0)
+
+
+def interval_totals(windows, points, ts, value, keys, broadcast_rows=BROADCAST_ROWS):
+    """Number and mean of the values inside each window, see `interval_sums`."""
+    found = interval_sums(windows, points, ts, value, keys, broadcast_rows)
+    return found.select(*keys, "count", (F.col("total") / F.col("count")).alias("mean"))

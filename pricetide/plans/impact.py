@@ -2,6 +2,7 @@
 
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pricetide.functions.measures import (
@@ -11,9 +12,17 @@ from pricetide.functions.measures import (
     impact_percent,
     signed_percent,
 )
-from pricetide.operators.intervals import interval_join, interval_totals, mark_inside, windows_of
-from pricetide.operators.quantiles import value_counts
-from pricetide.plans.search_report import successful, summary_of_counts
+from pricetide.operators.intervals import (
+    interval_join,
+    interval_sums,
+    interval_totals,
+    mark_inside,
+    measured_points,
+    windows_of,
+)
+from pricetide.operators.stretches import values_at_ranks
+from pricetide.plans.search_report import successful
+from pricetide.workspace import stage
 
 WINDOW = ["update_timestamp", "iteration"]
 ABOUT = ["update_duration", "updates_per_second"]
@@ -74,16 +83,42 @@ def impact_by_type(updates, searches, by="query_type", stamp="start", **options)
 
 
 def window_stats(updates, searches, stamp="start", **options):
-    """Search count and mean, median and longest duration of each window with searches."""
-    pairs = searches_during(updates, searches, stamp, **options)
-    counts = value_counts(pairs, WINDOW, "duration_ms", ABOUT)
-    return summary_of_counts(counts, WINDOW, ABOUT).select(
+    """Search count and mean, median and longest duration of each window with searches, made without pairs."""
+    points, bounds = successful(searches), ["window_start", "window_end"]
+    windows = update_windows(updates, stamp).where(F.col("iteration").isNotNull())
+    windows = windows.groupBy(*WINDOW, *bounds).agg(
+        F.count("*").alias("weight"), *[F.max(c).alias(c) for c in ABOUT]
+    )
+    windows = stage(windows, "windows")
+    sums = interval_sums(windows, points, "timestamp", "duration_ms", [*WINDOW, *bounds], **options)
+    # rows of one stamp and iteration are one window, of whatever pieces
+    pieces = stage(windows.join(sums, [*WINDOW, *bounds]), "window-sums")
+    weight = F.col("weight")
+    basics = pieces.groupBy(*WINDOW).agg(
+        *[F.max(c).alias(c) for c in ABOUT],
+        F.sum(weight * F.col("count")).alias("search_count"),
+        F.sum(weight * F.col("total")).alias("total"),
+    )
+    last = F.sum(weight * F.col("count")).over(Window.partitionBy(*WINDOW)) - 1
+    stretches = pieces.select(
+        *WINDOW,
+        "weight",
+        "first",
+        (F.col("first") + F.col("count")).alias("behind"),
+        F.floor(last / 2).alias("low"),
+        F.ceil(last / 2).alias("high"),
+        last.alias("top"),
+    )
+    values = measured_points(windows, points, "timestamp", "duration_ms")
+    ranked = values_at_ranks(values, ["at"], stretches, WINDOW, ["low", "high", "top"])
+    low, high = F.col("low"), F.col("high")
+    return basics.join(ranked, WINDOW).select(
         *WINDOW,
         *ABOUT,
-        F.col("count").alias("search_count"),
-        F.col("mean").alias("avg_search_duration"),
-        F.col("median").alias("median_search_duration"),
-        F.col("max").alias("max_search_duration"),
+        "search_count",
+        (F.col("total") / F.col("search_count")).alias("avg_search_duration"),
+        F.when(low == high, low).otherwise(low + (high - low) * 0.5).alias("median_search_duration"),
+        F.col("top").alias("max_search_duration"),
     )
 
 

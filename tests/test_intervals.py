@@ -200,3 +200,29 @@ def test_times_that_are_no_numbers_count_nowhere(spark):
     )
     row = impact.update_impact(updates, literal).first()
     assert (row.during, row.outside) == (1.0, 4.0)
+
+
+def test_window_stats_of_overlapping_windows_need_no_pairs(spark, rows, monkeypatch):
+    """Every window holds thousands of searches, one comes twice, one stands in two lengths under one name."""
+    seconds = [(i * 3, 4000.0 + i % 7) for i in range(300)] + [(5e5, 1.0), (0, 0.0)]
+    updates, _ = frames(spark, [*seconds, (9, 4003.0)], [])
+    number = F.when(F.col("iteration") == len(seconds) + 1, 4).otherwise(F.col("iteration"))
+    updates = updates.withColumn("iteration", number).union(updates.where("iteration = 2"))
+    made = [(at(k * 1.25), k, k % 5 > 0, float(k * k % 97) if k % 11 else float("nan")) for k in range(4000)]
+    searches = spark.createDataFrame(made, "timestamp timestamp, search_id long, success boolean, duration_ms double")
+    pairs = impact.searches_during(updates, searches).where("not isnan(duration_ms)").groupBy(*impact.WINDOW)
+    expected = pairs.agg(
+        F.count("*"), F.round(F.avg("duration_ms"), 6), F.expr("percentile(duration_ms, 0.5)"), F.max("duration_ms")
+    )
+    expected = rows(expected)
+    monkeypatch.setattr(impact, "interval_join", None)
+    for broadcast_rows in (100_000, 0):
+        found = impact.window_stats(updates, searches, broadcast_rows=broadcast_rows).select(
+            *impact.WINDOW,
+            "search_count",
+            F.round("avg_search_duration", 6),
+            "median_search_duration",
+            "max_search_duration",
+        )
+        assert rows(found) == expected
+    assert max(r[2] for r in expected) > 4000 and len(expected) >= 300
