@@ -678,16 +678,20 @@ def read_stream(spark, folder, table):
     return spark.readStream.schema(schema).parquet(f"{folder}/{table}.parque[t]")
 
 
-def price_stream_of(spark, folder, files=None, work=None):
-    """A folder with the base, and what starts a stream of price changes on it, from so many files if told."""
+#: Files of a micro-batch of a stream in several: its rows are written and read by as many tasks.
+FILES_PER_BATCH = 8
+
+
+def price_stream_of(spark, folder, batches=None, work=None):
+    """A folder with the base, and what starts a stream of price changes on it, in so many batches if told."""
     work = work or shared_folder(spark, "price-stream")
     tables.merge_target(spark, folder).write.parquet(f"{work}/base")
-    if files is None:
+    if batches is None:
         changes = tables.price_changes_of(read_stream(spark, folder, "lineitem"))
     else:
         rows = tables.price_changes(spark, folder)
-        rows.repartition(files, F.rand(1)).write.parquet(f"{work}/changes")
-        changes = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/changes")
+        rows.repartition(batches * FILES_PER_BATCH, F.rand(1)).write.parquet(f"{work}/changes")
+        changes = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(f"{work}/changes")
 
     def start(**options):
         paths = f"{work}/base", f"{work}/state", f"{work}/checkpoint"

@@ -1,5 +1,8 @@
 import bisect
+import random
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -8,7 +11,7 @@ from pricetide.operators import merge
 from pricetide.plans import driver_tables as tables
 from pricetide.plans import search_report
 from pricetide.schemas import SEARCH_METRICS
-from pricetide.streaming import log_stream, price_stream, search_stream
+from pricetide.streaming import keyed_state, log_stream, price_stream, search_stream
 
 SF = "/root/testdata/sf0.001"
 ORDER = tables.CHANGE_ORDER
@@ -246,3 +249,40 @@ def test_summaries_leave_out_what_is_no_number(spark, tmp_path):
     assert (row["mean"], row["max"], row["count"]) == (3.0, 4.0, 2)
     found = {r.query_type: (r["count"], r.median) for r in search_report.sketch_summary(rows, ["query_type"], "duration_ms").collect()}
     assert found["b"] == (0, None) and found["a"][0] == 2
+
+
+class OneValue:
+    """A value state outside a stream."""
+
+    value = None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def test_changes_come_packed_by_bucket_and_the_latest_of_each_key_is_kept():
+    chance = random.Random(3)
+    rows = [
+        {"bucket": k % 3, "key": None if k % 50 == 7 else f"{k % 3}-{chance.randrange(9)}", "o0": chance.randrange(40), "o1": k, "payload": f"p{k}"}
+        for k in range(2000)
+    ]
+    batches = pa.Table.from_pylist(rows).to_batches(max_chunksize=300)
+    packed = [b.to_pandas() for b in keyed_state.packed_by_bucket(["key", "o0", "o1", "payload"])(iter(batches))]
+    # a row for each bucket, not for each change
+    assert [list(p["bucket"]) for p in packed] == [[0, 1, 2]]
+    state = keyed_state.LatestChanges(2)
+    state.kept = OneValue()
+    state.handleInitialState((1,), pd.DataFrame({"key": [f"1-{i}" for i in range(8)]}), None)
+    # what has no key and what the base does not have is not kept; a second, older batch changes nothing
+    mine = [r for r in rows if r["bucket"] == 1 and r["key"]]
+    latest = {r["key"]: r for r in sorted(mine, key=lambda r: (r["o0"], r["o1"]))}
+    found = next(state.handleInputRows((1,), iter([packed[0].iloc[1:2]]), None)).set_index("key")
+    assert set(found.index) == set(latest) and not found["late"].any()
+    for key, row in found.iterrows():
+        assert (row.known, row.payload) == (key != "1-8", latest[key]["payload"])
+        assert row.changes == sum(r["key"] == key for r in mine)
+    again = next(state.handleInputRows((1,), iter([pd.DataFrame({"key": [["1-1", "1-8", None]], "o0": [[0, 0, 0]], "o1": [[-1, 0, 0]], "payload": [["a", "b", "c"]]})]), None))
+    assert [tuple(r) for r in again.itertuples(index=False)] == [("1-1", True, None, 1, 1), ("1-8", False, "b", 1, 0)]
