@@ -11,23 +11,46 @@ from pyspark.sql import functions as F
 from pricetide.functions.text import query_terms, tokens
 
 
-def build(df, text, key="isin"):
-    """Key, word, how often it occurs in the text, and the words of the text in all.
+def word_counts(df, text, key="isin"):
+    """Key, word, how often it occurs in the text, and the words of the text in all, counted row by row.
 
     A text without words has the row of the empty word only; without text there is no row.
     """
-    words = df.select(key, tokens(F.col(text)).alias("_words"))
-    every = F.array_append("_words", F.lit(""))
-    return (
-        words.select(key, F.size("_words").alias("length"), F.explode(every).alias("word"))
-        .groupBy(key, "word", "length")
-        .agg(F.count("*").alias("times"))
+    rows = df.select(key, F.array_sort(tokens(F.col(text))).alias("_words")).withColumn("length", F.size("_words"))
+    # places behind the last of each word, among the sorted words
+    last = F.filter(
+        F.sequence(F.lit(1), "length"),
+        lambda i: (i == F.col("length")) | (F.get("_words", i) != F.get("_words", i - 1)),
     )
+    rows = rows.withColumn("_ends", F.when(F.col("length") > 0, last).otherwise(F.array().cast("array<int>")))
+
+    def counted(end, i):
+        times = end - F.coalesce(F.get("_ends", i - 1), F.lit(0))
+        return F.struct(F.get("_words", end - 1).alias("word"), times.cast("long").alias("times"))
+
+    empty = F.struct(F.lit("").alias("word"), F.lit(1).cast("long").alias("times"))
+    every = F.array_append(F.transform("_ends", counted), empty)
+    return rows.where(F.col("_words").isNotNull()).select(key, "length", F.inline(every))
+
+
+def _merged(words, key):
+    """Rows of one key, word and length as one, as keys may repeat."""
+    return words.groupBy(key, "word", "length").agg(F.sum("times").alias("times"))
+
+
+def build(df, text, key="isin"):
+    """The words of `word_counts`, a row for each key, word and length."""
+    return _merged(word_counts(df, text, key), key)
 
 
 def write(words, path, key="isin"):
-    """Write the words in order. A frequent word takes as many files as it needs."""
-    words.repartitionByRange("word", key).sortWithinPartitions("word", key).write.parquet(path)
+    """Write the words in order. A frequent word takes as many files as it needs.
+
+    Rows of one key, word and length become one where they are sorted, so `word_counts` go
+    through one shuffle.
+    """
+    dealt = words.select(key, "word", "length", "times").repartitionByRange("word", key)
+    _merged(dealt, key).sortWithinPartitions("word", key).write.parquet(path)
 
 
 def statistics(df, text):

@@ -87,7 +87,7 @@ def text_bm25_top3(spark, folder):
 
 def written_words(spark, folder):
     def write(path):
-        word_table.write(word_table.build(tables.docs(spark, folder), "text", "doc_id"), path, "doc_id")
+        word_table.write(word_table.word_counts(tables.docs(spark, folder), "text", "doc_id"), path, "doc_id")
 
     return spark.read.parquet(kept(spark, folder, "words", write))
 
