@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pricetide.functions.measures import capped_hits
 from pricetide.functions.text import tokens
-from pricetide.operators.price_index import HIGHEST, LOWEST, postings, rows_of, slices, write_index
+from pricetide.operators.price_index import HIGHEST, LOWEST, of_words, postings, rows_of, slices, write_index
 from pricetide.operators.ranking import first_per_group, running_total
 from pricetide.operators.skew import BROADCAST_ROWS
 from pricetide.schemas import QUERY_TYPES
@@ -193,6 +193,7 @@ def batch_totals(
     asked = _asked(queries, text, check_types)
     searches = stage(asked.select("words", *SEARCH).distinct(), "searches")
     index = index or _index_of(items, searches, key, price, text, inline_conditions)
+    index = of_words(index, searches.select(F.explode("words").alias("word")))
     ranked, has_several, few = _ranks(index, searches, size)
     found = _total_hits(ranked)
     if has_several:
@@ -227,6 +228,7 @@ def batch_search(
     asked = _asked(queries, text, check_types)
     searches = stage(asked.select("words", *SEARCH).distinct(), "searches")
     index = index or _index_of(items, searches, key, price, text, inline_conditions)
+    index = of_words(index, searches.select(F.explode("words").alias("word")))
     ranked, has_several, few = _ranks(index, searches, size)
     found = _total_hits(ranked)
     first = ranked.where("others is null").withColumn("behind", F.least("behind", F.col("first") + size))

@@ -7,13 +7,13 @@ A rank is looked up as in a skip list: heads of spans, heads of blocks, rows of
 So neither a total nor its first hits depend on how many rows a word has.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricetide.functions.text import tokens
-from pricetide.operators.skew import broadcast_if_small, is_small
+from pricetide.operators.skew import BROADCAST_ROWS, broadcast_if_small, is_small
 from pricetide.workspace import stage
 
 #: Bits of a rank inside its block, and inside its span. A look-up compares at most 2 ** 9 rows and heads.
@@ -98,6 +98,24 @@ def read_index(spark, path, key="isin"):
     return PriceIndex(_postings(spark, path, key), spark.read.parquet(f"{path}/heads"), key)
 
 
+def of_words(index, asked, max_words=BROADCAST_ROWS):
+    """The index with the postings of the `asked` words alone, and of the empty word.
+
+    At most `max_words` words are sent to the postings, so that those of others are left
+    where they lie; for more, the index stays whole.
+    """
+    asked = asked.select("word").union(asked.sparkSession.range(1).select(F.lit("").alias("word"))).distinct()
+    if not is_small(asked, max_words):
+        return index
+    asked = F.broadcast(asked)
+    return replace(
+        index,
+        postings=index.postings.join(asked, "word", "left_semi"),
+        # heads of spans and blocks of other words serve no look-up either
+        heads=index.heads.join(asked, "word", "left_semi"),
+    )
+
+
 def slices(index, searches, few=False):
     """`searches` (word, low, high, ...) with `first` and `behind`, the ranks of their rows.
 

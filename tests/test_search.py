@@ -337,3 +337,28 @@ def test_hit_summary_counts_on_the_way_to_the_sample(spark):
         assert S.hit_summary(df.limit(0), S.search_filter("price_range", 0, 9)).first().total_hits == 0
 
     assert written_bytes(spark, run) == 0
+
+
+def test_word_table_takes_one_shuffle_and_merges_repeated_keys(spark, rows, tmp_path):
+    texts = [("a", "one two, Two three"), ("a", "one two, Two three"), ("a", "two"), ("b", ""), ("c", None), ("d", "x x x"), (None, "one")]
+    df = spark.createDataFrame(texts, "isin string, long_name string")
+    counted = word_table.word_counts(df, "long_name")
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+    expected = [
+        ("a", "", 1, 1), ("a", "", 4, 2), ("a", "one", 4, 2), ("a", "three", 4, 2), ("a", "two", 1, 1), ("a", "two", 4, 4),
+        ("b", "", 0, 1), ("d", "", 3, 1), ("d", "x", 3, 3), (None, "", 1, 1), (None, "one", 1, 1),
+    ]
+    word_table.write(counted, str(tmp_path / "words"))
+    columns = ["isin", "word", "length", "times"]
+    assert rows(spark.read.parquet(str(tmp_path / "words")).select(columns)) == sorted(expected, key=repr)
+    assert rows(word_table.build(df, "long_name").select(columns)) == sorted(expected, key=repr)
+
+
+def test_a_batch_search_moves_the_postings_of_its_words_alone(spark, tmp_path):
+    items = spark.createDataFrame([(f"k{i}", float(i % 7), f"one w{i} two") for i in range(50)], "isin string, price double, long_name string")
+    index = price_index.write_index(price_index.postings(items, "isin", "price", "long_name"), str(tmp_path / "index"))
+    asked = spark.createDataFrame([("two",), ("w3",), ("none",), ("two",)], "word string")
+    cut = price_index.of_words(index, asked)
+    assert {r.word: r["count"] for r in cut.postings.groupBy("word").count().collect()} == {"": 50, "two": 50, "w3": 1}
+    assert {r.word for r in cut.words.collect()} == {"", "two", "w3"}
+    assert price_index.of_words(index, asked, max_words=2) is index
