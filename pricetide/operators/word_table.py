@@ -9,6 +9,7 @@ read again.
 from pyspark.sql import functions as F
 
 from pricetide.functions.text import query_terms, tokens
+from pricetide.workspace import stage
 
 
 def word_counts(df, text, key="isin"):
@@ -16,7 +17,7 @@ def word_counts(df, text, key="isin"):
 
     A text without words has the row of the empty word only; without text there is no row.
     """
-    rows = df.select(key, F.array_sort(tokens(F.col(text))).alias("_words")).withColumn("length", F.size("_words"))
+    rows = df.select(key, F.sort_array(tokens(F.col(text))).alias("_words")).withColumn("length", F.size("_words"))
     # places behind the last of each word, among the sorted words
     last = F.filter(
         F.sequence(F.lit(1), "length"),
@@ -49,7 +50,9 @@ def write(words, path, key="isin"):
     Rows of one key, word and length become one where they are sorted, so `word_counts` go
     through one shuffle.
     """
-    dealt = words.select(key, "word", "length", "times").repartitionByRange("word", key)
+    # texts are split up once, not again for the sample that the ranges are drawn from
+    words = stage(words.select(key, "word", "length", "times"), "words")
+    dealt = words.repartitionByRange("word", key)
     _merged(dealt, key).sortWithinPartitions("word", key).write.parquet(path)
 
 
