@@ -120,7 +120,8 @@ def values_at_ranks(values, order, stretches, by, names):
         bits -= step
         points, marks = _level(points, marks, by, names, step, bits, not bits)
 
-    # a node is a rank now; its value is that of the names that have a rank in it
-    found = marks.groupBy(*by, "node").agg(*[F.max(n).alias(n) for n in names])
-    found = found.join(ranked.select(F.col("rank").alias("node"), (F.col("value") + 0.0).alias("value")), "node")
-    return found.groupBy(*by).agg(*[F.max(F.when(F.col(n).isNotNull(), F.col("value"))).alias(n) for n in names])
+    # a node is a rank now; the look-ups of all names share the shuffle of the ranks
+    found = marks.groupBy(*by).agg(*[F.max(F.when(F.col(n).isNotNull(), F.col("node"))).alias(n) for n in names])
+    for n in names:
+        found = found.join(ranked.select(F.col("rank").alias(n), (F.col("value") + 0.0).alias(f"_{n}")), n)
+    return found.select(*by, *[F.col(f"_{n}").alias(n) for n in names])
